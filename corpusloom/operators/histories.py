@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.text import term_counts
 from ..session import small_table
-from .ranking import hash_order, ordered_index
+from .ranking import hash_order, ordered_index, range_edges, running_totals
 
 HOW = ("first", "last", "spaced", "random")
 
@@ -27,8 +28,6 @@ def words(text: Column) -> Column:
 
 def vocabulary(posts: DataFrame, text: str, min_tf: int = 3, min_df: int = 2) -> DataFrame:
     """(term, index, tf, df): frequent enough terms, numbered from 1 in alphabetical order."""
-    from ..functions.text import term_counts
-
     counted = posts.select(F.explode(term_counts(words(F.col(text)))).alias("t"))
     stats = counted.groupBy(F.col("t.term").alias("term")).agg(F.sum("t.tf").alias("tf"), F.count("*").alias("df"))
     kept = stats.filter((F.col("tf") >= min_tf) & (F.col("df") >= min_df))
@@ -94,8 +93,14 @@ def select_posts(posts: DataFrame, user: str, order: str, n: int, how: str = "fi
 
 
 def _positions(posts: DataFrame, user: str, order: str) -> DataFrame:
-    """0-based position of each post in its user's order, as ``_at``."""
-    return posts.withColumn("_at", F.row_number().over(W.partitionBy(user).orderBy(order)) - 1)
+    """0-based position of each post in its user's order, as ``_at``.
+
+    Counted in ranges of the order, so a single prolific user is ranked by many tasks.
+    """
+    edges = range_edges(posts.select(order).distinct(), order)
+    counted = posts.withColumn("_one", F.lit(1).cast("long"))
+    ranked = running_totals(counted, [user], order, {"_at": "_one"}, descending=False, edges=edges)
+    return ranked.withColumn("_at", (F.col("_at") - 1).cast("int")).drop("_one")
 
 
 def sequences(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -28,23 +29,41 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, name: str = "co
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by the session's ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a temporary folder; on a cluster a
+    missing setting is an error, because a machine-local folder is lost with its executor.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="corpusloom-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back from there.
+    """Write ``df`` to the shared folder and go on from the written table.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session
-    without one gets a temporary folder; on a cluster a missing setting is an error,
-    because a machine-local folder would be lost with its executor.
+    Unlike ``checkpoint()`` this computes the frame once, and the planner knows the
+    size of what was written.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="corpusloom-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread an input of fewer partitions than cores over all cores, by key.
+
+    For steps that spend long on every row. Inputs of many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 @dataclass(frozen=True)

@@ -242,8 +242,9 @@ def u04(spark, sf):
 )
 def s15(spark, sf):
     label = F.when(F.col("conv_id") % 3 == 0, "control").when(F.col("conv_id") % 3 == 1, "depression")
-    raw = table(spark, sf, "conversations").groupBy("conv_id", label.alias("label")).agg(
-        F.collect_list(F.struct(F.col("turn").cast("string").alias("dt"), F.col("text").alias("post"))).alias("posts")
+    post = F.struct(F.col("turn").cast("string").alias("dt"), F.col("text").alias("post"))
+    raw = table(spark, sf, "conversations").select(
+        F.col("conv_id").alias("user_id"), label.alias("label"), F.array(post).alias("posts")
     )
-    flat = store.flatten_histories(raw.withColumnRenamed("conv_id", "user_id"))
+    flat = store.flatten_histories(raw)
     return flat.groupBy("user_id", "y").agg(F.count("*").alias("n_posts"))

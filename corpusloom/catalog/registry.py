@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("text_queries", "corpus_queries", "explore_queries")
+_MODULES = (
+    "text_queries", "corpus_queries", "explore_queries", "metric_queries", "feature_queries", "model_queries",
+)
 
 
 def _merged(attribute: str) -> dict:

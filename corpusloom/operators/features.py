@@ -208,16 +208,13 @@ def vector_moments(vectors: DataFrame, embedding: str = "embedding") -> DataFram
 def standardise(vectors: DataFrame, embedding: str = "embedding", to: str = "scaled") -> DataFrame:
     """Centre and scale an array column; a constant dimension is only centred.
 
-    Moments have one row per dimension, so they travel as one literal-sized scalar.
+    Moments have one row per dimension, so they become constant arrays.
     """
-    ordered = F.sort_array(F.collect_list(F.struct("position", "mean", "std")))
-    stats = vector_moments(vectors, embedding).agg(ordered).scalar()
-    scale = F.zip_with(
-        F.col(embedding),
-        stats,
-        lambda x, m: (x.cast("double") - m["mean"]) / F.when(m["std"] == 0, 1.0).otherwise(m["std"]),
-    )
-    return vectors.withColumn(to, scale)
+    moments = sorted(small_table(vector_moments(vectors, embedding)).rows or [], key=lambda r: r.position)
+    means = F.array(*[F.lit(r["mean"]) for r in moments])
+    scales = F.array(*[F.lit(r["std"] or 1.0) for r in moments])
+    centred = F.zip_with(F.col(embedding), means, lambda x, m: x.cast("double") - m)
+    return vectors.withColumn(to, F.zip_with(centred, scales, lambda x, s: x / s))
 
 
 def top_words(df: DataFrame, words: str, by: Sequence[str] = (), n: int = 80) -> DataFrame:

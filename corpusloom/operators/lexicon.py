@@ -6,6 +6,7 @@ array, matched inside the row without any shuffle; larger ones are joined.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,7 +42,10 @@ def expand(patterns: DataFrame, expansions: DataFrame, limit: int = 80) -> DataF
             "pool"
         )
     )
-    pools = {row.placeholder: row.pool for row in small_table(values).rows or []}
+    table = small_table(values)
+    if not table.is_local:
+        raise ValueError("too many placeholders")
+    pools = {row.placeholder: row.pool for row in table.rows}
     line = F.trim(F.lower(F.col("line")))
     out = patterns.select(line.alias("line")).filter(F.length("line") > 0)
     out = out.withColumns({"found": F.array(line), "expanded": F.lit(False)})
@@ -51,11 +55,7 @@ def expand(patterns: DataFrame, expansions: DataFrame, limit: int = 80) -> DataF
         pool = F.array(*[F.lit(value) for value in pools[placeholder]])
         has = F.col("line").contains(placeholder)
         # Earlier placeholders vary slowest, so the first combinations stay the first.
-        combined = F.flatten(
-            F.transform(
-                "found", lambda p, ph=placeholder, vs=pool: F.transform(vs, lambda v: F.replace(p, F.lit(ph), v))
-            )
-        )
+        combined = F.flatten(F.transform("found", _filler(placeholder, pool)))
         out = out.withColumns(
             {"found": F.when(has, combined).otherwise(F.col("found")), "expanded": F.col("expanded") | has}
         )
@@ -65,10 +65,15 @@ def expand(patterns: DataFrame, expansions: DataFrame, limit: int = 80) -> DataF
     return out.select(F.explode(phrases).alias("phrase")).distinct()
 
 
+def _filler(placeholder: str, pool: Column):
+    def fill(pattern: Column) -> Column:
+        return F.transform(pool, lambda value: F.replace(pattern, F.lit(placeholder), value))
+
+    return fill
+
+
 def _literal(entries: Sequence[str]) -> Column:
     # One JSON literal instead of thousands of expression nodes; folded once.
-    import json
-
     return F.from_json(F.lit(json.dumps(list(entries))), "array<string>")
 
 

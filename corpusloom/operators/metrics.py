@@ -284,11 +284,12 @@ def reliability(df: DataFrame, y: str, score: str) -> DataFrame:
     table = score_table(df, y, score)
     n = df.agg(F.count("*")).scalar()
     bins = F.least(F.greatest(F.floor(n / 80), F.lit(3)), F.lit(10)).cast("int")
-    edges = F.sequence(F.lit(1), bins - 1)
-    step = F.lit(1.0) / bins
-    place = F.size(F.filter(edges, lambda j: j * step < F.col("score")))
+    step = F.lit(1.0) / F.col("_bins")
+    place = F.lit(0)
+    for j in range(1, 10):
+        place = place + ((F.lit(j) < F.col("_bins")) & (F.lit(j) * step < F.col("score"))).cast("int")
     rows = F.sum(F.col("pos") + F.col("neg"))
-    return table.groupBy(place.alias("bin")).agg(
+    return table.withColumn("_bins", bins).groupBy(place.alias("bin")).agg(
         (F.sum(F.col("score") * (F.col("pos") + F.col("neg"))) / rows).alias("mean_score"),
         (F.sum("pos") / rows).alias("share_positive"),
         rows.alias("n"),

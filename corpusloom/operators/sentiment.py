@@ -153,11 +153,21 @@ def compound_column(
     )
 
 
-def compound(df: DataFrame, clean: str, valence: DataFrame, to: str = "sentiment") -> DataFrame:
+def compound(
+    df: DataFrame,
+    clean: str,
+    valence: DataFrame,
+    to: str = "sentiment",
+    up: Iterable[str] = BOOSTERS_UP,
+    down: Iterable[str] = BOOSTERS_DOWN,
+    negations: Iterable[str] = NEGATIONS,
+) -> DataFrame:
     """Adds the compound sentiment; ``valence`` has (word, valence), bounded in size."""
-    table = small_table(valence.select("word", F.col("valence").cast("double").alias("valence")), settings.LEXICON_TERMS)
+    table = small_table(
+        valence.select("word", F.col("valence").cast("double").alias("valence")), settings.LEXICON_TERMS
+    )
     if not table.is_local:
         raise ValueError(f"valence table above {settings.LEXICON_TERMS} words")
     values = {row.word: row.valence for row in table.rows}
     marked = df.withColumn("_words", tx.tokens(F.col(clean)))
-    return marked.withColumn(to, compound_column("_words", values)).drop("_words")
+    return marked.withColumn(to, compound_column("_words", values, up, down, negations)).drop("_words")

@@ -13,7 +13,12 @@ from .feature_queries import lexicons
 
 QUERIES, ORACLE = {}, {}
 
-# A small vocabulary keeps the fits of these checks short; the operators default to 6000 terms.
+def _logistic(rows: float):
+    return models.logistic(rows, iterations=15)
+
+
+# A small vocabulary and few iterations keep the fits of these checks short; the
+# operators default to 6000 terms and converged fits.
 TERMS = 300
 
 
@@ -53,12 +58,12 @@ def _scores(spark, sf, name, build):
 
 @query("m01_logistic")
 def m01(spark, sf):
-    return _scores(spark, sf, "logistic_regression", models.logistic)
+    return _scores(spark, sf, "logistic_regression", _logistic)
 
 
 @query("m02_calibrated_svm")
 def m02(spark, sf):
-    return _scores(spark, sf, "linear_svc", models.svm)
+    return _scores(spark, sf, "linear_svc", lambda rows: models.svm(rows, iterations=10))
 
 
 @query("m03_forest")
@@ -80,7 +85,7 @@ def m05(spark, sf):
     for name, estimator, binary in (
         ("bernoulli_bayes", models.bernoulli_bayes(), True),
         ("shallow_tree", models.shallow_tree(), False),
-        ("l1_logistic", models.multiclass_logistic(rows=float(train.count())), False),
+        ("l1_logistic", models.multiclass_logistic(rows=float(train.count()), iterations=15), False),
     ):
         fit_on, apply_to = (models.binarise(f) if binary else f for f in ready)
         scored = models.positive_probability(estimator.fit(fit_on), apply_to)
@@ -100,7 +105,7 @@ def m08(spark, sf):
     train, _, test = _cut(spark, sf)
     space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons(spark), TERMS)
     ready = space.transform(splits.class_weights(train, "label"))
-    fitted = models.build_pipeline(features.STAT_COLUMNS, models.logistic(float(train.count()))).fit(ready)
+    fitted = models.build_pipeline(features.STAT_COLUMNS, _logistic(float(train.count()))).fit(ready)
     return models.positive_probability(fitted, space.transform(test)).select("key", r6(F.col("score")).alias("score"))
 
 
@@ -173,7 +178,7 @@ def v14_protocol(spark, sf):
 
 @query("v14_out_of_domain")
 def v14(spark, sf):
-    report = experiments.out_of_domain(samples(spark, sf), *_ROLES, {"logistic_regression": models.logistic}, max_terms=TERMS)
+    report = experiments.out_of_domain(samples(spark, sf), *_ROLES, {"logistic_regression": _logistic}, max_terms=TERMS)
     return metrics.long_metrics(report, ["model", "source_id"]).withColumn("value", r6(F.col("value")))
 
 
@@ -181,23 +186,23 @@ def v14(spark, sf):
 def v15(spark, sf):
     train, val, test = _cut(spark, sf)
     chosen = {"tfidf_only": (), "tfidf_full": features.STAT_COLUMNS}
-    long = experiments.ablation(train, val, test, chosen, lexicons(spark), max_terms=TERMS)
+    long = experiments.ablation(train, val, test, chosen, lexicons(spark), max_terms=TERMS, build=_logistic)
     return long.withColumn("value", r6(F.col("value")))
 
 
 @query("v16_split_compare")
 def v16(spark, sf):
-    return experiments.split_compare(samples(spark, sf), max_terms=TERMS).withColumn("value", r6(F.col("value")))
+    return experiments.split_compare(samples(spark, sf), max_terms=TERMS, build=_logistic).withColumn("value", r6(F.col("value")))
 
 
 @query("v17_cross_validate")
 def v17(spark, sf):
-    return experiments.cross_validate(samples(spark, sf), k=2, max_terms=TERMS).withColumn("value", r6(F.col("value")))
+    return experiments.cross_validate(samples(spark, sf), k=2, max_terms=TERMS, build=_logistic).withColumn("value", r6(F.col("value")))
 
 
 @query("v20_refresh_cutoffs")
 def v20(spark, sf):
-    fitted, val, _ = _candidate(spark, sf, "logistic_regression", models.logistic)
+    fitted, val, _ = _candidate(spark, sf, "logistic_regression", _logistic)
     return experiments.refresh_cutoffs(fitted, val)
 
 
@@ -215,7 +220,7 @@ def v21(spark, sf):
 
 @query("s14_score_batch")
 def s14(spark, sf):
-    fitted, _, _ = _candidate(spark, sf, "logistic_regression", models.logistic)
+    fitted, _, _ = _candidate(spark, sf, "logistic_regression", _logistic)
     return experiments.score_batch(fitted, posts(spark, sf), "text", 0.35, 0.70, "v1").drop("text").withColumn(
         "model_score", r6(F.col("model_score"))
     )

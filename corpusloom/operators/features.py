@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -121,9 +122,19 @@ def tfidf_weights(
 
 
 def _sparse(size: int):
+    """Index and value arrays to sparse vectors, as the vector type's own columns."""
+
     @F.pandas_udf(VectorUDT())
-    def pack(indices: pd.Series, values: pd.Series) -> pd.Series:
-        return pd.Series([Vectors.sparse(size, i, v) for i, v in zip(indices, values)])
+    def pack(indices: pd.Series, values: pd.Series) -> pd.DataFrame:
+        n = len(indices)
+        return pd.DataFrame(
+            {
+                "type": np.zeros(n, dtype=np.int8),
+                "size": np.full(n, size, dtype=np.int32),
+                "indices": indices.to_numpy(),
+                "values": values.to_numpy(),
+            }
+        )
 
     return pack
 
@@ -145,7 +156,7 @@ def tfidf_vectors(
     table = small_table(vocab.select("term", "index", "idf"))
     if not table.is_local:
         raise ValueError("vocabulary too large for vectors; cap it with max_terms")
-    lookup = _vocabulary_lookup({row.term: (row.index, row.idf) for row in table.rows})
+    lookup = _vocabulary_lookup({row.term: (row["index"], row.idf) for row in table.rows})
     weighted = F.filter(
         F.transform(
             tx.term_counts(_terms(F.col(clean), ngrams)),

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import settings
+from ..session import cut_lineage
 from . import metrics, splits
 
 _COLUMNS = {"featuresCol": "features", "labelCol": "label"}
@@ -30,19 +31,21 @@ _COLUMNS = {"featuresCol": "features", "labelCol": "label"}
 # --- candidates ---------------------------------------------------------------------
 
 
-def logistic(weight_sum: float, c: float = 1.0, l1: float = 0.0, weighted: bool = True) -> LogisticRegression:
+def logistic(weight_sum: float, c: float = 1.0, l1: float = 0.0, weighted: bool = True, iterations: int = 200) -> LogisticRegression:
     """Logistic regression whose penalty matches strength ``c`` on a sum of weighted losses.
 
     Spark averages the loss over the weights, hence regParam = 1 / (c * weight sum).
     """
     model = LogisticRegression(
-        **_COLUMNS, regParam=1.0 / (c * weight_sum), elasticNetParam=l1, standardization=False, maxIter=200
+        **_COLUMNS, regParam=1.0 / (c * weight_sum), elasticNetParam=l1, standardization=False, maxIter=iterations
     )
     return model.setWeightCol("weight") if weighted else model
 
 
-def svm(weight_sum: float, c: float = 1.0) -> LinearSVC:
-    return LinearSVC(**_COLUMNS, weightCol="weight", regParam=1.0 / (c * weight_sum), standardization=False, maxIter=100)
+def svm(weight_sum: float, c: float = 1.0, iterations: int = 100) -> LinearSVC:
+    return LinearSVC(
+        **_COLUMNS, weightCol="weight", regParam=1.0 / (c * weight_sum), standardization=False, maxIter=iterations
+    )
 
 
 def forest(trees: int = 250, seed: int = settings.SEED) -> RandomForestClassifier:
@@ -69,8 +72,10 @@ def shallow_tree(depth: int = 9, min_rows: int = 5, seed: int = settings.SEED) -
     return DecisionTreeClassifier(**_COLUMNS, maxDepth=depth, minInstancesPerNode=max(1, min_rows // 2), seed=seed)
 
 
-def multiclass_logistic(l1: float = 1.0, c: float = 10.0, rows: float = 1.0) -> LogisticRegression:
-    return LogisticRegression(**_COLUMNS, family="multinomial", elasticNetParam=l1, regParam=1.0 / (c * rows), maxIter=200)
+def multiclass_logistic(l1: float = 1.0, c: float = 10.0, rows: float = 1.0, iterations: int = 200) -> LogisticRegression:
+    return LogisticRegression(
+        **_COLUMNS, family="multinomial", elasticNetParam=l1, regParam=1.0 / (c * rows), maxIter=iterations
+    )
 
 
 def candidates(weight_sum: float, full: bool = False, seed: int = settings.SEED, trees: int = 250, rounds: int = 300) -> dict[str, Estimator | str]:
@@ -123,6 +128,7 @@ class Platt:
 
 def fit_platt(df: DataFrame, score: str = "score", label: str = "label") -> Platt | None:
     """Sigmoid calibration of a score; None for under 10 rows, one class or one score."""
+    df = cut_lineage(df.select(score, label))
     facts = df.agg(
         F.count("*").alias("n"), F.min(score).alias("lo"), F.max(score).alias("hi"),
         F.min(label).alias("y0"), F.max(label).alias("y1"),
@@ -160,12 +166,14 @@ class CalibratedSvm:
         return df.withColumn(to, total / len(parts)).drop(*[f"_m{i}" for i in range(len(parts))])
 
 
-def fit_calibrated_svm(df: DataFrame, key: str, weight_sum: float, k: int = 3, seed: int = settings.SEED) -> CalibratedSvm:
+def fit_calibrated_svm(
+    df: DataFrame, key: str, estimator: LinearSVC, k: int = 3, seed: int = settings.SEED
+) -> CalibratedSvm:
     """``k`` SVMs, each calibrated on the fold it did not see."""
-    folded = splits.folds(df, key, "label", max(k, 2), seed, to="_fold").persist()
+    folded = cut_lineage(splits.folds(df, key, "label", max(k, 2), seed, to="_fold")).persist()
     members = []
     for fold in range(k):
-        fitted = svm(weight_sum * (k - 1) / k).fit(folded.filter(F.col("_fold") != fold))
+        fitted = estimator.fit(folded.filter(F.col("_fold") != fold))
         held = fitted.transform(folded.filter(F.col("_fold") == fold)).withColumn(
             "margin", vector_to_array("rawPrediction")[1]
         )

@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 from .. import settings
 from ..operators import features, metrics, models, splits
 from ..operators.risk import Lexicons
+from ..session import cut_lineage, small_table
+
+
+# Rows of the training part to an estimator: penalties depend on the sum of weights.
+Builder = Callable[[float], Estimator]
 
 
 @dataclass(frozen=True)
@@ -47,8 +52,6 @@ def fit_features(
     train: DataFrame, dense: Sequence[str] = (), lexicons: Lexicons | None = None, max_terms: int = settings.TFIDF_MAX_TERMS
 ) -> FeatureSpace:
     """Vocabulary from the training texts only; it is read once and kept as a small table."""
-    from ..session import small_table
-
     vocab = small_table(features.vocabulary(train, "clean", max_terms))
     return FeatureSpace(vocab.frame, len(vocab.rows or []) or max_terms, tuple(dense), lexicons)
 
@@ -94,10 +97,11 @@ def fit_candidate(
     weighted = splits.class_weights(train, "label") if oversample else train.withColumn("weight", F.lit(1.0))
     ready = space.transform(weighted, key)
     scaler = Pipeline(stages=models.feature_stages(space.dense)).fit(ready)
-    data = scaler.transform(ready).select(key, "label", "weight", "features").persist()
+    # Fits run many short jobs: let them read a written table, not repeat the feature plan.
+    data = cut_lineage(scaler.transform(ready).select(key, "label", "weight", "features")).persist()
     try:
         if isinstance(estimator, LinearSVC):
-            fitted = models.fit_calibrated_svm(data, key, float(data.count()), seed=seed)
+            fitted = models.fit_calibrated_svm(data, key, estimator, seed=seed)
             scorer = fitted.score
         else:
             fitted = estimator.fit(data)
@@ -244,6 +248,7 @@ def cross_validate(
     group: str | None = None,
     max_terms: int = settings.TFIDF_MAX_TERMS,
     seed: int = settings.SEED,
+    build: Builder = models.logistic,
 ) -> DataFrame:
     """Mean metrics over folds, (metric, value). Vocabulary and scaler are fitted inside each
     fold, so the validation fold never takes part in them."""
@@ -253,7 +258,7 @@ def cross_validate(
     for fold in range(k):
         train, val = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
         space = fit_features(train, dense, lexicons, max_terms)
-        candidate = tune(fit_candidate("logistic_regression", models.logistic(float(train.count())), train, space, seed=seed), val)
+        candidate = tune(fit_candidate("logistic_regression", build(float(train.count())), train, space, seed=seed), val)
         parts.append(_with(metrics.binary_metrics(candidate.score(val), "label", "pred", "score"), fold=str(fold)))
     long = metrics.long_metrics(_union(parts), ["fold"])
     return long.groupBy("metric").agg(F.avg("value").alias("value"))
@@ -262,28 +267,31 @@ def cross_validate(
 def evaluate_variant(
     name: str, dense: Sequence[str], train: DataFrame, val: DataFrame, test: DataFrame, lexicons: Lexicons | None,
     cv: int | None = None, group: str | None = None, max_terms: int = settings.TFIDF_MAX_TERMS, seed: int = settings.SEED,
+    build: Builder = models.logistic,
 ) -> DataFrame:
     """One ablation row set: (feature_set, part, metric, value) for val, test and cv."""
     space = fit_features(train, dense, lexicons, max_terms)
-    candidate = tune(fit_candidate(name, models.logistic(float(train.count())), train, space, seed=seed), val)
+    candidate = tune(fit_candidate(name, build(float(train.count())), train, space, seed=seed), val)
     parts = []
     for part, frame in (("val", val), ("test", test)):
         wide = metrics.binary_metrics(candidate.score(frame), "label", "pred", "score")
         parts.append(_with(metrics.long_metrics(wide), feature_set=name, part=part))
     if cv:
         both = train.unionByName(val)
-        parts.append(_with(cross_validate(both, dense, lexicons, cv, group, max_terms, seed), feature_set=name, part="cv"))
+        parts.append(_with(cross_validate(both, dense, lexicons, cv, group, max_terms, seed, build), feature_set=name, part="cv"))
     return _union(parts)
 
 
 def ablation(
     train: DataFrame, val: DataFrame, test: DataFrame, variants: Mapping[str, Sequence[str]] | None = None,
     lexicons: Lexicons | None = None, cv: int | None = None, max_terms: int = settings.TFIDF_MAX_TERMS,
-    seed: int = settings.SEED,
+    seed: int = settings.SEED, build: Builder = models.logistic,
 ) -> DataFrame:
     """The same model over several feature sets, in long form."""
     chosen = features.ABLATION_SETS if variants is None else variants
-    return _union([evaluate_variant(n, d, train, val, test, lexicons, cv, None, max_terms, seed) for n, d in chosen.items()])
+    return _union(
+        [evaluate_variant(n, d, train, val, test, lexicons, cv, None, max_terms, seed, build) for n, d in chosen.items()]
+    )
 
 
 def ablation_table(long: DataFrame) -> DataFrame:
@@ -295,7 +303,7 @@ def ablation_table(long: DataFrame) -> DataFrame:
 
 def split_compare(
     samples: DataFrame, dense: Sequence[str] = (), lexicons: Lexicons | None = None, cv: int | None = None,
-    max_terms: int = settings.TFIDF_MAX_TERMS, seed: int = settings.SEED,
+    max_terms: int = settings.TFIDF_MAX_TERMS, seed: int = settings.SEED, build: Builder = models.logistic,
 ) -> DataFrame:
     """Row split against group split on the same samples: (split_protocol, part, metric, value)."""
     out = []
@@ -306,7 +314,7 @@ def split_compare(
             else splits.grouped(samples, "key", "label", seed=seed)
         )
         train, val, test = (cut.filter(F.col("split_name") == s).drop("split_name") for s in ("train", "val", "test"))
-        rows = evaluate_variant("tfidf_full", dense, train, val, test, lexicons, cv, "source_id", max_terms, seed)
+        rows = evaluate_variant("tfidf_full", dense, train, val, test, lexicons, cv, "source_id", max_terms, seed, build)
         out.append(_with(rows, split_protocol=name))
     return _union(out)
 

@@ -35,25 +35,26 @@ DISTRESS_PATTERNS = (
 )
 # End of fixed values.
 
-_FLAGS = "(?iU)"
-
 
 def whole_words(alternatives: str) -> str:
     return rf"\b(?:{alternatives})\b"
 
 
-def has_pattern(text: Column, pattern: str) -> Column:
-    return text.rlike(_FLAGS + pattern)
-
-
 def has_positive_words(clean: Column, words: str = POSITIVE_WORDS) -> Column:
-    return has_pattern(clean, whole_words(words))
+    return clean.rlike(whole_words(words))
 
 
 def _both(clean: Column, raw: Column | None, pattern: str) -> Column:
-    # Cleaning turns apostrophes into spaces, so their forms only match the raw text.
-    found = has_pattern(clean, pattern)
-    return found if raw is None else found | has_pattern(F.coalesce(raw, F.lit("")), pattern)
+    """Match the cleaned text or the lower-cased raw text.
+
+    Cleaning turns apostrophes into spaces, so their forms only match the raw text; a raw
+    text without any apostrophe cannot match where its cleaned form does not.
+    """
+    found = clean.rlike(pattern)
+    if raw is None:
+        return found
+    apostrophe = raw.contains("'") | raw.contains("’")
+    return found | F.when(apostrophe, F.lower(raw).rlike("(?U)" + pattern)).otherwise(F.lit(False))
 
 
 def has_crisis_expression(clean: Column, raw: Column | None = None, expressions=CRISIS_EXPRESSIONS) -> Column:

@@ -16,6 +16,7 @@ from .. import settings
 from ..functions import text as tx
 from ..session import small_table
 from . import lexicon, sentiment
+from .rows import term_stats
 
 STAT_COLUMNS = (
     "char_len", "word_count", "avg_word_len", "sentiment", "term_hits", "positive_hits", "negative_hits",
@@ -70,6 +71,17 @@ def document_terms(
     return df.withColumn(to, tx.term_counts(_terms(F.col(clean), ngrams)))
 
 
+def term_pairs(df: DataFrame, doc: str, clean: str, ngrams: tuple[int, int] = settings.TFIDF_NGRAMS) -> DataFrame:
+    """(doc, term, tf) rows.
+
+    Texts are partitioned by document once; counting pairs and everything later grouped by
+    document then needs no further shuffle, and pairs, far larger than texts, never move.
+    """
+    placed = df.select(doc, clean).repartition(doc)
+    grams = placed.select(doc, F.explode(_terms(F.col(clean), ngrams)).alias("term"))
+    return grams.groupBy(doc, "term").agg(F.count("*").alias("tf"))
+
+
 def vocabulary(
     df: DataFrame,
     clean: str,
@@ -80,13 +92,11 @@ def vocabulary(
 ) -> DataFrame:
     """(term, index, df, tf, idf): most frequent terms within the document limits.
 
-    Counting is done inside each document first, so the shuffle carries one partial
-    count per term and task. Ties at the cap go to the smaller term; indexes follow
+    The shuffle carries one partial count per term and task. Ties at the cap go to the smaller term; indexes follow
     the alphabet. idf = ln((1 + n) / (1 + df)) + 1.
     """
     n = df.count()
-    counted = document_terms(df.select(clean), clean, ngrams).select(F.explode("terms").alias("t"))
-    stats = counted.groupBy(F.col("t.term").alias("term")).agg(F.count("*").alias("df"), F.sum("t.tf").alias("tf"))
+    stats = term_stats(df.select(_terms(F.col(clean), ngrams).alias("terms")), "terms")
     kept = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
     if max_terms is not None:
         kept = kept.orderBy(F.desc("tf"), "term").limit(max_terms)
@@ -110,7 +120,7 @@ def tfidf_weights(
     combined per document.
     """
     table = small_table(vocab.select("term", "index", "idf")).frame
-    pairs = document_terms(df.select(doc, clean), clean, ngrams).select(doc, F.inline("terms"))
+    pairs = term_pairs(df, doc, clean, ngrams)
     raw = pairs.join(table, "term").withColumn("w", (F.log("tf") + 1.0) * F.col("idf"))
     packed = raw.groupBy(doc).agg(
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
@@ -200,7 +210,7 @@ def count_terms(
     """Count vectors in long form: (doc, index, term, tf)."""
     vocab = vocabulary(df, clean, max_terms, ngrams, min_df=1, max_df=max_df)
     table = small_table(vocab.select("term", "index")).frame
-    pairs = document_terms(df.select(doc, clean), clean, ngrams).select(doc, F.inline("terms"))
+    pairs = term_pairs(df, doc, clean, ngrams)
     return pairs.join(table, "term").select(doc, "index", "term", "tf")
 
 

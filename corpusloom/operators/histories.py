@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import term_counts
 from ..session import small_table
+from .rows import term_stats
 from .ranking import hash_order, ordered_index, range_edges, running_totals
 
 HOW = ("first", "last", "spaced", "random")
@@ -28,8 +28,7 @@ def words(text: Column) -> Column:
 
 def vocabulary(posts: DataFrame, text: str, min_tf: int = 3, min_df: int = 2) -> DataFrame:
     """(term, index, tf, df): frequent enough terms, numbered from 1 in alphabetical order."""
-    counted = posts.select(F.explode(term_counts(words(F.col(text)))).alias("t"))
-    stats = counted.groupBy(F.col("t.term").alias("term")).agg(F.sum("t.tf").alias("tf"), F.count("*").alias("df"))
+    stats = term_stats(posts.select(words(F.col(text)).alias("terms")), "terms")
     kept = stats.filter((F.col("tf") >= min_tf) & (F.col("df") >= min_df))
     return ordered_index(kept, "term", "index", start=1).select("term", "index", "tf", "df")
 

@@ -224,13 +224,12 @@ def bootstrap(
         F.concat(F.lit(f"{seed}:"), F.col("_block").cast("string"), F.lit(":"), F.col("_k").cast("string"))
     )
     drawn = drawn.withColumn("_digest", digest)
-    weights = F.array(
-        *[_poisson(F.conv(F.substring("_digest", 8 * i + 1, 8), 16, 10).cast("long")) for i in range(4)]
-    )
-    long = drawn.select(y, pred, score, "_block", F.posexplode(weights).alias("_i", "w"))
-    long = long.withColumn("replicate", F.col("_block") * 4 + F.col("_i")).filter(
-        (F.col("w") > 0) & (F.col("replicate") < n)
-    )
+    quarters = F.array(*[F.substring("_digest", 8 * i + 1, 8) for i in range(4)])
+    long = drawn.select(y, pred, score, "_block", F.posexplode(quarters).alias("_i", "_hex"))
+    long = long.withColumn("_draw", F.conv("_hex", 16, 10).cast("long"))
+    long = long.select(
+        y, pred, score, (F.col("_block") * 4 + F.col("_i")).alias("replicate"), _poisson(F.col("_draw")).alias("w")
+    ).filter((F.col("w") > 0) & (F.col("replicate") < n))
     cells = long.groupBy("replicate", y, pred, score).agg(F.sum("w").alias("w"))
     flat = cells.groupBy("replicate").agg(
         *[c.alias(name) for name, c in cell_counts(F.col(y), F.col(pred), F.col("w")).items()],

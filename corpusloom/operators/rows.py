@@ -97,6 +97,20 @@ def word_counts(df: DataFrame, words: str, by: Sequence[str] = ()) -> DataFrame:
     return df.select(*by, F.explode(words).alias("word")).groupBy(*by, "word").agg(F.count("*").alias("n"))
 
 
+def term_stats(df: DataFrame, terms: str) -> DataFrame:
+    """(term, tf, df): occurrences and documents of every term of an array column.
+
+    Occurrences and first occurrences leave a document side by side, and both counts are
+    combined on the map side, so nothing is grouped by document.
+    """
+    zipped = df.select(F.arrays_zip(F.col(terms), F.array_distinct(terms).alias("_once")).alias("z"))
+    pairs = zipped.select(F.inline("z").alias("term", "once"))
+    counted = pairs.select(F.expr("stack(2, term, 1L, 0L, once, 0L, 1L)").alias("term", "in_tf", "in_df"))
+    return counted.filter(F.col("term").isNotNull()).groupBy("term").agg(
+        F.sum("in_tf").alias("tf"), F.sum("in_df").alias("df")
+    )
+
+
 def drop_rarest(df: DataFrame, doc: str, words: str, k: int) -> DataFrame:
     """Remove the ``k`` rarest words of the whole corpus from every token array.
 

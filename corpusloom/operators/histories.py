@@ -65,18 +65,20 @@ def select_posts(posts: DataFrame, user: str, order: str, n: int, how: str = "fi
     """
     if how not in HOW:
         raise ValueError(f"how must be one of {HOW}")
-    forward = W.partitionBy(user).orderBy(order)
+    # A filter right on the row number lets Spark cut each task to n rows per user before
+    # the shuffle, however many posts a user has.
     if how in ("first", "random"):
-        kept = posts.withColumn("slot", F.row_number().over(forward) - 1).filter(F.col("slot") < n)
-        if how == "first":
-            return kept
-        shuffled = W.partitionBy(user).orderBy(hash_order(F.concat_ws("|", user, order), seed))
-        return kept.withColumn("slot", F.row_number().over(shuffled) - 1)
+        forward = F.row_number().over(W.partitionBy(user).orderBy(order))
+        kept = posts.withColumn("_place", forward).filter(F.col("_place") <= n)
+        if how == "random":
+            shuffled = W.partitionBy(user).orderBy(hash_order(F.concat_ws("|", user, order), seed))
+            kept = kept.withColumn("_place", F.row_number().over(shuffled))
+        return kept.withColumn("slot", F.col("_place") - 1).drop("_place")
     if how == "last":
-        ranked = posts.withColumn("_back", F.row_number().over(W.partitionBy(user).orderBy(F.desc(order))))
-        kept = ranked.filter(F.col("_back") <= n)
+        backward = F.row_number().over(W.partitionBy(user).orderBy(F.desc(order)))
+        kept = posts.withColumn("_place", backward).filter(F.col("_place") <= n)
         total = F.count("*").over(W.partitionBy(user))
-        return kept.withColumn("slot", (total - F.col("_back")).cast("int")).drop("_back")
+        return kept.withColumn("slot", (total - F.col("_place")).cast("int")).drop("_place")
     placed = _positions(posts, user, order)
     counts = posts.groupBy(user).agg(F.count("*").alias("_count"))
     # The slots of a user come from their post count alone: n rows per user, then a join.

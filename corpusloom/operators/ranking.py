@@ -43,10 +43,14 @@ def largest_remainder(counts: DataFrame, total: int, strata: Sequence[str]) -> D
     Floors first, then one more unit to the largest remainders (ties: stratum name). The
     table has one row per stratum, so ranking it in one task is cheap.
     """
-    share = F.col("n") * F.lit(total).cast("long")
     size = F.sum("n").over(W.partitionBy(F.lit(0)))
+    # Decimals: rows times units outgrow a LONG on very large tables.
+    share = f"(cast(n AS decimal(19,0)) * cast({int(total)} AS decimal(19,0)))"
     exact = counts.withColumn("_size", size).withColumns(
-        {"_floor": F.expr(f"({total}L * n) div _size"), "_rest": share % F.col("_size")}
+        {
+            "_floor": F.expr(f"{share} div cast(_size AS decimal(19,0))"),
+            "_rest": F.expr(f"{share} % cast(_size AS decimal(19,0))"),
+        }
     )
     order = W.partitionBy(F.lit(0)).orderBy(F.desc("_rest"), *strata)
     left = F.lit(total) - F.sum("_floor").over(W.partitionBy(F.lit(0)))

@@ -353,7 +353,7 @@ def score_batch(candidate: Fitted, df: DataFrame, text: str, low: float, high: f
     from ..functions.text import clean_text
     from ..operators.risk import model_tier, sane_cutoffs
 
-    keyed = df.withColumns({"clean": clean_text(F.col(text)), "key": F.lit(0)})
+    keyed = df.withColumns({"clean": clean_text(F.col(text)), "key": F.monotonically_increasing_id()})
     scored = candidate.score(keyed).withColumnRenamed("score", "model_score")
     sane = sane_cutoffs(F.lit(low), F.lit(high))
     return scored.withColumns(

@@ -68,12 +68,14 @@ def ngrams(words: Column, n: int) -> Column:
         return words
 
     def build(w: Column) -> Column:
-        size = F.greatest(F.size(w) - (n - 1), F.lit(0))
-        columns = [F.slice(w, F.lit(shift + 1), size) for shift in range(n)]
-        out = columns[0]
-        for column in columns[1:]:
-            out = F.zip_with(out, column, lambda left, right: F.concat_ws(" ", left, right))
-        return out
+        def join(first: Column, at: Column) -> Column:
+            parts = [first]
+            for step in range(1, n):
+                parts += [F.lit(" "), F.get(w, at + step)]
+            return F.concat(*parts)
+
+        starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(0)))
+        return F.transform(starts, join)
 
     return let(words, build)
 

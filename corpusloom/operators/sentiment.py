@@ -80,11 +80,18 @@ def compound_column(
         return F.coalesce(F.get(tokens, position), F.lit(""))
 
     # Words with a valence that are not boosters themselves, with their three predecessors.
+    # The membership test is a hash set, so the many other words cost next to nothing.
+    wanted = sorted(set(valence) - set(up) - set(down))
+    if not wanted:
+        return F.lit(0.0)
     hits = F.filter(
-        F.transform(tokens, lambda w, i: F.struct(_lookup(table, w).alias("v"), w.alias("w"), i.alias("i"))),
-        lambda h: h["v"].isNotNull()
-        & ~h["w"].isin(up + down)
-        & ~((h["w"] == "kind") & (at(h["i"] + 1) == "of")),
+        F.transform(
+            tokens,
+            lambda w, i: F.when(
+                w.isin(wanted), F.struct(_lookup(table, w).alias("v"), w.alias("w"), i.alias("i"))
+            ),
+        ),
+        lambda h: h.isNotNull() & ~((h["w"] == "kind") & (at(h["i"] + 1) == "of")),
     )
     in_context = F.transform(
         hits,

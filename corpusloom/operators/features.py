@@ -198,7 +198,7 @@ def _vocabulary_lookup(vocab: dict[str, tuple[int, float]]):
     table = F.from_json(F.lit(json.dumps(rows)), "array<map<string,struct<i:int,w:double>>>")
 
     def find(term: Column) -> Column:
-        slot = F.get(table, F.pmod(F.crc32(F.encode(term, "utf-8")), F.lit(slots)).cast("int"))
+        slot = F.get(table, F.pmod(F.crc32(term.cast("binary")), F.lit(slots)).cast("int"))
         return F.try_element_at(slot, term)
 
     return find

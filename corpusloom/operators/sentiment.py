@@ -57,7 +57,7 @@ def _lookup_table(values: dict[str, float]) -> Column:
 
 
 def _lookup(table: Column, word: Column) -> Column:
-    slot = F.get(table, F.pmod(F.crc32(F.encode(word, "utf-8")), F.lit(_SLOTS)).cast("int"))
+    slot = F.get(table, F.pmod(F.crc32(word.cast("binary")), F.lit(_SLOTS)).cast("int"))
     return F.try_element_at(slot, word)
 
 
@@ -79,6 +79,11 @@ def compound_column(
     def at(position: Column) -> Column:
         return F.coalesce(F.get(tokens, position), F.lit(""))
 
+    every = sorted(valence)
+
+    def known(word: Column) -> Column:
+        return word.isin(every)
+
     # Words with a valence that are not boosters themselves, with their three predecessors.
     # The membership test is a hash set, so the many other words cost next to nothing.
     wanted = sorted(set(valence) - set(up) - set(down))
@@ -109,7 +114,7 @@ def compound_column(
         after_no = (
             (h["p1"] == "no") | (h["p2"] == "no") | ((h["p3"] == "no") & h["p1"].isin("or", "nor"))
         )
-        silent = (h["w"] == "no") & _lookup(table, h["next"]).isNotNull()
+        silent = (h["w"] == "no") & known(h["next"])
         return F.when(after_no, h["v"] * NEGATION).when(silent, 0.0).otherwise(h["v"])
 
     def flip(h: Column, distance: int) -> Column:
@@ -130,7 +135,7 @@ def compound_column(
         word = h[f"p{distance}"]
         amount = BOOST * DISTANCE_DAMPING[distance - 1]
         boost = F.when(word.isin(up), amount).when(word.isin(down), -amount).otherwise(0.0)
-        applies = (h["i"] >= distance) & _lookup(table, word).isNull()
+        applies = (h["i"] >= distance) & ~known(word)
         return F.when(applies, (value + F.when(value < 0, -boost).otherwise(boost)) * flip(h, distance)).otherwise(value)
 
     def modified(h: Column) -> Column:
@@ -142,7 +147,7 @@ def compound_column(
         )
 
     def least(h: Column) -> Column:
-        bare = (h["p1"] == "least") & _lookup(table, h["p1"]).isNull()
+        bare = (h["p1"] == "least") & ~known(h["p1"])
         return F.when(bare & ((h["i"] == 1) | ~h["p2"].isin("at", "very")), NEGATION).otherwise(1.0)
 
     but_at = F.array_position(tokens, "but") - 1

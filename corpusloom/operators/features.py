@@ -26,7 +26,7 @@ VARIANTS: dict[str, tuple[str, ...]] = {
     "tfidf_only": (),
     "tfidf_stats": STAT_COLUMNS[:3],
     "tfidf_stats_vader": STAT_COLUMNS[:4],
-    "tfidf_stats_vader_emnlp": STAT_COLUMNS,
+    "tfidf_stats_vader_lexicon": STAT_COLUMNS,
 }
 ABLATION_SETS: dict[str, tuple[str, ...]] = {
     "tfidf_only": (),

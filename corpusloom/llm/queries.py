@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .secrets import op10_secrets
+from .simhash import op1_simhash
 from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op7_toxicity": op7_toxicity,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE: dict[str, str] = {}

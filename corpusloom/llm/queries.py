@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from . import decontaminate
+from .decontaminate import op6_decontaminate
+from .packing import op3_packing
 from .secrets import op10_secrets
 from .simhash import op1_simhash
 from .toxicity import op7_toxicity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_packing": op3_packing,
+    "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
     "op10_secrets": op10_secrets,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_decontaminate": decontaminate.SQL,
+}

@@ -210,6 +210,33 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rate:
     )
 
 
+def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", rate: float = RATE, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every found span of ``text`` replaced by ``mark``; overlapping spans become one.
+
+    The cut-offs come from one narrow pass over all rows; the second pass finds and replaces
+    inside the row, so no text is shuffled. Null texts stay null.
+    """
+    kept = cut_offs(cut_lineage(scan(docs, key, text).select("tried")), rate)
+
+    @F.pandas_udf("string")
+    def clean(batch: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else replace_spans(t, kept, mark) for t in batch], dtype=object)
+
+    return docs.withColumn(text, clean(F.col(text)))
+
+
+def replace_spans(text: str, kept: dict[tuple[str, int], float], mark: str) -> str:
+    """One text without its secrets."""
+    spans = [(s, e) for s, _, e in base_spans(text)]
+    spans += [(s, e) for s, e, enc, cls, p in candidates(text) if p >= kept.get((enc, cls), 2.0)]
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
 def op10_secrets(spark, sf_dir: str) -> DataFrame:
     """Secret spans of every document."""
     return find_secrets(read_table(spark, sf_dir, "documents"))

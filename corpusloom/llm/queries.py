@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import chat, decontaminate
+from .chat import op4_chat
 from .decontaminate import op6_decontaminate
 from .packing import op3_packing
+from .quality_rank import op2_quality
 from .secrets import op10_secrets
 from .simhash import op1_simhash
 from .toxicity import op7_toxicity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
     "op3_packing": op3_packing,
+    "op4_chat": op4_chat,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
     "op10_secrets": op10_secrets,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_chat": chat.SQL,
     "op6_decontaminate": decontaminate.SQL,
 }

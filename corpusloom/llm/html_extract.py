@@ -20,8 +20,8 @@ pages to learn from, the composed layouts use built-in filler words.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from .boosting import BoostedTrees, fit_boosted
 from .common import read_table
 
-SAMPLE_PAGES = 400
-LAYOUTS_PER_PAGE = 2
+SAMPLE_PAGES = 300
+LAYOUTS_PER_PAGE = 4
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HIDDEN = frozenset("head script style noscript template title textarea select option button svg iframe object canvas math audio video map".split())
 _INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strong sub sup time tt u var wbr label".split())
@@ -46,7 +46,6 @@ _BARRIER = frozenset("html body div article section main aside nav header footer
 _TAGS = (
     "p div article main section nav header footer aside ul ol li table tr td form h1 h2 h3 blockquote pre figure dl body html a span".split()
 )
-_TOKENS = 64
 
 
 class Node:
@@ -163,13 +162,10 @@ def _finish(page: Page) -> Page:
     return page
 
 
-def _bucket(token: str) -> int:
-    return zlib.crc32(token.encode("utf-8", "replace")) % _TOKENS
-
-
-def features(page: Page) -> np.ndarray:
-    """One row per element."""
-    size = len(_TAGS) * 2 + 22 + _TOKENS
+def features(page: Page, tokens: dict[str, float]) -> np.ndarray:
+    """One row per element; ``tokens`` has the learned log-odds of attribute tokens."""
+    size = len(_TAGS) * 2 + 27
+    lowest: dict[int, float] = {}
     out = np.zeros((len(page.nodes), size))
     whole, count = max(page.root.text, 1), len(page.nodes)
     subtree = {}
@@ -193,8 +189,10 @@ def features(page: Page) -> np.ndarray:
         row[k + 19] = len(node.tokens)
         row[k + 20] = float(node.tag == "#page")
         row[k + 21] = np.log1p(parent.text) if parent else 0
-        for token in node.tokens:
-            row[k + 22 + _bucket(token)] = 1
+        odds = [tokens.get(t, 0.0) for t in node.tokens] or [0.0]
+        above = lowest[id(parent)] if parent else 0.0
+        lowest[id(node)] = min(above, min(odds))
+        row[k + 22 : k + 27] = sum(odds), min(odds), max(odds), above, float(any(t in tokens for t in node.tokens))
     return out
 
 
@@ -343,18 +341,30 @@ class _Marked(Page):
             self.nodes[-1].tokens += ("data-main",)
 
 
-def _training_rows(pages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def token_odds(pages: list[Page]) -> dict[str, float]:
+    """Smoothed log-odds of label 1 for every attribute token of labelled pages."""
+    seen: dict[str, list[int]] = {}
+    for page in pages:
+        for node in page.nodes:
+            for token in set(node.tokens):
+                seen.setdefault(token, [0, 0])[node.label] += 1
+    return {t: float(np.log((one + 0.5) / (zero + 0.5))) for t, (zero, one) in seen.items() if zero + one >= 5}
+
+
+def _training_pages(pages: list[str]) -> list[Page]:
+    """Labelled pages: those with semantic markup, and composed ones."""
     rng = np.random.default_rng(42)
-    xs, ys, bodies, sides = [], [], [], list(_FILLER)
+    done, bodies, sides = [], [], list(_FILLER)
     for html in pages:
         page = parse(html)
         if teach(page):
-            xs.append(features(page))
-            ys.append(np.array([n.label for n in page.nodes]))
+            done.append(page)
             main = {id(n) for n in page.nodes if n.label}
             bodies.append([b for b in assemble(page, main).split("\n") if b])
             sides += [b for b in assemble(page, {id(n) for n in page.nodes} - main).split("\n") if b]
     bodies = [b for b in bodies if b] or [_FILLER]
+    # Other parts also quote texts as long as the main one's, so that length alone decides nothing.
+    sides += [b for body in bodies for b in body[:: max(1, len(body) // 2)]]
     for body in bodies + [_FILLER] * max(0, 60 - len(bodies)):
         for _ in range(LAYOUTS_PER_PAGE):
             page = _Marked()
@@ -364,18 +374,34 @@ def _training_rows(pages: list[str]) -> tuple[np.ndarray, np.ndarray]:
             teach(marked)
             for node in marked.nodes:
                 node.tokens = tuple(t for t in node.tokens if t != "data-main")
-            xs.append(features(marked))
-            ys.append(np.array([n.label for n in marked.nodes]))
-    return np.concatenate(xs), np.concatenate(ys)
+            done.append(marked)
+    return done
+
+
+@dataclass(frozen=True)
+class PageModel:
+    """Attribute token odds and the trees over all features."""
+
+    tokens: dict[str, float]
+    trees: BoostedTrees
+
+    def main_texts(self, htmls: list[str | None]) -> list[str]:
+        parsed = [parse(h) for h in htmls]
+        odds = self.trees.log_odds(np.concatenate([features(p, self.tokens) for p in parsed]))
+        cuts = np.cumsum([len(p.nodes) for p in parsed])[:-1]
+        return [assemble(p, decode(p, o)) for p, o in zip(parsed, np.split(odds, cuts))]
 
 
-def train(pages: list[str]) -> BoostedTrees:
-    """Fit the trees on a bounded list of pages."""
-    x, y = _training_rows(pages)
-    return fit_boosted(x, y.astype(float))
+def train(pages: list[str]) -> PageModel:
+    """Fit token odds and trees on a bounded list of pages."""
+    labelled = _training_pages(pages)
+    tokens = token_odds(labelled)
+    x = np.concatenate([features(p, tokens) for p in labelled])
+    y = np.concatenate([[n.label for n in p.nodes] for p in labelled]).astype(float)
+    return PageModel(tokens, fit_boosted(x, y, trees=60, depth=4))
 
 
-def train_on(pages: DataFrame, rows: int = SAMPLE_PAGES, key: str = "page_id", html: str = "html") -> BoostedTrees:
+def train_on(pages: DataFrame, rows: int = SAMPLE_PAGES, key: str = "page_id", html: str = "html") -> PageModel:
     """Train on the ``rows`` pages with the smallest key hashes."""
     known = pages.filter(F.col(html).isNotNull())
     ids = known.select(key).orderBy(F.xxhash64(key), key).limit(rows)
@@ -383,7 +409,7 @@ def train_on(pages: DataFrame, rows: int = SAMPLE_PAGES, key: str = "page_id", h
     return train([r[1] for r in sorted(found, key=lambda r: (r[0], r[1]))])
 
 
-def extract(pages: DataFrame, model: BoostedTrees, html: str = "html") -> DataFrame:
+def extract(pages: DataFrame, model: PageModel, html: str = "html") -> DataFrame:
     """``pages`` with ``text``: the main text of each row; an input column ``text`` is replaced."""
 
     @F.pandas_udf("string")
@@ -391,10 +417,7 @@ def extract(pages: DataFrame, model: BoostedTrees, html: str = "html") -> DataFr
         for batch in batches:
             out = []
             for start in range(0, len(batch), 64):
-                parsed = [parse(h) for h in batch.iloc[start : start + 64]]
-                odds = model.log_odds(np.concatenate([features(p) for p in parsed]))
-                cuts = np.cumsum([len(p.nodes) for p in parsed])[:-1]
-                out += [assemble(p, decode(p, o)) for p, o in zip(parsed, np.split(odds, cuts))]
+                out += model.main_texts(list(batch.iloc[start : start + 64]))
             yield pd.Series(out, dtype=object)
 
     return pages.withColumn("text", main_text(F.col(html)))

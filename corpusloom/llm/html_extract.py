@@ -20,6 +20,7 @@ pages to learn from, the composed layouts use built-in filler words.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -46,18 +47,20 @@ _BARRIER = frozenset("html body div article section main aside nav header footer
 _TAGS = (
     "p div article main section nav header footer aside ul ol li table tr td form h1 h2 h3 blockquote pre figure dl body html a span".split()
 )
+_TAG_PLACE = {tag: i for i, tag in enumerate(_TAGS)}
 
 
 class Node:
     """An element that can be kept or dropped as a whole; inline markup belongs to its element."""
 
-    __slots__ = ("tag", "tokens", "parent", "children", "depth", "text", "links", "direct", "blocks", "marks", "start", "order", "label", "parts")
+    __slots__ = ("tag", "tokens", "parent", "children", "depth", "text", "links", "direct", "blocks", "marks", "start", "label", "parts", "size", "alike", "rival")
 
     def __init__(self, tag: str, tokens: tuple[str, ...], parent: "Node | None"):
         self.tag, self.tokens, self.parent, self.children = tag, tokens, parent, []
         self.depth = parent.depth + 1 if parent else 0
         self.text = self.links = self.direct = self.blocks = self.marks = self.start = 0
-        self.label, self.parts = 0, 0
+        self.label = self.parts = self.rival = 0
+        self.size = self.alike = 1
 
 
 class Page(HTMLParser):
@@ -157,43 +160,65 @@ def _finish(page: Page) -> Page:
         node.text += node.direct
         node.blocks += node.tag in ("p", "li", "h1", "h2", "h3", "tr", "blockquote", "pre", "dd")
         if node.parent:
-            for name in ("text", "links", "blocks", "marks", "parts"):
-                setattr(node.parent, name, getattr(node.parent, name) + getattr(node, name))
+            up = node.parent
+            up.text += node.text
+            up.links += node.links
+            up.blocks += node.blocks
+            up.marks += node.marks
+            up.parts += node.parts
+            up.size += node.size
+        if len(node.children) > 1:
+            same = Counter(c.tag for c in node.children)
+            second, first = sorted(c.text for c in node.children)[-2:]
+            for child in node.children:
+                child.alike, child.rival = same[child.tag], second if child.text == first else first
     return page
 
 
 def features(page: Page, tokens: dict[str, float]) -> np.ndarray:
     """One row per element; ``tokens`` has the learned log-odds of attribute tokens."""
-    size = len(_TAGS) * 2 + 27
-    lowest: dict[int, float] = {}
-    out = np.zeros((len(page.nodes), size))
-    whole, count = max(page.root.text, 1), len(page.nodes)
-    subtree = {}
-    for node in reversed(page.nodes):
-        subtree[id(node)] = 1 + sum(subtree[id(c)] for c in node.children)
-    for at, node in enumerate(page.nodes):
-        row, parent = out[at], node.parent
-        if node.tag in _TAGS:
-            row[_TAGS.index(node.tag)] = 1
-        if parent and parent.tag in _TAGS:
-            row[len(_TAGS) + _TAGS.index(parent.tag)] = 1
-        k, text = 2 * len(_TAGS), max(node.text, 1)
-        siblings = parent.children if parent else [node]
-        row[k : k + 18] = (
-            np.log1p(node.text), np.log1p(node.direct), node.links / text, node.text / subtree[id(node)], node.blocks, node.text / max(node.blocks, 1),
-            node.marks / text * 10, node.depth, len(node.children), subtree[id(node)] / count, node.text / whole, node.start / whole,
-            len(siblings), sum(s.tag == node.tag for s in siblings) / len(siblings), node.text / max(parent.text if parent else text, 1),
-            np.log1p(max((s.text for s in siblings if s is not node), default=0)), node.parts, node.direct / text,
-        )
-        row[k + 18] = parent.links / max(parent.text, 1) if parent else 0
-        row[k + 19] = len(node.tokens)
-        row[k + 20] = float(node.tag == "#page")
-        row[k + 21] = np.log1p(parent.text) if parent else 0
-        odds = [tokens.get(t, 0.0) for t in node.tokens] or [0.0]
-        above = lowest[id(parent)] if parent else 0.0
-        lowest[id(node)] = min(above, min(odds))
-        row[k + 22 : k + 27] = sum(odds), min(odds), max(odds), above, float(any(t in tokens for t in node.tokens))
-    return out
+    return feature_table([page], tokens)
+
+
+def feature_table(pages: list[Page], tokens: dict[str, float]) -> np.ndarray:
+    """Rows of all elements of several pages; linear in the number of elements."""
+    rows, parents, base = [], [], 0
+    for page in pages:
+        place = {id(n): base + i for i, n in enumerate(page.nodes)}
+        lowest: list[float] = []
+        whole, count = max(page.root.text, 1), len(page.nodes)
+        for node in page.nodes:
+            parent = node.parent
+            up = place[id(parent)] if parent else base
+            above = lowest[up - base] if parent else 0.0
+            low = high = total = known = 0.0
+            if node.tokens:
+                odds = [tokens.get(t, 0.0) for t in node.tokens]
+                low, high, total, known = min(odds), max(odds), sum(odds), float(any(odds))
+            lowest.append(min(above, low))
+            parents.append(up)
+            rows.append((
+                _TAG_PLACE.get(node.tag, -1), node.text, node.direct, node.links, node.blocks, node.marks, node.depth,
+                len(node.children), node.size, node.start, len(parent.children) if parent else 1, node.alike, node.rival,
+                node.parts, len(node.tokens), total, low, high, above, known, whole, count, parent is None,
+            ))
+        base += len(page.nodes)
+    raw, up = np.array(rows, dtype=np.float64), np.array(parents)
+    (tag, text, direct, links, blocks, marks, depth, children, size, start, siblings, alike, rival, parts, n_tokens,
+     total, low, high, above, known, whole, count, top) = raw.T
+    own, some = np.maximum(text, 1), top == 0
+    share = links / own
+    measures = np.stack([
+        np.log1p(text), np.log1p(direct), share, text / size, blocks, text / np.maximum(blocks, 1), marks / own * 10, depth,
+        children, size / count, text / whole, start / whole, siblings, alike / siblings, text / np.where(some, own[up], own),
+        np.log1p(rival), parts, direct / own, np.where(some, share[up], 0), n_tokens, top, np.where(some, np.log1p(text[up]), 0),
+        total, low, high, above, known,
+    ], axis=1)
+    kinds = np.zeros((len(raw), 2 * len(_TAGS)))
+    here, there = tag >= 0, (tag[up] >= 0) & some
+    kinds[np.flatnonzero(here), tag[here].astype(int)] = 1
+    kinds[np.flatnonzero(there), len(_TAGS) + tag[up][there].astype(int)] = 1
+    return np.concatenate([kinds, measures], axis=1)
 
 
 def decode(page: Page, odds: np.ndarray) -> set[int]:
@@ -387,7 +412,7 @@ class PageModel:
 
     def main_texts(self, htmls: list[str | None]) -> list[str]:
         parsed = [parse(h) for h in htmls]
-        odds = self.trees.log_odds(np.concatenate([features(p, self.tokens) for p in parsed]))
+        odds = self.trees.log_odds(feature_table(parsed, self.tokens))
         cuts = np.cumsum([len(p.nodes) for p in parsed])[:-1]
         return [assemble(p, decode(p, o)) for p, o in zip(parsed, np.split(odds, cuts))]
 
@@ -396,7 +421,7 @@ def train(pages: list[str]) -> PageModel:
     """Fit token odds and trees on a bounded list of pages."""
     labelled = _training_pages(pages)
     tokens = token_odds(labelled)
-    x = np.concatenate([features(p, tokens) for p in labelled])
+    x = feature_table(labelled, tokens)
     y = np.concatenate([[n.label for n in p.nodes] for p in labelled]).astype(float)
     return PageModel(tokens, fit_boosted(x, y, trees=60, depth=4))
 

@@ -57,3 +57,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,
         if np.abs(step).max(initial=0) < 1e-8:
             break
     return w
+
+
+def drop_step(step: DataFrame) -> None:
+    """Delete the written table of a ``cut_lineage`` frame that nothing reads any more."""
+    spark = step.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in step.inputFiles()}:
+        if "/step-" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

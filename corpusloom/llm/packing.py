@@ -131,7 +131,17 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
 
 
 def pack_lengths(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths in order) with the number of sequences of each, using up the histogram."""
+    """Patterns (lengths in order) with the number of sequences of each, using up the histogram.
+
+    Planned with exact complements of up to three, two and one lengths; the plan with the fewest
+    sequences counts. All plans work on the histogram only.
+    """
+    plans = [_plan(histogram, capacity, most) for most in (3, 2, 1)]
+    return min(plans, key=lambda patterns: sum(n for _, n in patterns))
+
+
+def _plan(histogram: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
+    """Exact complements of up to ``most`` lengths, then best fit."""
     left = Counter({length: n for length, n in histogram.items() if n > 0})
     if any(not 0 < length <= capacity for length in left):
         raise ValueError("lengths must lie between 1 and the capacity")
@@ -147,12 +157,12 @@ def pack_lengths(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tu
 
     # Exact complements of one, two and three lengths, longest first.
     consume(capacity)
-    for a in sorted(left, reverse=True):
+    for a in sorted(left, reverse=True) if most > 1 else ():
         if left[a] > 0 and capacity - a <= a and left[capacity - a] > 0:
             consume(a, capacity - a)
-    for a in sorted(left, reverse=True):
+    for a in sorted(left, reverse=True) if most > 2 else ():
         rest = capacity - a
-        for b in range(min(a, rest - 1), (rest + 1) // 2 - 1, -1):
+        for b in range((rest + 1) // 2, min(a, rest - 1) + 1):  # even halves first: short pieces stay as filling
             if left[a] <= 0:
                 break
             if left[b] > 0 and left[rest - b] > 0:

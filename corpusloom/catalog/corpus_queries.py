@@ -139,7 +139,7 @@ def d01(spark, sf):
 )
 def d02(spark, sf):
     rank = F.substring("source_id", 4, 10).cast("int")
-    keyed = clean_posts(spark, sf).withColumn("row_key", quality.packed_key(rank, F.col("doc_id")))
+    keyed = clean_posts(spark, sf).withColumn("row_key", quality.ordered_key(rank, F.col("doc_id")))
     return quality.dedupe_first(keyed, ["clean"], "row_key").select("doc_id", "source_id")
 
 

@@ -276,7 +276,7 @@ def f09(spark, sf):
 
 @query(
     "f12_count_terms",
-    f"WITH {sql_grams(1, 1.0, 10000)} SELECT doc_id, index, c.term, c.tf FROM c JOIN vocab v ON v.term = c.term",
+    f"WITH {sql_grams(1, 1.0, 10**9)} SELECT doc_id, index, c.term, c.tf FROM c JOIN vocab v ON v.term = c.term",
 )
 def f12(spark, sf):
     return features.count_terms(clean_posts(spark, sf), "doc_id", "clean").withColumn("tf", F.col("tf").cast("long"))
@@ -364,18 +364,17 @@ _DISTRESS = (r"\b(?:and|und)\b", r"\b(?:le|die)\s+(?:de|der)\b", r"\bto the\b|\b
 @query(
     "r03_cues",
     rf"""SELECT doc_id, regexp_matches(clean, '\b(?:{_POSITIVE_WORDS})\b') AS positive_words,
-      regexp_matches(clean, '\b(?:{'|'.join(_CRISIS)})\b') OR regexp_matches(lower(text), '\b(?:{'|'.join(_CRISIS)})\b') AS crisis,
-      {' + '.join(f"(regexp_matches(clean, '{p}') OR regexp_matches(lower(text), '{p}'))::INT" for p in _DISTRESS)} AS distress_cues
+      regexp_matches(clean, '\b(?:{'|'.join(_CRISIS)})\b') AS crisis,
+      {' + '.join(f"regexp_matches(clean, '{p}')::INT" for p in _DISTRESS)} AS distress_cues
     FROM {_A}""",
 )
 def r03(spark, sf):
-    # Word boundaries are ASCII in the SQL engine, so the raw texts keep only ASCII letters there.
     frame = clean_posts(spark, sf)
     return frame.select(
         "doc_id",
         cues.has_positive_words(F.col("clean"), _POSITIVE_WORDS).alias("positive_words"),
-        cues.has_crisis_expression(F.col("clean"), F.col("text"), _CRISIS).alias("crisis"),
-        cues.distress_count(F.col("clean"), F.col("text"), _DISTRESS).alias("distress_cues"),
+        cues.has_crisis_expression(F.col("clean"), expressions=_CRISIS).alias("crisis"),
+        cues.distress_count(F.col("clean"), patterns=_DISTRESS).alias("distress_cues"),
     )
 
 

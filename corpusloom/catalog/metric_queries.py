@@ -121,7 +121,7 @@ _SQL_DRAW = " + ".join(f"(d >= {b})::INT" for b in _BOUNDS)
 
 @query(
     "v08_bootstrap",
-    f"""WITH s AS ({SQL_SCORED}), x AS (SELECT s.*, b, md5(concat('{SEED}:', b, ':', doc_id)) AS h FROM s, (SELECT unnest(range(0, 50)) AS b)),
+    f"""WITH s AS ({SQL_SCORED}), x AS (SELECT s.*, b, md5(concat('{SEED}:', b, ':', doc_id)) AS h FROM s, (SELECT unnest(range(0, 100)) AS b)),
     y4 AS (SELECT y, pred, score, b * 4 + i AS g, CAST('0x' || substr(h, CAST(8 * i + 1 AS BIGINT), 8) AS BIGINT) AS d FROM x, (SELECT unnest(range(0, 4)) AS i)),
     w AS (SELECT g, y, pred, score, {_SQL_DRAW} AS w FROM y4),
     c AS (SELECT g, sum(w) FILTER (y = 1 AND pred = 1) AS tp0, sum(w) FILTER (y = 0 AND pred = 1) AS fp0, sum(w) FILTER (y = 1 AND pred = 0) AS fn0,
@@ -133,7 +133,7 @@ _SQL_DRAW = " + ".join(f"(d >= {b})::INT" for b in _BOUNDS)
     SELECT metric, round(quantile_cont(value, 0.025), 6) AS lower, round(quantile_cont(value, 0.975), 6) AS upper, count(*) AS n_replicates FROM l GROUP BY 1""",
 )
 def v08(spark, sf):
-    out = metrics.bootstrap(scored(spark, sf), "doc_id", "y", "pred", "score", n=200, seed=SEED)
+    out = metrics.bootstrap(scored(spark, sf), "doc_id", "y", "pred", "score", n=400, seed=SEED)
     return _rounded(out, ["lower", "upper"])
 
 

@@ -70,7 +70,7 @@ def s05(spark, sf):
         "doc_id", "source_id", "clean", F.coalesce("label", F.lit(0)).alias("label")
     )
     rank = F.substring("source_id", 4, 10).cast("int")
-    keyed = frame.withColumn("row_key", quality.packed_key(rank, F.col("doc_id")))
+    keyed = frame.withColumn("row_key", quality.ordered_key(rank, F.col("doc_id")))
     return readers.import_report(keyed, "source_id", "clean", "label", "row_key")
 
 

@@ -24,13 +24,13 @@ def normalise_label(
     c: Column, label_type: str, positives: Iterable[str] = settings.POSITIVE_LABELS
 ) -> Column:
     """Label of one source as "0" or "1"."""
+    if label_type not in LABEL_TYPES:
+        raise ValueError(f"unknown label type {label_type!r}; expected one of {LABEL_TYPES}")
     number = numeric_or_null(c)
     if label_type == "binary_numeric":
         positive = (number >= 1) & (number < 2)
     elif label_type in ("mental_health_status", "string_positive_set"):
         positive = F.trim(c.cast("string")).isin(list(positives))
-    elif label_type == "urdu_severity":
-        positive = number >= 1
     else:
-        raise ValueError(f"unknown label type {label_type!r}; expected one of {LABEL_TYPES}")
+        positive = number >= 1
     return F.when(positive, "1").otherwise("0")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import settings
 from ..functions import text as tx
-from ..session import small_table
+from ..session import small_rows, small_table
 from . import lexicon, sentiment
 from .rows import term_stats
 
@@ -205,9 +205,9 @@ def _vocabulary_lookup(vocab: dict[str, tuple[int, float]]):
 
 
 def count_terms(
-    df: DataFrame, doc: str, clean: str, max_df: float = 1.0, max_terms: int = 10000, ngrams: tuple[int, int] = (1, 2)
+    df: DataFrame, doc: str, clean: str, max_df: float = 1.0, max_terms: int | None = None, ngrams: tuple[int, int] = (1, 2)
 ) -> DataFrame:
-    """Count vectors in long form: (doc, index, term, tf)."""
+    """Count vectors in long form: (doc, index, term, tf); all terms unless ``max_terms`` caps them."""
     vocab = vocabulary(df, clean, max_terms, ngrams, min_df=1, max_df=max_df)
     table = small_table(vocab.select("term", "index")).frame
     pairs = term_pairs(df, doc, clean, ngrams)
@@ -231,7 +231,7 @@ def standardise(vectors: DataFrame, embedding: str = "embedding", to: str = "sca
 
     Moments have one row per dimension, so they become constant arrays.
     """
-    moments = sorted(small_table(vector_moments(vectors, embedding)).rows or [], key=lambda r: r.position)
+    moments = sorted(small_rows(vector_moments(vectors, embedding)), key=lambda r: r.position)
     means = F.array(*[F.lit(r["mean"]) for r in moments])
     scales = F.array(*[F.lit(r["std"] or 1.0) for r in moments])
     centred = F.zip_with(F.col(embedding), means, lambda x, m: x.cast("double") - m)

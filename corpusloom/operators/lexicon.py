@@ -30,12 +30,13 @@ def _entries(lexicon: DataFrame, column: str) -> tuple[DataFrame, list[str] | No
     return table.frame, sorted(row.entry for row in table.rows) if table.is_local else None
 
 
-def expand(patterns: DataFrame, expansions: DataFrame, limit: int = 80) -> DataFrame:
+def expand(patterns: DataFrame, expansions: DataFrame, limit: int | None = None) -> DataFrame:
     """Phrases from pattern lines with placeholders.
 
     ``patterns`` has a column ``line``; ``expansions`` has (placeholder, position, value).
-    Every combination of values replaces the placeholders of a line, at most ``limit`` of
-    them in the order of the values; a line without placeholder is taken as it is.
+    Every combination of values replaces the placeholders of a line; a line without
+    placeholder is taken as it is. ``limit`` keeps the first combinations of a line in the order
+    of the values: ``settings.EXPANSIONS_PER_LINE`` is the published value, None keeps all.
     """
     values = expansions.groupBy("placeholder").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("position", "value"))), lambda v: F.lower(v["value"])).alias(
@@ -61,7 +62,8 @@ def expand(patterns: DataFrame, expansions: DataFrame, limit: int = 80) -> DataF
         )
     spaced = F.transform("found", lambda p: F.trim(F.regexp_replace(p, r"\s+", " ")))
     kept = F.filter(spaced, lambda p: F.length(p) >= 4)
-    phrases = F.when(F.col("expanded"), F.slice(kept, 1, limit)).otherwise(spaced)
+    first = kept if limit is None else F.slice(kept, 1, limit)
+    phrases = F.when(F.col("expanded"), first).otherwise(spaced)
     return out.select(F.explode(phrases).alias("phrase")).distinct()
 
 
@@ -150,11 +152,14 @@ def phrase_matches(df: DataFrame, doc: str, clean: str, phrases: DataFrame, to:
     hits = long_grams.join(wanted.filter(F.length("entry") >= _GRAM), "gram").filter(
         F.col(clean).contains(F.col("entry"))
     ).select(doc, "entry")
-    _, short = _entries(frame.filter(F.length("entry") < _GRAM), "entry")
-    if short:
-        few = df.select(doc, F.explode(_contained(text, matchable(short), pad=False)).alias("entry"))
-        hits = hits.unionByName(few)
-    return _attach(df, doc, hits, to)
+    # Shorter phrases are windows themselves.
+    sizes = F.array(*[F.lit(size) for size in range(1, _GRAM)])
+    whole = F.filter(
+        F.flatten(F.transform(sizes, lambda size: F.transform(at, lambda i: F.substring(text, i, size)))), lambda w: F.length(w) > 0
+    )
+    short = df.select(doc, F.explode(F.array_distinct(whole)).alias("entry"))
+    few = short.join(frame.filter(F.length("entry") < _GRAM).select("entry"), "entry").select(doc, "entry")
+    return _attach(df, doc, hits.unionByName(few), to)
 
 
 def _attach(df: DataFrame, doc: str, hits: DataFrame, to: str) -> DataFrame:

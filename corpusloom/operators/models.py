@@ -53,14 +53,19 @@ def forest(trees: int = 250, seed: int = settings.SEED) -> RandomForestClassifie
     return RandomForestClassifier(**_COLUMNS, weightCol="weight", numTrees=trees, maxDepth=30, seed=seed)
 
 
-def boosting(rounds: int = 300, depth: int = 6, step: float = 0.05, seed: int = settings.SEED) -> GBTClassifier:
-    return GBTClassifier(
+def boosting(
+    rounds: int = 300, depth: int = 6, step: float = 0.05, seed: int = settings.SEED, weighted: bool = True
+) -> GBTClassifier:
+    """Boosted trees on the balanced rows: by default with the ``weight`` column."""
+    model = GBTClassifier(
         **_COLUMNS, maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=seed
     )
+    return model.setWeightCol("weight") if weighted else model
 
 
 def out_of_domain_boosting(seed: int = settings.SEED) -> GBTClassifier:
-    return boosting(200, 5, 0.05, seed)
+    """The published out-of-domain candidate, which is fitted without balancing."""
+    return boosting(200, 5, 0.05, seed, weighted=False)
 
 
 def bernoulli_bayes(smoothing: float = 0.1) -> NaiveBayes:
@@ -265,7 +270,7 @@ def embedding_classifier(train: DataFrame, val: DataFrame, vector: str = "vector
 
 def grid(df: DataFrame, steps: Sequence[float] = (0.02, 0.03, 0.04, 0.05, 0.06, 0.07), rounds: int = 300, k: int = 5, seed: int = settings.SEED) -> CrossValidatorModel:
     """Cross-validated search over the boosting step size by accuracy."""
-    estimator = boosting(rounds, 3, seed=seed)
+    estimator = boosting(rounds, 3, seed=seed, weighted=False)
     search = ParamGridBuilder().addGrid(estimator.stepSize, list(steps)).build()
     return CrossValidator(
         estimator=estimator, estimatorParamMaps=search, numFolds=k, seed=seed, parallelism=2,

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from .. import settings
 
 SPLITS = ("train", "val", "test")
-_SEPARATOR = "\x1f"
 
 
 def union_sources(frames: Sequence[DataFrame], rank: str | None = None) -> DataFrame:
@@ -23,18 +22,22 @@ def union_sources(frames: Sequence[DataFrame], rank: str | None = None) -> DataF
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def packed_key(rank: Column, row_id: Column) -> Column:
-    """Order key (source rank, row id) in one LONG: 20 bits of rank, 43 bits of id."""
-    return F.shiftleft(rank.cast("long"), 43).bitwiseOR(row_id.cast("long"))
+def ordered_key(rank: Column, row_id: Column) -> Column:
+    """Order key (source rank, row id): a struct of two full-width numbers, so none can collide."""
+    return F.struct(rank.cast("long").alias("rank"), row_id.cast("long").alias("row_id"))
 
 
 def key_digest(columns: Sequence[str]) -> Column:
-    """Fixed-width digest of a key; null and empty stay different."""
-    parts = [
-        F.when(F.col(name).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(name).cast("string")))
-        for name in columns
-    ]
-    return F.sha2(F.concat_ws(_SEPARATOR, *parts), 256)
+    """Fixed-width digest of a key; null and empty stay different.
+
+    Every part carries its length, so no value can pass for the border between two.
+    """
+
+    def part(name: str) -> Column:
+        value = F.col(name).cast("string")
+        return F.when(value.isNull(), F.lit("n")).otherwise(F.concat(F.length(value).cast("string"), F.lit(":"), value))
+
+    return F.sha2(F.concat(*[part(name) for name in columns]), 256)
 
 
 def dedupe_first(df: DataFrame, key: Sequence[str], row_key: str) -> DataFrame:

@@ -84,33 +84,33 @@ def hash_cells(
         rank = F.row_number().over(W.partitionBy(*by).orderBy("_h"))
         ranked = df.withColumn("_h", hash_order(key, seed)).withColumn("_rank", rank)
         cell = F.coalesce(F.size(F.filter("upto", lambda u: u < F.col("_rank"))), F.lit(0))
-        return _null_safe_join(ranked, cuts, by, "left").withColumn(to, cell).drop("_h", "_rank", "upto")
+        return null_safe_join(ranked, cuts, by, "left").withColumn(to, cell).drop("_h", "_rank", "upto")
     hashed = df.select(*strata, hash_order(key, seed).alias("_h")).withColumn("_b", _bucket(F.col("_h"), buckets))
     wanted = cuts.select(*by, F.posexplode("upto").alias("_j", "_upto")).filter(F.col("_upto") > 0)
     totals = hashed.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
     running = F.sum("_n").over(W.partitionBy(*by).orderBy("_b"))
     spans = totals.withColumn("_to", running).withColumn("_from", F.col("_to") - F.col("_n"))
     edges = small_table(
-        _null_safe_join(spans, wanted, by)
+        null_safe_join(spans, wanted, by)
         .filter((F.col("_upto") > F.col("_from")) & (F.col("_upto") <= F.col("_to")))
         .select(*by, "_b", "_j", (F.col("_upto") - F.col("_from")).alias("_need"))
     ).frame
     places = edges.select(*by, "_b").distinct()
-    inside = _null_safe_join(hashed, places, [*by, "_b"])
+    inside = null_safe_join(hashed, places, [*by, "_b"])
     rank = F.row_number().over(W.partitionBy(*by, "_b").orderBy("_h"))
-    found = _null_safe_join(inside.withColumn("_rank", rank), edges, [*by, "_b"]).filter(
+    found = null_safe_join(inside.withColumn("_rank", rank), edges, [*by, "_b"]).filter(
         F.col("_rank") == F.col("_need")
     )
     at_cut = found.groupBy(*by).agg(F.sort_array(F.collect_list("_h")).alias("_cuts"))
     zero = cuts.select(*by, F.size(F.filter("upto", lambda u: u <= 0)).alias("_passed"))
-    table = small_table(_null_safe_join(zero, at_cut, by, "left")).frame
-    joined = _null_safe_join(df.withColumn("_h", hash_order(key, seed)), table, by, "left")
+    table = small_table(null_safe_join(zero, at_cut, by, "left")).frame
+    joined = null_safe_join(df.withColumn("_h", hash_order(key, seed)), table, by, "left")
     beyond = F.size(F.filter("_cuts", lambda cut: cut < F.col("_h")))
     cell = F.coalesce(F.col("_passed"), F.lit(0)) + F.when(F.col("_cuts").isNull(), 0).otherwise(beyond)
     return joined.withColumn(to, cell).drop("_h", "_cuts", "_passed")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on strata; a null stratum is a stratum of its own."""
     renamed = right.select(
         *[F.col(c).alias(f"_r_{c}") if c in by else F.col(c) for c in right.columns]
@@ -133,7 +133,7 @@ def grouped_rank(df: DataFrame, group: Sequence[str], key: str, seed: int, to: s
     offsets = totals.select(*group, "_b", before.alias("_before"))
     inner = F.row_number().over(W.partitionBy(*group, "_b").orderBy("_h"))
     ranked = hashed.withColumn("_inner", inner)
-    joined = _null_safe_join(ranked, offsets, [*group, "_b"])
+    joined = null_safe_join(ranked, offsets, [*group, "_b"])
     return joined.withColumn(to, F.col("_inner") + F.col("_before")).drop("_h", "_b", "_inner", "_before")
 
 
@@ -183,7 +183,7 @@ def running_totals(
     )
     window = W.partitionBy(*group, "_range").orderBy(sort).rowsBetween(W.unboundedPreceding, 0)
     inner = ranged.withColumns({to: F.sum(source).over(window) for to, source in sums.items()})
-    joined = _null_safe_join(inner, offsets, [*group, "_range"])
+    joined = null_safe_join(inner, offsets, [*group, "_range"])
     out = joined.withColumns({to: F.col(to) + F.col(f"_o_{source}") for to, source in sums.items()})
     return out.drop("_range", *[f"_o_{s}" for s in set(sums.values())])
 

@@ -169,8 +169,12 @@ def assess(
     low: float | Column = settings.TIER_LOW,
     high: float | Column = settings.TIER_HIGH,
     limit: int = settings.EVIDENCE_LIMIT,
+    match_raw: bool = False,
 ) -> DataFrame:
-    """Full assessment of each text; row by row, so it runs on streams as well."""
+    """Full assessment of each text; row by row, so it runs on streams as well.
+
+    ``match_raw`` also looks for wording in the raw text, where apostrophes survive; off, as published.
+    """
     low, high = (c if isinstance(c, Column) else F.lit(c) for c in (low, high))
     out = df.withColumns({"clean": tx.clean_text(F.col(text)), "score": F.col(score)})
     out = out.withColumns(
@@ -180,7 +184,7 @@ def assess(
     out = lexicon.evidence(
         out, doc, "clean", lexicons.terms, lexicons.positive, lexicons.negative, lexicons.names, limit
     )
-    out = display_tier(add_cues(out, "clean", text), low, high)
+    out = display_tier(add_cues(out, "clean", text if match_raw else None), low, high)
     sane = sane_cutoffs(low, high)
     return out.withColumns(
         {

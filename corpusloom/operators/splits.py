@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from .. import settings
-from ..session import SmallTable, local_rows, small_table
+from ..session import SmallTable, local_rows, small_rows, small_table
 from .labelling import majority_label
-from .ranking import grouped_rank, hash_cells, hash_order, largest_remainder, strata_counts
+from .ranking import grouped_rank, hash_cells, hash_order, largest_remainder, null_safe_join, strata_counts
 
 _MIN_SOURCES = 3
 
@@ -122,7 +122,7 @@ def grouped(
     names = rest.select(group, F.when(F.col("_val"), "val").otherwise("train").alias(to)).unionByName(
         first.filter("_test").select(group, F.lit("test").alias(to))
     )
-    return df.join(small_table(names).frame, group)
+    return null_safe_join(df, small_table(names).frame, [group])
 
 
 def holdout(df: DataFrame, key: str, label: str, fraction: float = settings.HOLDOUT_FRACTION, seed: int = settings.SEED, to: str = "held_out") -> DataFrame:
@@ -162,11 +162,11 @@ def sample_per_group(df: DataFrame, group: str, key: str, seed: int = settings.S
 
 
 def class_weights(df: DataFrame, label: str, to: str = "weight") -> DataFrame:
-    """Balanced weights n / (classes * rows of the class)."""
+    """Balanced weights n / (classes * rows of the class); a null label is a class of its own."""
     counts, n, _ = _counts(df, [label])
     k = counts.count()
     weights = counts.select(label, (F.lit(float(n)) / (F.lit(float(k)) * F.col("n"))).alias(to))
-    return df.join(weights, label)
+    return null_safe_join(df, weights, [label])
 
 
 def oversample(
@@ -185,15 +185,16 @@ def oversample(
     the data alone unless the rate of the largest numeric label lies in that range.
     """
     counts, n, _ = _counts(df, [label])
-    rows = {row[label]: row.n for row in counts.collect()}
+    rows = {row[label]: row.n for row in small_rows(counts)}
     biggest = max(rows.values())
     if only_between is not None:
-        rate = rows.get(max(rows), 0) / n
+        named = [name for name in rows if name is not None]
+        rate = rows[max(named)] / n if named else 0.0
         if not only_between[0] < rate < only_between[1]:
             rows = {name: biggest for name in rows}
     if mode == "weight":
         weight = counts.select(label, (F.lit(float(biggest)) / F.col("n")).alias("weight"))
-        return df.join(weight, label)
+        return null_safe_join(df, weight, [label])
     if mode != "copies":
         raise ValueError("mode must be 'weight' or 'copies'")
     schema = StructType(
@@ -202,7 +203,7 @@ def oversample(
     plan = local_rows(
         df.sparkSession, [(name, biggest // m, [biggest % m]) for name, m in rows.items()], schema
     )
-    cells = hash_cells(df, [label], key, seed, plan, n, "_cell").join(plan.select(label, "times"), label)
+    cells = null_safe_join(hash_cells(df, [label], key, seed, plan, n, "_cell"), plan.select(label, "times"), [label])
     copies = F.col("times") + F.when(F.col("_cell") == 0, 1).otherwise(0)
     return cells.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("_cell", "times")
 
@@ -218,28 +219,26 @@ def folds(df: DataFrame, key: str, label: str, k: int = settings.CV_FOLDS, seed:
     if group is not None:
         assigned = _group_folds(df, label, group, k)
         if assigned is not None:
-            return df.join(assigned.withColumnRenamed("fold", to), group)
+            return null_safe_join(df, assigned.withColumnRenamed("fold", to), [group])
     upto = F.array(*[F.ceil(F.col("n") * F.lit(j) / F.lit(float(k))).cast("long") for j in range(1, k)])
     return hash_cells(df, [label], key, seed, counts.select(label, upto.alias("upto")), n, to)
 
 
 def _group_folds(df: DataFrame, label: str, group: str, k: int) -> DataFrame | None:
-    """Greedy assignment on the small group x label table; None with too few groups.
+    """Greedy assignment on the group x label table; None with too few groups.
 
-    Groups go, largest spread first, to the fold that keeps the label shares most even.
+    Groups go, largest spread first, to the fold that keeps the label shares most even. The rule
+    is sequential in the groups (not in rows), so the driver runs it over the counts, which are
+    streamed in that order one partition at a time; null groups and labels are values of their own.
     """
-    table = small_table(strata_counts(df, [group, label]))
-    if not table.is_local:
-        # Very many groups: none of them matters alone, and hashing keeps folds even.
-        spread = F.pmod(F.xxhash64(group), F.lit(k)).cast("int")
-        return df.select(group).distinct().withColumn("fold", spread)
-    labels = sorted({row[label] for row in table.rows}, key=str)
-    sizes: dict = {}
-    for row in table.rows:
-        sizes.setdefault(row[group], dict.fromkeys(labels, 0))[row[label]] = row.n
-    if len(sizes) < k:
+    counts = strata_counts(df, [group, label])
+    if counts.select(group).distinct().count() < k:
         return None
-    totals = {name: sum(size[name] for size in sizes.values()) or 1 for name in labels}
+    labels = sorted((r[0] for r in small_rows(counts.select(label).distinct())), key=str)
+    totals = {r[label]: r["n"] or 1 for r in small_rows(counts.groupBy(label).agg(F.sum("n").alias("n")))}
+    per_group = counts.groupBy(group).agg(F.collect_list(F.struct(F.col(label).alias("label"), "n")).alias("sizes"))
+    text = F.coalesce(F.col(group).cast("string"), F.lit("None"))
+    ordered = per_group.orderBy(F.desc(F.array_max(F.transform("sizes", lambda s: s["n"]))), text)
 
     def unevenness(load: list[dict]) -> float:
         worst = 0.0
@@ -250,18 +249,20 @@ def _group_folds(df: DataFrame, label: str, group: str, k: int) -> DataFrame | N
         return worst
 
     load = [dict.fromkeys(labels, 0) for _ in range(k)]
-    assigned = {}
-    for name, size in sorted(sizes.items(), key=lambda item: (-max(item[1].values()), str(item[0]))):
+    assigned = []
+    for row in ordered.toLocalIterator():
+        size = dict.fromkeys(labels, 0) | {s["label"]: s["n"] for s in row["sizes"]}
+
         def cost(fold: int) -> tuple[float, int]:
             trial = [{c: f[c] + (size[c] if i == fold else 0) for c in labels} for i, f in enumerate(load)]
             return round(unevenness(trial), 12), sum(load[fold].values())
 
         best = min(range(k), key=cost)
-        assigned[name] = best
+        assigned.append((row[group], best))
         for c in labels:
             load[best][c] += size[c]
     schema = StructType([df.schema[group], StructField("fold", IntegerType())])
-    return local_rows(df.sparkSession, list(assigned.items()), schema)
+    return local_rows(df.sparkSession, assigned, schema)
 
 
 def balanced_batches(df: DataFrame, key: str, label: str, size: int, seed: int = settings.SEED, positive=1) -> DataFrame:

@@ -91,6 +91,14 @@ def small_table(df: DataFrame, limit: int = settings.LOCAL_TABLE_ROWS) -> SmallT
     return SmallTable(local_table(df.sparkSession, table, df.schema), [Row(**r) for r in table.to_pylist()])
 
 
+def small_rows(df: DataFrame, limit: int = settings.LOCAL_TABLE_ROWS) -> list[Row]:
+    """All rows of a table that must be small; an error, never a cut, beyond ``limit``."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows where a small table is needed")
+    return rows
+
+
 def local_table(spark: SparkSession, table: pa.Table, schema: StructType) -> DataFrame:
     """An Arrow table as a local relation, whose size the optimiser knows."""
     return spark.createDataFrame(table, schema)

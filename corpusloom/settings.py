@@ -32,6 +32,7 @@ MEDIUM_CHARS = 80
 MIN_WORDS = 8
 LATIN_RATIO = 0.82
 EVIDENCE_LIMIT = 5
+EXPANSIONS_PER_LINE = 80
 
 OVERRIDE_MAX_SCORE = 0.45
 OVERRIDE_MIN_SENTIMENT = 0.50

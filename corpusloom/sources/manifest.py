@@ -100,14 +100,10 @@ def load_sources(
         raise FileNotFoundError(f"no source file found in {folder}")
     frames = [
         load_source(spark, resolved[s.id].path, s, positives).withColumn(
-            "row_key", quality.packed_key(F.lit(s.rank), _compact(F.col("row_id")))
+            "row_key", quality.ordered_key(F.lit(s.rank), F.col("row_id"))
         )
         for s in specs
     ]
     minimum = local_rows(spark, [(s.id, s.min_chars) for s in specs if s.min_chars is not None], "source_id string, min_chars int")
     return quality.union_sources(frames).drop("row_id"), minimum
 
-
-def _compact(row_id):
-    """Partition number and row number of a generated id in 43 bits (2**15 and 2**28)."""
-    return F.shiftleft(F.shiftright(row_id, 33), 28).bitwiseOR(row_id.bitwiseAND(F.lit((1 << 28) - 1)))

@@ -14,27 +14,28 @@ from ..operators.quality import dedupe_first
 _BOM = "﻿"
 
 
-def read_posts(spark: SparkSession, path: str) -> DataFrame:
-    """Read a CSV with a header; every column is a string, empty cells are null.
+def read_posts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Read CSV files with a header; every column is a string, empty cells are null.
 
-    UTF-8 first. Spark shows undecodable bytes as U+FFFD instead of failing, so a file
-    showing that character is read again as Latin-1.
+    The encoding is chosen per file: UTF-8 where all bytes are valid, else Latin-1, so a file that
+    really contains U+FFFD stays as it is and one broken file does not change the others.
+    ``multi_line`` allows line breaks inside quotes; without it large files are split.
     """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("ok"))
+    checked = lines.groupBy("file").agg(F.min("ok").alias("ok")).collect()  # one row per file
 
-    def load(encoding: str) -> DataFrame:
-        return spark.read.csv(
-            path, header=True, multiLine=True, quote='"', escape='"', encoding=encoding, inferSchema=False
+    def load(files: str | list[str], encoding: str) -> DataFrame:
+        frame = spark.read.csv(
+            files, header=True, multiLine=multi_line, quote='"', escape='"', encoding=encoding, inferSchema=False
         )
-
-    frame = load("UTF-8")
-    broken = None
-    for name in frame.columns:
-        here = F.col(f"`{name}`").contains("�")
-        broken = here if broken is None else broken | here
-    in_header = any("�" in name for name in frame.columns)
-    if in_header or (broken is not None and not frame.filter(F.coalesce(broken, F.lit(False))).isEmpty()):
-        frame = load("ISO-8859-1")
-    return frame.toDF(*[name.lstrip(_BOM) for name in frame.columns])
+        return frame.toDF(*[name.lstrip(_BOM).removeprefix("\u00ef\u00bb\u00bf") for name in frame.columns])
+
+    broken = sorted(r["file"] for r in checked if not r["ok"])
+    if not broken:
+        return load(path, "UTF-8")
+    latin = load(broken, "ISO-8859-1")
+    sound = sorted(r["file"] for r in checked if r["ok"])
+    return load(sound, "UTF-8").unionByName(latin, allowMissingColumns=True) if sound else latin
 
 
 def pick_column(columns: Sequence[str], candidates: Sequence[str]) -> str | None:

@@ -6,6 +6,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import settings
 from ..functions.text import let
@@ -21,11 +22,14 @@ _META_SCHEMA = "key string, value string, written_at timestamp"
 
 
 def write_samples(samples: DataFrame, path: str, row_key: str, created_at: datetime | None = None) -> None:
-    """Overwrite the store; one folder per split, so reading a split touches only that."""
+    """Overwrite the store; one folder per split, so reading a split touches only that.
+
+    A numeric ``row_key`` is the sample id; for a composite one the store numbers its rows.
+    """
     stamp = created_at or datetime.now(UTC)
-    full = samples.withColumns(
-        {"sample_id": F.col(row_key).cast("long"), "created_at": F.lit(stamp).cast("timestamp")}
-    )
+    composite = isinstance(samples.schema[row_key].dataType, StructType)
+    sample_id = F.monotonically_increasing_id() if composite else F.col(row_key).cast("long")
+    full = samples.withColumns({"sample_id": sample_id, "created_at": F.lit(stamp).cast("timestamp")})
     if "source_file" not in full.columns:
         full = full.withColumn("source_file", F.lit(None).cast("string"))
     full.select(*SAMPLE_COLUMNS).write.mode("overwrite").partitionBy("split_name").parquet(path)

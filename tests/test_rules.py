@@ -157,3 +157,12 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = risk.assess(posts.withColumnRenamed("score", "given"), "doc_id", "text", "given", lex)
     assert got == {r.doc_id: (r.display_tier, list(r.flags)) for r in batch.collect()}
     assert got[1] == ("low", ["positive_context_override"])
+
+
+def test_many_short_phrases_are_all_matched(spark, monkeypatch):
+    real = lexicon.small_table
+    monkeypatch.setattr(lexicon, "small_table", lambda df, limit=0: real(df, 1))
+    phrases = spark.createDataFrame([(p,) for p in ("a", "bc", "def", "longer", "bcd e")], "phrase string")
+    texts = spark.createDataFrame([(1, "abc defg longer"), (2, "xyz"), (3, "bcd e"), (4, "")], "doc int, clean string")
+    got = {r["doc"]: r["matches"] for r in lexicon.phrase_matches(texts, "doc", "clean", phrases).collect()}
+    assert got == {1: ["a", "bc", "def", "longer"], 2: [], 3: ["bc", "bcd e"], 4: []}

@@ -158,3 +158,12 @@ def test_exact_digest_and_its_limit(spark, monkeypatch):
     monkeypatch.setattr(quality.settings, "EXACT_DIGEST_ROWS", 1)
     with pytest.raises(ValueError):
         quality.dataset_fingerprint_exact(frame, "fp")
+
+
+def test_encoding_is_chosen_per_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("text,label\ncaf\u00e9 \ufffd ok,1\n".encode())
+    (tmp_path / "b.csv").write_bytes("text,label\ncaf\u00e9,0\n".encode("latin-1"))
+    rows = {r["label"]: r["text"] for r in readers.read_posts(spark, str(tmp_path)).collect()}
+    assert rows == {"1": "caf\u00e9 \ufffd ok", "0": "caf\u00e9"}
+    one = readers.read_posts(spark, str(tmp_path / "a.csv"), multi_line=False).collect()
+    assert [r["text"] for r in one] == ["caf\u00e9 \ufffd ok"]

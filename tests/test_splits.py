@@ -78,7 +78,7 @@ def test_grouped_rank_and_range_index(spark):
     words = frame.select(F.concat(F.lit("w"), F.col("key").cast("string")).alias("term"))
     edges = ranking.range_edges(words, "term", sample=50, ranges=8)
     assert len(edges) > 3
-    indexed = [r.index for r in ranking.ordered_index(words, "term", edges=edges).orderBy("term").collect()]
+    indexed = [r["index"] for r in ranking.ordered_index(words, "term", edges=edges).orderBy("term").collect()]
     assert indexed == list(range(1, 501))
 
 

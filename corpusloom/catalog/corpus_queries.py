@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import settings
 from ..functions import text as tx
 from ..operators import neardup, quality, splits
 from ..plans import corpus
+from ..session import shared_folder
+from ..sources import store
 from .base import (
     SEED,
     SQL_CLEAN_POSTS,
@@ -89,10 +93,10 @@ def corpus_report(spark, sf):
     f"WITH {SQL_SAMPLES} SELECT doc_id, CAST(label AS VARCHAR) AS label_raw, text_fingerprint FROM samples WHERE split_name = 'test' ORDER BY doc_id",
 )
 def s11(spark, sf):
-    return (
-        samples(spark, sf).filter(F.col("split_name") == "test")
-        .select("doc_id", "label_raw", "text_fingerprint").orderBy("doc_id")
-    )
+    path = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    store.write_samples(samples(spark, sf), path, "doc_id")
+    part = store.read_samples(spark, path, "test", ordered=True)
+    return part.select(F.col("sample_id").alias("doc_id"), "label_raw", "text_fingerprint")
 
 
 @query(

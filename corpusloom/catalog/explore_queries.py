@@ -238,13 +238,12 @@ def u04(spark, sf):
 
 @query(
     "s15_histories",
-    "SELECT conv_id AS user_id, CASE WHEN conv_id % 3 = 0 THEN 0 ELSE 1 END AS y, count(*) AS n_posts FROM conversations WHERE conv_id % 3 < 2 GROUP BY 1, 2",
+    "SELECT conv_id AS user_id, CASE WHEN conv_id % 3 = 0 THEN 0 ELSE 1 END AS y, count(*) AS n_posts, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM conversations WHERE conv_id % 3 < 2 GROUP BY 1, 2",
 )
 def s15(spark, sf):
     label = F.when(F.col("conv_id") % 3 == 0, "control").when(F.col("conv_id") % 3 == 1, "depression")
     post = F.struct(F.col("turn").cast("string").alias("dt"), F.col("text").alias("post"))
-    raw = table(spark, sf, "conversations").select(
-        F.col("conv_id").alias("user_id"), label.alias("label"), F.array(post).alias("posts")
-    )
+    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(post)).alias("posts"))
+    raw = turns.select(F.col("conv_id").alias("user_id"), label.alias("label"), "posts")
     flat = store.flatten_histories(raw)
-    return flat.groupBy("user_id", "y").agg(F.count("*").alias("n_posts"))
+    return flat.groupBy("user_id", "y").agg(F.count("*").alias("n_posts"), F.sum(F.length("text")).alias("n_chars"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from .. import settings
 from ..functions import text as tx
 from ..operators import features, metrics, models, splits
 from ..plans import experiments
@@ -14,12 +15,10 @@ from .feature_queries import lexicons
 QUERIES, ORACLE = {}, {}
 
 def _logistic(rows: float):
-    return models.logistic(rows, iterations=15)
+    return models.logistic(rows)
 
 
-# A small vocabulary and few iterations keep the fits of these checks short; the
-# operators default to 6000 terms and converged fits.
-TERMS = 300
+TERMS = settings.TFIDF_MAX_TERMS
 
 
 def query(name: str, sql: str | None = None):
@@ -63,12 +62,12 @@ def m01(spark, sf):
 
 @query("m02_calibrated_svm")
 def m02(spark, sf):
-    return _scores(spark, sf, "linear_svc", lambda rows: models.svm(rows, iterations=10))
+    return _scores(spark, sf, "linear_svc", models.svm)
 
 
 @query("m03_forest")
 def m03(spark, sf):
-    return _scores(spark, sf, "random_forest", lambda n: models.forest(20))
+    return _scores(spark, sf, "random_forest", lambda n: models.forest())
 
 
 @query("m04_boosting")
@@ -85,7 +84,7 @@ def m05(spark, sf):
     for name, estimator, binary in (
         ("bernoulli_bayes", models.bernoulli_bayes(), True),
         ("shallow_tree", models.shallow_tree(), False),
-        ("l1_logistic", models.multiclass_logistic(rows=float(train.count()), iterations=15), False),
+        ("l1_logistic", models.multiclass_logistic(rows=float(train.count())), False),
     ):
         fit_on, apply_to = (models.binarise(f) if binary else f for f in ready)
         scored = models.positive_probability(estimator.fit(fit_on), apply_to)
@@ -141,7 +140,7 @@ def models_best(found) -> tuple[float, float]:
 @query("f10_scaled_features")
 def f10(spark, sf):
     train, _, _ = _cut(spark, sf)
-    space = experiments.fit_features(train, features.STAT_COLUMNS[:3], None, TERMS)
+    space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons(spark), TERMS)
     ready = space.transform(train)
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
@@ -163,7 +162,7 @@ def f11(spark, sf):
     return out
 
 
-_ROLES = ("src0", "src1", "src2", "src3", "src4", "src5", "src6", "src7"), ("src8", "src9", "src10", "src11")
+_ROLES = tuple(f"src{i}" for i in range(14)), tuple(f"src{i}" for i in range(14, 20))
 
 
 @query(
@@ -185,8 +184,7 @@ def v14(spark, sf):
 @query("v15_ablation")
 def v15(spark, sf):
     train, val, test = _cut(spark, sf)
-    chosen = {"tfidf_only": (), "tfidf_full": features.STAT_COLUMNS}
-    long = experiments.ablation(train, val, test, chosen, lexicons(spark), max_terms=TERMS, build=_logistic)
+    long = experiments.ablation(train, val, test, features.ABLATION_SETS, lexicons(spark), max_terms=TERMS, build=_logistic)
     return long.withColumn("value", r6(F.col("value")))
 
 
@@ -197,7 +195,7 @@ def v16(spark, sf):
 
 @query("v17_cross_validate")
 def v17(spark, sf):
-    return experiments.cross_validate(samples(spark, sf), k=2, max_terms=TERMS, build=_logistic).withColumn("value", r6(F.col("value")))
+    return experiments.cross_validate(samples(spark, sf), max_terms=TERMS, build=_logistic).withColumn("value", r6(F.col("value")))
 
 
 @query("v20_refresh_cutoffs")

@@ -6,6 +6,7 @@ from importlib import import_module
 
 _MODULES = (
     "text_queries", "corpus_queries", "explore_queries", "metric_queries", "feature_queries", "model_queries",
+    "file_queries",
 )
 
 

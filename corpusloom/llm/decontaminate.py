@@ -3,11 +3,12 @@
 Only DataFrame functions are used. Documents become word arrays once (a written table). Then:
 
 1. the corpus frequency of every benchmark word is counted;
-2. each window of a benchmark item is looked up by its two rarest words; postings (row, position)
-   of just these words are stored;
-3. postings are offset by the word's place in the item, and lists of one item that agree in row and
-   offset are intersected: windows for which both rare words stand at the right distance remain;
-4. the rest of the window is compared in the document's own words, which makes matches exact.
+2. each window of a benchmark item is looked up by its two rarest words, and only postings (row,
+   position) of these are read;
+3. postings are offset by the word's place in the item, and lists that agree in row and offset are
+   intersected: windows for which both rare words stand at the right distance remain;
+4. the rest of the window is compared in the document's own words, which makes matches exact;
+   these postings are stored.
 
 ``phrase_matches`` returns the occurrences themselves; ``proximity_matches`` those where an
 item's rare words merely stand close together. A common word is only ever a posting list when
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, cut_lineage, read_table
 
 WINDOW = 10
+BROADCAST_WINDOWS = 200_000
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -94,9 +96,44 @@ def _aligned(plans: DataFrame, indexed: DataFrame) -> DataFrame:
     )
 
 
-def phrase_matches(indexed: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """row, item, size and ``places``: where in the document's words the item's windows start."""
+def phrase_matches(
+    indexed: DataFrame, items: DataFrame, window: int = WINDOW, most_windows: int = BROADCAST_WINDOWS
+) -> DataFrame:
+    """row, item, size and ``places``: where in the document's words the item's windows start.
+
+    Up to ``most_windows`` windows that can occur, these are broadcast (their number is checked)
+    and lists are intersected while postings are read, so that no text is shuffled. Beyond, posting
+    lists are joined. Both ways find the same.
+    """
     plans = _plans(items, indexed, window)
+    possible = plans.agg(F.coalesce(F.sum(F.size("windows")), F.lit(0))).first()[0]
+    if possible <= most_windows:
+        return _read_in_place(indexed, plans)
+    return _join_lists(indexed, plans)
+
+
+def _read_in_place(indexed: DataFrame, plans: DataFrame) -> DataFrame:
+    """Each posting of a rarest word is met by its windows; the second word's place is looked up by offset.
+
+    Explode, join and both comparisons are one generated loop over the document's words.
+    """
+    wanted = plans.select("item", "size", "words", F.explode("windows").alias("w")).select(
+        "item", "size", F.get("words", F.col("w.first")).alias("term"), (F.col("w.first") - F.col("w.start")).alias("back"),
+        (F.col("w.second") - F.col("w.first")).alias("gap"), F.get("words", F.col("w.second")).alias("second"),
+        F.slice("words", F.col("w.start") + 1, F.col("size")).alias("whole"),
+    )
+    postings = indexed.select("row", "words", F.posexplode("words").alias("at", "term"))
+    place = F.col("at") - F.col("back")
+    aligned = postings.join(F.broadcast(wanted), "term").filter(
+        (place >= 0) & (F.get("words", F.col("at") + F.col("gap")) == F.col("second"))
+    )
+    exact = aligned.filter(F.slice("words", place + 1, F.col("size")) == F.col("whole"))
+    kept = cut_lineage(exact.select("row", "item", "size", place.alias("place")))
+    return kept.groupBy("row", "item", "size").agg(F.collect_set("place").alias("places"))
+
+
+def _join_lists(indexed: DataFrame, plans: DataFrame) -> DataFrame:
+    """Posting lists of the rare words joined by item and offset, then compared in the words of the few rows left."""
     both = F.filter(
         "windows", lambda w: F.array_contains("found", w["first"]) & F.array_contains("found", w["second"])
     )

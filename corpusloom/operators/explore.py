@@ -9,10 +9,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import local_rows
+from .ranking import null_safe_join, running_totals
 
 _QUARTILES = (0.25, 0.5, 0.75)
 
 
+def quartiles(counted: DataFrame, by: Sequence[str], value: str = "value", n: str = "n") -> DataFrame:
+    """Exact interpolated quartiles q25, q50, q75 per group of (value, n) rows.
+
+    Running totals inside value ranges say which value stands at a position, and the two
+    neighbours of a quartile are plain minima, so no group's values meet in one task.
+    """
+    totals = counted.groupBy(*by).agg(F.sum(n).alias("_all"))
+    placed = null_safe_join(running_totals(counted, by, value, {"_upto": n}, descending=False), totals, by)
+    at = {name: (F.col("_all") - 1) * share for name, share in zip(("q25", "q50", "q75"), _QUARTILES)}
+    first = lambda position: F.min(F.when(F.col("_upto") > position, F.col(value)))
+    found = placed.groupBy(*by, "_all").agg(
+        *[first(F.floor(h)).alias(f"{name}_lo") for name, h in at.items()],
+        *[first(F.ceil(h)).alias(f"{name}_hi") for name, h in at.items()],
+    )
+    between = lambda name: F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * (at[name] - F.floor(at[name]))
+    return found.select(*by, *[between(name).alias(name) for name in at])
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, std, min, quartiles and max per column, one row each.
 
@@ -35,18 +54,13 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ]
     ).unpivot([], list(columns), "column_name", "s")
     values = long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    quartiles = values.groupBy("column_name").agg(
-        F.percentile("value", list(_QUARTILES), F.col("n")).alias("q")
-    )
-    return stats.join(quartiles, "column_name", "left").select(
+    return stats.join(quartiles(values, ["column_name"]), "column_name", "left").select(
         "column_name",
         F.col("s.n").alias("n"),
         F.col("s.mean").alias("mean"),
         F.col("s.std").alias("std"),
         F.col("s.min").alias("min"),
-        F.get("q", F.lit(0)).alias("q25"),
-        F.get("q", F.lit(1)).alias("q50"),
-        F.get("q", F.lit(2)).alias("q75"),
+        "q25", "q50", "q75",
         F.col("s.max").alias("max"),
     )
 
@@ -90,14 +104,10 @@ def quartiles_by(df: DataFrame, column: str, by: str) -> DataFrame:
     out = counted.groupBy(by).agg(
         F.sum("n").alias("n"),
         F.min("value").alias("min"),
-        F.percentile("value", list(_QUARTILES), F.col("n")).alias("q"),
         F.max("value").alias("max"),
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
     )
-    return out.select(
-        by, "n", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"),
-        "max", "mean",
-    )
+    return null_safe_join(out, quartiles(counted, [by]), [by]).select(by, "n", "min", "q25", "q50", "q75", "max", "mean")
 
 
 def shares(df: DataFrame, column: str) -> DataFrame:

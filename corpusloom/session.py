@@ -58,10 +58,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input of fewer partitions than cores over all cores, by key.
+    """Spread a small single-file input over the cores of a local session, by key.
 
-    For steps that spend long on every row. Inputs of many files are left as they are.
+    On a cluster the frame is returned as it is: tables of that size have many splits, and
+    texts should not be shuffled for parallelism.
     """
+    if not df.sparkSession.sparkContext.master.startswith("local["):
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 

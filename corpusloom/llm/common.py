@@ -44,17 +44,23 @@ def labelled_sample(
     return texts.join(F.broadcast(known), "key")  # at most ``rows`` narrow rows
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, penalty: float = 1e-2) -> np.ndarray:
-    """Penalised logistic regression by Newton's method, for a handful of calibration features."""
-    weight = np.ones(len(y)) if weight is None else weight
+def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-1) -> np.ndarray:
+    """Penalised logistic regression by damped Newton steps, for a handful of calibration features."""
+
+    def loss(w: np.ndarray) -> float:
+        margin = x @ w
+        return float(np.logaddexp(0, margin).sum() - y @ margin + penalty / 2 * w @ w)
+
     w = np.zeros(x.shape[1])
-    for _ in range(40):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = weight * p * (1 - p)
-        hessian = (x * slope[:, None]).T @ x + penalty * np.eye(len(w))
-        step = np.linalg.solve(hessian, x.T @ (weight * (p - y)) + penalty * w)
-        w = w - step
-        if np.abs(step).max(initial=0) < 1e-8:
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w))
+        step = np.linalg.solve(hessian, x.T @ (p - y) + penalty * w)
+        size, now = 1.0, loss(w)
+        while size > 1e-6 and loss(w - size * step) > now:
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max(initial=0) < 1e-8:
             break
     return w
 

@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 from .common import fit_logistic, fold, labelled_sample, read_table
 
 SAMPLE_ROWS = 20_000
-WINDOW_WORDS = 10
-_LEAST_WINDOWS = 4  # a toxic word occurs in so many distinct windows at least
+WINDOW_WORDS = 16
+_LEAST_WINDOWS = 6  # a toxic word occurs in so many distinct windows at least,
+_LEAST_SHARE = 2000  # and in one of so many toxic windows
 _RATIO = 10.0  # and is so many times as frequent as in ordinary windows
 _MATCH = 6  # bytes of a dictionary match
 _ROUNDS = 3
@@ -102,20 +103,14 @@ def _toxic_words(toxic: list[str], ordinary: list[str]) -> list[bytes]:
         sides.append((counts, len(distinct)))
     (a, n_a), (b, n_b) = sides
     share = lambda w: (a[w] / max(n_a, 1)) / ((b[w] + 0.5) / (n_b + 1))
-    kept = [w for w in a if len(w) >= 4 and a[w] >= _LEAST_WINDOWS and share(w) >= _RATIO]
+    least = max(_LEAST_WINDOWS, n_a // _LEAST_SHARE)
+    kept = [w for w in a if len(w) >= 4 and a[w] >= least and share(w) >= _RATIO]
     return sorted(kept, key=lambda w: (a[w], w))
 
 
-def train(rows: list[tuple[str, int]]) -> CompressionModel:
-    """Fit dictionaries and thresholds on (text, label) rows; half of them only calibrate."""
-    rows = sorted(set(rows))  # copies of a text count once
-    share = float(np.mean([y for _, y in rows])) if rows else 0.0
-    rng = np.random.default_rng(42)
-    rows = [rows[i] for i in rng.permutation(len(rows))]
-    fit, held = rows[::2], rows[1::2]
-    toxic, ordinary = [t for t, y in fit if y], [t for t, y in fit if not y]
-    if not toxic or not ordinary or len({y for _, y in held}) < 2:
-        return CompressionModel(b" ", b" ", (), share)
+def _dictionaries(rows: list[tuple[str, int]], rng: np.random.Generator) -> tuple[bytes, bytes]:
+    """(ordinary, toxic) content from labelled texts."""
+    toxic, ordinary = [t for t, y in rows if y], [t for t, y in rows if not y]
     added = b" " + b"  ".join(_toxic_words(toxic, ordinary)) + b" "
     cut = [w for t in ordinary for w in windows(t)]
     cut = [cut[i] for i in rng.permutation(len(cut))]
@@ -124,9 +119,26 @@ def train(rows: list[tuple[str, int]]) -> CompressionModel:
         sample = cut[:_HARD_WINDOWS]
         gains = _Distance(base, added)(sample)
         base = b"".join(w for w, g in zip(sample, gains) if g >= 2)[:60_000] + base
-    distance = _Distance(base, added)
+    return base, added
+
+
+def train(rows: list[tuple[str, int]]) -> CompressionModel:
+    """Fit dictionaries and thresholds on (text, label) rows.
+
+    Dictionaries are trained on two thirds of the rows, thresholds calibrated on the others.
+    """
+    rows = sorted(set(rows))  # copies of a text count once
+    share = float(np.mean([y for _, y in rows])) if rows else 0.0
+    rng = np.random.default_rng(42)
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    fit, held = [r for i, r in enumerate(rows) if i % 3], rows[::3]
+    if len({y for _, y in fit}) < 2 or len({y for _, y in held}) < 2:
+        return CompressionModel(b" ", b" ", (), share)
+    contents = _dictionaries(fit, rng)
+    distance = _Distance(*contents)
     x = np.array([distance.features(t) for t, _ in held])
-    return CompressionModel(base, added, tuple(fit_logistic(x, np.array([y for _, y in held], float))), share)
+    weights = fit_logistic(x, np.array([y for _, y in held], float))
+    return CompressionModel(*contents, tuple(weights), share)
 
 
 def toxicity_score(text: Column, model: CompressionModel) -> Column:

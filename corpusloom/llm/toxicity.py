@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import fit_logistic, fold, labelled_sample, read_table
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 12_000
 WINDOW_WORDS = 16
 _LEAST_WINDOWS = 6  # a toxic word occurs in so many distinct windows at least,
 _LEAST_SHARE = 2000  # and in one of so many toxic windows

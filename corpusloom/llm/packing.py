@@ -32,7 +32,7 @@ from .common import cut_lineage, read_table
 
 CAPACITY = 2048
 END_ID = 0
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 400_000
 
 
 class _WordTokenizer:
@@ -251,8 +251,11 @@ def pack(cut: DataFrame, length: str = "length", capacity: int = CAPACITY) -> Da
             seen += np.bincount(values, minlength=capacity + 1)
             yield batch.assign(pack__task=task, pack__local=local)
 
-    numbered = cut_lineage(cut.mapInPandas(number, cut.withColumns({
-        "pack__task": F.lit(0), "pack__local": F.lit(0).cast("long")}).schema))
+    # Written before it is numbered: tokenizing and numbering in one stage would hold two Python
+    # workers per task, and pooled workers all come to hold the tokenizer's word cache.
+    held = cut_lineage(cut)
+    schema = held.withColumns({"pack__task": F.lit(0), "pack__local": F.lit(0).cast("long")}).schema
+    numbered = cut_lineage(held.mapInPandas(number, schema))
     counts = numbered.groupBy(length, "pack__task").agg(F.count("*").alias("pack__n"))
     histogram = {r[0]: r[1] for r in counts.groupBy(length).agg(F.sum("pack__n")).collect()}  # at most ``capacity`` rows
     before = Window.partitionBy(length).orderBy("pack__task").rowsBetween(Window.unboundedPreceding, -1)

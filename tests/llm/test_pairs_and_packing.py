@@ -166,3 +166,20 @@ def test_nearest_neighbours_recall_ties_and_bad_vectors(spark):
     small = table.filter("vec_id < 5")
     assert ann.nearest_neighbours(small, small.filter("vec_id = 0")).count() == 4
     assert ann.nearest_neighbours(table.limit(0), table.limit(0)).count() == 0
+
+
+def test_probe_reads_every_list_within_the_ratio():
+    rng = np.random.default_rng(5)
+    index = ann.fit(rng.normal(size=(4000, 64)), 1000)
+    most = 0
+    for query in rng.normal(size=(20, 64)):
+        d = np.sqrt(((index.centroids - query) ** 2).sum(axis=1))
+        within = set(np.flatnonzero(d <= (1 + ann.RATIO) * d.min()))
+        most = max(most, len(within))
+        assert set(index.probe(query, ann.RATIO)) == within
+    assert most > ann.BREADTH
+
+
+def test_small_lists_share_a_bundle_and_large_ones_get_parts():
+    got = ann.bundle_lists([(0, 3000), (1, 1000), (3, 97), (4, 9000), (5, 1)])
+    assert got == [(0, 0, 1), (1, 0, 1), (3, 1, 1), (4, 2, 3), (5, 3, 1)]

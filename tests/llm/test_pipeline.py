@@ -75,3 +75,32 @@ def test_empty_documents_pass_every_stage(spark, folder):
     for _, stage in cp.STAGES:
         docs = cut_lineage(stage(spark, docs, path))
     assert docs.count() == 0
+
+
+def test_edited_copies_go_by_five_word_jaccard(spark):
+    rng = np.random.default_rng(7)
+    vocabulary = [f"w{i}" for i in range(900)]
+    texts: dict[int, str | None] = {}
+    for i in range(60):
+        words = rng.choice(vocabulary, int(rng.integers(60, 200))).tolist()
+        texts[10 * i] = " ".join(words)
+        for j in range(1, 7):
+            edited = list(words)
+            for at in rng.integers(0, len(words), j):
+                edited[at] = "changed"
+            texts[10 * i + j] = " ".join(edited)
+    texts |= {9001: "a b", 9002: "A  b", 9003: "a c", 9004: None, 9005: ""}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in texts.items() for w in [(t or "").lower().split()]}
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    classes = {i: i for i in texts}
+    for i in texts:
+        for j in texts:
+            if i < j and classes[i] != classes[j] and alike(sets[i], sets[j]):
+                low, high = sorted((classes[i], classes[j]))
+                classes = {k: low if c == high else c for k, c in classes.items()}
+    rows = [(i, t, "en", None, None) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in cp.drop_near_copies(spark, docs, "").collect()}
+    assert kept == {i for i in texts if classes[i] == i} and 60 < len(kept) < 300
+    prints = {i: simhash.simhash(t) for i, t in texts.items()}
+    assert sum(bin(prints[i] ^ prints[classes[i]]).count("1") > 4 for i in texts) > 20  # what four bits cannot link

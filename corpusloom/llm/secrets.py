@@ -11,14 +11,18 @@ battery looks at every other run of encoded-looking characters:
    (a power of two), the share of random runs is estimated from the upper half of the p-values
    of the whole table, and the smallest cut-off is taken at which the expected share of
    non-random runs above it stays within ``rate``: false-discovery control that knows length.
-   Repeats of a run count once per row.
+   Every distinct run is one test, however many rows repeat it; the cut then applies to all rows. A
+   class with fewer than ``LEAST_RUNS`` distinct runs, or without any in the upper half, is judged with
+   its neighbouring length classes, and if these are too few by the fixed bound ``SINGLE_P`` per run.
 
 Defined results: null and empty texts have no spans; texts are scanned whole; repeated rows and
-repeated keys stay rows, as nothing is joined by key; a class without random runs adds nothing.
+repeated keys stay rows, as nothing is joined by key; a class judged on enough runs in which
+no cut keeps the share adds nothing.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 
@@ -41,6 +45,8 @@ KINDS = ("assign", "access", "hex", "random")
 RATE = 0.05
 LEAST_RANDOM = 16
 BINS = 200
+LEAST_RUNS = 40
+SINGLE_P = 0.01
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _ALPHABETS = {
     "hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -120,8 +126,13 @@ def length_class(n: int) -> int:
     return int(math.log2(n))
 
 
-def candidates(text: str) -> list[tuple[int, int, str, int, float]]:
-    """(start, end, encoding, length class, p) of runs outside base spans."""
+def _digest(run: str) -> int:
+    """Signed 64 bits that stand for a run."""
+    return int.from_bytes(hashlib.blake2b(run.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def candidates(text: str) -> list[tuple[int, int, str, int, float, int]]:
+    """(start, end, encoding, length class, p, digest of the run) of runs outside base spans."""
     runs = [m.span() for m in _RUN.finditer(text)]
     if not runs:
         return []
@@ -132,11 +143,11 @@ def candidates(text: str) -> list[tuple[int, int, str, int, float]]:
             continue
         encoding = encoding_of(text[start:end])
         if encoding and len(text[start:end].rstrip("=")) >= LEAST_RANDOM:
-            out.append((start, end, encoding, length_class(end - start), randomness(text[start:end], encoding)))
+            out.append((start, end, encoding, length_class(end - start), randomness(text[start:end], encoding), _digest(text[start:end])))
     return out
 
 
-_FOUND = "n_assign long, n_access long, n_hex long, base string, tried array<struct<s:int,e:int,enc:string,cls:int,p:double>>"
+_FOUND = "n_assign long, n_access long, n_hex long, base string, tried array<struct<s:int,e:int,enc:string,cls:int,p:double,run:long>>"
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -163,11 +174,23 @@ def cut_offs(scanned: DataFrame, rate: float = RATE) -> dict[tuple[str, int], fl
 
     The driver sees one number per class and bin: at most encodings x 32 classes x ``BINS``.
     """
-    tried = scanned.select(F.explode("tried").alias("t")).select("t.enc", "t.cls", F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).alias("bin"))
+    runs = scanned.select(F.explode("tried").alias("t")).groupBy("t.enc", "t.cls", "t.run").agg(F.first("t.p").alias("p"))  # equal runs have equal p
+    tried = runs.select("enc", "cls", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).alias("bin"))
     tables: dict[tuple[str, int], np.ndarray] = {}
     for row in tried.groupBy("enc", "cls", "bin").count().collect():
         tables.setdefault((row["enc"], row["cls"]), np.zeros(BINS))[row["bin"]] = row["count"]
-    return {name: cut for name, counts in tables.items() if (cut := lowest_cut(counts, rate)) is not None}
+    return {name: cut for name in tables if (cut := class_cut(tables, name, rate)) is not None}
+
+
+def class_cut(tables: dict[tuple[str, int], np.ndarray], name: tuple[str, int], rate: float = RATE) -> float | None:
+    """Cut-off of one class: from its own runs, else with its neighbours', else the fixed bound."""
+    encoding, cls = name
+    enough = lambda c: c.sum() >= LEAST_RUNS and c[BINS // 2 :].sum() > 0
+    if enough(tables[name]):
+        return lowest_cut(tables[name], rate)
+    near = [tables[encoding, c] for c in (cls - 1, cls, cls + 1) if (encoding, c) in tables]
+    pooled = np.sum(near, axis=0)
+    return lowest_cut(pooled, rate) if enough(pooled) else SINGLE_P
 
 
 def lowest_cut(counts: np.ndarray, rate: float = RATE) -> float | None:
@@ -228,7 +251,7 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", rate: float
 def replace_spans(text: str, kept: dict[tuple[str, int], float], mark: str) -> str:
     """One text without its secrets."""
     spans = [(s, e) for s, _, e in base_spans(text)]
-    spans += [(s, e) for s, e, enc, cls, p in candidates(text) if p >= kept.get((enc, cls), 2.0)]
+    spans += [(s, e) for s, e, enc, cls, p, _ in candidates(text) if p >= kept.get((enc, cls), 2.0)]
     out, at = [], 0
     for start, end in sorted(spans):
         if start >= at:

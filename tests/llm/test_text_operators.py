@@ -262,3 +262,16 @@ def test_seating_bounds():
     customers = np.array([1, 2, 5, 100, 10**9])
     tables = pitman_yor.seat(customers.astype(float), np.full(5, 2.0), 0.6, rng)
     assert (tables >= 1).all() and (tables <= customers).all() and tables[0] == 1
+
+
+def test_copied_and_single_random_runs_are_found(spark):
+    rng = np.random.default_rng(3)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    while True:
+        run = "".join(rng.choice(letters, 40))
+        if secrets.encoding_of(run) == "base62" and 0.1 < secrets.randomness(run, "base62") < 0.4:
+            break
+    copied = spark.createDataFrame([(i, f"see {run} here") for i in range(300)], "doc_id long, text string")
+    for docs in (copied, copied.limit(1)):  # one key in many copies, and a class of one run
+        assert {r["spans"] for r in secrets.find_secrets(docs).collect()} == {"random:4:44"}
+        assert {r["text"] for r in secrets.redact(docs).collect()} == {"see [SECRET] here"}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate
+from . import chat, decontaminate, trie
 from .ann import op8_nearest
 from .chat import op4_chat
 from .decontaminate import op6_decontaminate
@@ -13,6 +13,7 @@ from .quality_rank import op2_quality
 from .secrets import op10_secrets
 from .simhash import op1_simhash
 from .toxicity import op7_toxicity
+from .trie import op11_prefix_trie
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_language_model": op9_language_model,
     "op10_secrets": op10_secrets,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 # The others are not expressible in SQL at whole-table cost; tests/llm holds them to brute force.
 ORACLE: dict[str, str] = {
     "op4_chat": chat.SQL,
     "op6_decontaminate": decontaminate.SQL,
+    "op11_prefix_trie": trie.SQL,
 }

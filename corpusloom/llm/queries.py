@@ -10,6 +10,7 @@ from .html_extract import op5_html
 from .packing import op3_packing
 from .pitman_yor import op9_language_model
 from .quality_rank import op2_quality
+from .runs import op12_runs
 from .secrets import op10_secrets
 from .simhash import op1_simhash
 from .toxicity import op7_toxicity
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_language_model": op9_language_model,
     "op10_secrets": op10_secrets,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_runs": op12_runs,
 }
 
 # The others are not expressible in SQL at whole-table cost; tests/llm holds them to brute force.

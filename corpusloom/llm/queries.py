@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, trie
+from . import chat, decontaminate, repeats, trie
 from .ann import op8_nearest
 from .chat import op4_chat
 from .decontaminate import op6_decontaminate
@@ -10,6 +10,7 @@ from .html_extract import op5_html
 from .packing import op3_packing
 from .pitman_yor import op9_language_model
 from .quality_rank import op2_quality
+from .repeats import op13_repeats
 from .runs import op12_runs
 from .secrets import op10_secrets
 from .simhash import op1_simhash
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_runs": op12_runs,
+    "op13_repeats": op13_repeats,
 }
 
 # The others are not expressible in SQL at whole-table cost; tests/llm holds them to brute force.
@@ -36,4 +38,5 @@ ORACLE: dict[str, str] = {
     "op4_chat": chat.SQL,
     "op6_decontaminate": decontaminate.SQL,
     "op11_prefix_trie": trie.SQL,
+    "op13_repeats": repeats.SQL,
 }

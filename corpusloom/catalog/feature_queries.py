@@ -102,7 +102,7 @@ def _sql_count(words: list[str], pad: bool) -> str:
 
 @query("f03_term_hits", f"SELECT doc_id, ({_sql_count(TERMS, True)})::DOUBLE AS term_hits FROM {_A}")
 def f03(spark, sf):
-    return lexicon.term_hits(clean_posts(spark, sf), "doc_id", "clean", words_table(spark, TERMS)).select("doc_id", "term_hits")
+    return lexicon.term_hits(clean_posts(spark, sf), "clean", words_table(spark, TERMS)).select("doc_id", "term_hits")
 
 
 _VALUES = [("_ref", 0, "the"), ("_ref", 1, "of that"), ("_ref", 2, "and"), ("_doctor", 0, "erst"), ("_doctor", 1, "ouen")]
@@ -140,8 +140,8 @@ def f04(spark, sf):
     f"SELECT doc_id, ({_sql_count(POSITIVE, False)})::DOUBLE AS positive_hits, ({_sql_count(NEGATIVE, False)})::DOUBLE AS negative_hits FROM {_A}",
 )
 def f05(spark, sf):
-    out = lexicon.phrase_hits(clean_posts(spark, sf), "doc_id", "clean", words_table(spark, POSITIVE), "positive_hits")
-    out = lexicon.phrase_hits(out, "doc_id", "clean", words_table(spark, NEGATIVE), "negative_hits")
+    out = lexicon.phrase_hits(clean_posts(spark, sf), "clean", words_table(spark, POSITIVE), "positive_hits")
+    out = lexicon.phrase_hits(out, "clean", words_table(spark, NEGATIVE), "negative_hits")
     return out.select("doc_id", "positive_hits", "negative_hits")
 
 
@@ -153,7 +153,7 @@ def f05(spark, sf):
 def f05_table(spark, sf):
     clean = F.split(F.trim(F.regexp_replace(F.lower("text"), "[^a-z]+", " ")), " ")
     phrases = table(spark, sf, "benchmark").select(F.array_join(F.slice(clean, 1, 2), " ").alias("phrase"))
-    out = lexicon.phrase_hits(clean_posts(spark, sf), "doc_id", "clean", phrases, "hits")
+    out = lexicon.phrase_hits(clean_posts(spark, sf), "clean", phrases, "hits")
     return out.select("doc_id", "hits")
 
 
@@ -177,7 +177,7 @@ def _with_r(spark, sf):
     f"SELECT doc_id, ({_sql_mentions()[0]})::DOUBLE AS mention_word_hits, ({_sql_mentions()[1]})::DOUBLE AS mention_r_hits FROM {_AS_R}",
 )
 def f06(spark, sf):
-    out = lexicon.mention_hits(_with_r(spark, sf), "doc_id", "clean", words_table(spark, NAMES))
+    out = lexicon.mention_hits(_with_r(spark, sf), "clean", words_table(spark, NAMES))
     return out.select("doc_id", "mention_word_hits", "mention_r_hits")
 
 
@@ -204,7 +204,7 @@ def _sql_mention_list(limit: int = 8) -> str:
 )
 def f07(spark, sf):
     lex = lexicons(spark)
-    out = lexicon.evidence(_with_r(spark, sf), "doc_id", "clean", lex.terms, lex.positive, lex.negative, lex.names)
+    out = lexicon.evidence(_with_r(spark, sf), "clean", lex.terms, lex.positive, lex.negative, lex.names)
     return out.select(
         "doc_id",
         *[F.array_join(f"{c}_list", "|").alias(n) for c, n in
@@ -237,7 +237,7 @@ _SQL_STATS = f"""SELECT a.doc_id, length(clean)::DOUBLE AS char_len, len({sql_to
 def f08(spark, sf):
     lex = lexicons(spark)
     out = features.stat_features(
-        clean_posts(spark, sf), "doc_id", "clean", lex.valence, lex.terms, lex.positive, lex.negative, lex.names
+        clean_posts(spark, sf), "clean", lex.valence, lex.terms, lex.positive, lex.negative, lex.names
     )
     return out.select("doc_id", *features.STAT_COLUMNS).withColumn("avg_word_len", r6(F.col("avg_word_len")))
 
@@ -456,7 +456,7 @@ _SQL_ASSESS_INPUT = rf"""(SELECT a.doc_id, a.clean, {_SQL_SCORE} AS score, coale
 )
 def r07(spark, sf):
     frame = clean_posts(spark, sf).select("doc_id", "text", _score().alias("given"))
-    out = risk.assess(frame, "doc_id", "text", "given", lexicons(spark))
+    out = risk.assess(frame, "text", "given", lexicons(spark))
     return out.select(
         "doc_id", "model_tier", "display_tier", F.array_join("flags", "|").alias("flags"), "sentiment",
         F.col("raw_len").cast("long").alias("raw_len"), F.col("word_count").cast("long").alias("word_count"), "term_hits", "confidence",

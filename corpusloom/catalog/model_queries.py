@@ -153,7 +153,7 @@ def f10(spark, sf):
 def f11(spark, sf):
     train, _, _ = _cut(spark, sf)
     lex = lexicons(spark)
-    stats = features.stat_features(train, "key", "clean", lex.valence, lex.terms, lex.positive, lex.negative, lex.names)
+    stats = features.stat_features(train, "clean", lex.valence, lex.terms, lex.positive, lex.negative, lex.names)
     out = None
     for name, columns in {**features.VARIANTS, **features.ABLATION_SETS}.items():
         dense = F.array(*[F.col(c) for c in columns]) if columns else F.array().cast("array<double>")

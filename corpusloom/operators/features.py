@@ -48,15 +48,15 @@ def text_stats(df: DataFrame, clean: str) -> DataFrame:
 
 
 def stat_features(
-    df: DataFrame, doc: str, clean: str, valence: DataFrame, terms: DataFrame, positive: DataFrame,
+    df: DataFrame, clean: str, valence: DataFrame, terms: DataFrame, positive: DataFrame,
     negative: DataFrame, names: DataFrame,
 ) -> DataFrame:
     """The nine dense columns in their fixed order; one pass over the text, no shuffle."""
     out = sentiment.compound(text_stats(df, clean), clean, valence)
-    out = lexicon.term_hits(out, doc, clean, terms, "term_hits")
-    out = lexicon.phrase_hits(out, doc, clean, positive, "positive_hits")
-    out = lexicon.phrase_hits(out, doc, clean, negative, "negative_hits")
-    return lexicon.mention_hits(out, doc, clean, names)
+    out = lexicon.term_hits(out, clean, terms, "term_hits")
+    out = lexicon.phrase_hits(out, clean, positive, "positive_hits")
+    out = lexicon.phrase_hits(out, clean, negative, "negative_hits")
+    return lexicon.mention_hits(out, clean, names)
 
 
 def _terms(clean: Column, ngrams: tuple[int, int], min_chars: int = 2) -> Column:

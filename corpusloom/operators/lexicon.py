@@ -1,33 +1,59 @@
 """Lexicon evidence: terms, phrases, community names.
 
-A lexicon is a DataFrame. Up to ``settings.LEXICON_TERMS`` entries become a constant
-array, matched inside the row without any shuffle; larger ones are joined.
+A lexicon is a DataFrame. A handful of entries becomes a constant array, matched inside the row. Others are compiled
+to automata (:mod:`automaton`) that texts pass through in Arrow batches. Neither way explodes or shuffles a text,
+so frequent words, shared beginnings and the number of entries do not matter to the plan. Only one part of a large lexicon
+is on the driver at a time.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import settings
-from ..functions import text as tx
-from ..session import small_table
+from ..session import cut_lineage, small_table
+from .automaton import contained, deal
 
 PLACEHOLDERS = ("_condition", "_doctor", "_ref")
 _SHORT_NAME = 3
-_GRAM = 4
 
 
-def _entries(lexicon: DataFrame, column: str) -> tuple[DataFrame, list[str] | None]:
-    """(distinct entries, the same as a list when there are few enough)."""
+def _entries(lexicon: DataFrame, column: str) -> Iterator[list[str]]:
+    """The distinct entries that a cleaned text can contain, sorted, in parts of bounded size."""
     entry = F.trim(F.regexp_replace(F.lower(F.col(column)), r"\s+", " "))
-    table = small_table(
-        lexicon.select(entry.alias("entry")).filter(F.length("entry") >= 1).distinct(), settings.LEXICON_TERMS
-    )
-    return table.frame, sorted(row.entry for row in table.rows) if table.is_local else None
+    usable = lexicon.select(entry.alias("entry")).filter(F.col("entry").rlike("^[a-z ]+$")).distinct()
+    part, size = [], 0
+    for row in usable.orderBy("entry").toLocalIterator(prefetchPartitions=False):
+        part.append(row.entry)
+        size += len(row.entry) + 1
+        if size > settings.LEXICON_PART_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def _found(df: DataFrame, text: Column, parts: Iterator[list[str]], wanted: Callable[[str], str | None], to: str) -> DataFrame:
+    """Adds the sorted entries whose wanted form a text contains; entries without one are left out."""
+    columns: list[str] = []
+    alive = 0
+    for part in parts:
+        forms = sorted({form for entry in part if (form := wanted(entry)) is not None})
+        few = len(forms) <= settings.ROW_ENTRIES
+        for dealt in [forms] if few else deal(forms, settings.AUTOMATON_BYTES):
+            if alive == settings.AUTOMATA_AT_ONCE:  # a written table lets go of the automata before
+                df, alive = cut_lineage(df), 0
+            columns.append(f"_{to}_{len(columns)}")
+            df = df.withColumn(columns[-1], _contained(text, dealt) if few else contained(df.sparkSession, text, dealt))
+            alive += not few
+    if not columns:
+        return df.withColumn(to, F.array().cast("array<string>"))
+    every = F.col(columns[0]) if len(columns) == 1 else F.concat(*columns)
+    return df.withColumn(to, F.sort_array(F.transform(every, lambda e: F.trim(e)))).drop(*columns)
 
 
 def expand(patterns: DataFrame, expansions: DataFrame, limit: int | None = None) -> DataFrame:
@@ -83,129 +109,51 @@ def _padded(clean: Column) -> Column:
     return F.concat(F.lit(" "), clean, F.lit(" "))
 
 
-def _contained(text: Column, entries: Sequence[str], pad: bool) -> Column:
-    """Sorted entries found in the text, as whole words or anywhere."""
-    if not entries:
-        return F.array().cast("array<string>")
-    if pad:
-        return F.filter(_literal(entries), lambda e: text.contains(F.concat(F.lit(" "), e, F.lit(" "))))
+def _contained(text: Column, entries: Sequence[str]) -> Column:
+    """Entries found anywhere in the text."""
     return F.filter(_literal(entries), lambda e: text.contains(e))
 
 
-def anchor_groups(phrases: Sequence[str]) -> list[tuple[str, list[str]]]:
-    """Group phrases by a shared word, greedily by how many phrases hold it.
-
-    A document without the anchor word needs no look at any phrase of its group.
-    """
-    left = set(phrases)
-    groups = []
-    while left:
-        holders: dict[str, list[str]] = {}
-        for phrase in left:
-            for word in {w for w in phrase.split(" ") if len(w) >= 4} or {phrase}:
-                holders.setdefault(word, []).append(phrase)
-        # Substring anchors: a word also serves phrases holding it inside a longer word.
-        word = max(holders, key=lambda w: (len(holders[w]), len(w), w))
-        members = sorted(p for p in left if word in p)
-        groups.append((word, members))
-        left -= set(members)
-    return groups
-
-
-def matchable(phrases: Sequence[str]) -> list[str]:
-    """Phrases that a cleaned text can contain: letters and single spaces only."""
-    return [p for p in phrases if p and all("a" <= ch <= "z" or ch == " " for ch in p)]
-
-
-def term_matches(df: DataFrame, doc: str, clean: str, terms: DataFrame, to: str = "matches") -> DataFrame:
-    """Adds the sorted whole-word terms of each cleaned text."""
-    frame, entries = _entries(terms, terms.columns[0])
-    if entries is not None:
-        found = [e for e in matchable(entries) if len(e) >= 2]
-        return df.withColumn(to, _contained(_padded(F.col(clean)), found, pad=True))
-    longest = frame.agg(F.max(F.size(F.split("entry", " ")))).first()[0]
-    grams = tx.ngram_range(tx.tokens(F.col(clean)), 1, longest)
-    hits = df.select(doc, F.explode(F.array_distinct(grams)).alias("entry")).join(
-        frame.filter(F.length("entry") >= 2), "entry"
-    )
-    return _attach(df, doc, hits, to)
+def _word(entry: str, least: int = 2) -> str | None:
+    return f" {entry} " if len(entry) >= least else None
 
 
-def phrase_matches(df: DataFrame, doc: str, clean: str, phrases: DataFrame, to: str = "matches") -> DataFrame:
-    """Adds the sorted phrases contained anywhere in each cleaned text."""
-    frame, entries = _entries(phrases, phrases.columns[0])
-    text = F.col(clean)
-    if entries is not None:
-        parts = [
-            F.when(text.contains(anchor), _contained(text, members, pad=False)).otherwise(
-                F.array().cast("array<string>")
-            )
-            for anchor, members in anchor_groups(matchable(entries))
-        ]
-        found = F.concat(*parts) if parts else F.array().cast("array<string>")
-        return df.withColumn(to, F.sort_array(found))
-    # Large lexicon: meet on the first characters of the phrase, then check containment.
-    wanted = frame.withColumn("gram", F.substring("entry", 1, _GRAM))
-    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    windows = F.transform(at, lambda i: F.substring(text, i, F.lit(_GRAM)))
-    long_grams = df.select(doc, clean, F.explode(F.array_distinct(windows)).alias("gram"))
-    hits = long_grams.join(wanted.filter(F.length("entry") >= _GRAM), "gram").filter(
-        F.col(clean).contains(F.col("entry"))
-    ).select(doc, "entry")
-    # Shorter phrases are windows themselves.
-    sizes = F.array(*[F.lit(size) for size in range(1, _GRAM)])
-    whole = F.filter(
-        F.flatten(F.transform(sizes, lambda size: F.transform(at, lambda i: F.substring(text, i, size)))), lambda w: F.length(w) > 0
-    )
-    short = df.select(doc, F.explode(F.array_distinct(whole)).alias("entry"))
-    few = short.join(frame.filter(F.length("entry") < _GRAM).select("entry"), "entry").select(doc, "entry")
-    return _attach(df, doc, hits.unionByName(few), to)
+def term_matches(df: DataFrame, clean: str, terms: DataFrame, to: str = "matches") -> DataFrame:
+    """Adds the sorted whole-word terms of each cleaned text; terms have two letters or more."""
+    return _found(df, _padded(F.col(clean)), _entries(terms, terms.columns[0]), _word, to)
 
 
-def _attach(df: DataFrame, doc: str, hits: DataFrame, to: str) -> DataFrame:
-    lists = hits.groupBy(doc).agg(F.sort_array(F.collect_set("entry")).alias(to))
-    empty = F.array().cast("array<string>")
-    return df.join(lists, doc, "left").withColumn(to, F.coalesce(to, empty))
+def phrase_matches(df: DataFrame, clean: str, phrases: DataFrame, to: str = "matches") -> DataFrame:
+    """Adds the sorted phrases contained anywhere in each cleaned text."""
+    return _found(df, F.col(clean), _entries(phrases, phrases.columns[0]), lambda e: e, to)
 
 
 def mention_matches(
-    df: DataFrame, doc: str, clean: str, names: DataFrame, word_to: str = "word_names", r_to: str = "r_names"
+    df: DataFrame, clean: str, names: DataFrame, word_to: str = "word_names", r_to: str = "r_names"
 ) -> DataFrame:
     """Adds community names found as a word, and those found only after "r".
 
     Names of up to three letters count only after "r", as alone they are too common.
     """
-    frame, entries = _entries(names, names.columns[0])
-    if entries is None:
-        longest = frame.agg(F.max(F.size(F.split("entry", " ")))).first()[0]
-        grams = tx.ngram_range(tx.tokens(F.col(clean)), 1, longest + 1)
-        seen = df.select(doc, F.explode(F.array_distinct(grams)).alias("gram"))
-        plain = frame.filter(F.length("entry") > _SHORT_NAME).select("entry", F.col("entry").alias("gram"))
-        after_r = frame.filter(F.length("entry") >= 2).select("entry", F.concat(F.lit("r "), "entry").alias("gram"))
-        words = seen.join(plain, "gram").select(doc, "entry")
-        only_r = seen.join(after_r, "gram").select(doc, "entry").join(words, [doc, "entry"], "left_anti")
-        return _attach(_attach(df, doc, words, word_to), doc, only_r, r_to)
-    usable = [e for e in matchable(entries) if len(e) >= 2]
-    text = _padded(F.col(clean))
-    word_names = _contained(text, [e for e in usable if len(e) > _SHORT_NAME], pad=True)
-    after_r = F.filter(_literal(usable), lambda e: text.contains(F.concat(F.lit(" r "), e, F.lit(" ")))) if usable else (
-        F.array().cast("array<string>")
-    )
-    return df.withColumn(word_to, word_names).withColumn(r_to, F.array_except(after_r, F.col(word_to)))
+    text, column = _padded(F.col(clean)), names.columns[0]
+    out = _found(df, text, _entries(names, column), lambda e: _word(e, _SHORT_NAME + 1), word_to)
+    after = _found(out, text, _entries(names, column), lambda e: f" r {e} " if len(e) >= 2 else None, r_to)
+    bare = F.transform(r_to, lambda n: F.substr(n, F.lit(3)))
+    return after.withColumn(r_to, F.array_except(F.sort_array(bare), F.col(word_to)))
 
 
-def term_hits(df: DataFrame, doc: str, clean: str, terms: DataFrame, to: str = "term_hits") -> DataFrame:
-    found = term_matches(df, doc, clean, terms, "_m")
+def term_hits(df: DataFrame, clean: str, terms: DataFrame, to: str = "term_hits") -> DataFrame:
+    found = term_matches(df, clean, terms, "_m")
     return found.withColumn(to, F.size("_m").cast("double")).drop("_m")
 
 
-def phrase_hits(df: DataFrame, doc: str, clean: str, phrases: DataFrame, to: str = "phrase_hits") -> DataFrame:
-    found = phrase_matches(df, doc, clean, phrases, "_m")
+def phrase_hits(df: DataFrame, clean: str, phrases: DataFrame, to: str = "phrase_hits") -> DataFrame:
+    found = phrase_matches(df, clean, phrases, "_m")
     return found.withColumn(to, F.size("_m").cast("double")).drop("_m")
 
 
-def mention_hits(df: DataFrame, doc: str, clean: str, names: DataFrame) -> DataFrame:
-    found = mention_matches(df, doc, clean, names, "_w", "_r")
+def mention_hits(df: DataFrame, clean: str, names: DataFrame) -> DataFrame:
+    found = mention_matches(df, clean, names, "_w", "_r")
     return found.withColumns(
         {"mention_word_hits": F.size("_w").cast("double"), "mention_r_hits": F.size("_r").cast("double")}
     ).drop("_w", "_r")
@@ -213,7 +161,6 @@ def mention_hits(df: DataFrame, doc: str, clean: str, names: DataFrame) -> DataF
 
 def evidence(
     df: DataFrame,
-    doc: str,
     clean: str,
     terms: DataFrame,
     positive: DataFrame,
@@ -226,10 +173,10 @@ def evidence(
     Lists are alphabetical, names longest first with an "r/" mark where only that form
     was found; phrases are cut to 120 characters.
     """
-    out = term_matches(df, doc, clean, terms, "_terms")
-    out = phrase_matches(out, doc, clean, positive, "_pos")
-    out = phrase_matches(out, doc, clean, negative, "_neg")
-    out = mention_matches(out, doc, clean, names, "_names", "_r_names")
+    out = term_matches(df, clean, terms, "_terms")
+    out = phrase_matches(out, clean, positive, "_pos")
+    out = phrase_matches(out, clean, negative, "_neg")
+    out = mention_matches(out, clean, names, "_names", "_r_names")
     marked = F.concat(
         F.transform("_names", lambda n: F.struct((-F.length(n)).alias("l"), n.alias("n"), n.alias("shown"))),
         F.transform(

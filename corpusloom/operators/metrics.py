@@ -7,15 +7,22 @@ negatives as counts. Curves are running totals over that table; see
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import settings
+from ..session import cut_lineage, local_rows
 from .ranking import range_edges, running_totals
 
+_VECTOR_ROWS = 1024
+_MOST_RANGES, _RANGE_ROWS = 2048, 100_000
+
 METRICS = ("accuracy", "f1", "f2", "precision", "recall", "specificity", "mcc", "roc_auc", "pr_auc", "brier")
 _CELLS = ("tp", "fp", "fn", "tn")
 
@@ -201,11 +208,118 @@ def _poisson_bounds() -> list[int]:
     return bounds
 
 
-def _poisson(draw: Column) -> Column:
-    weight = F.lit(0)
-    for bound in _poisson_bounds():
-        weight = weight + (draw >= bound).cast("int")
-    return weight.cast("long")
+def replicate_weights(keys: Sequence, n: int, seed: int) -> np.ndarray:
+    """Poisson(1) weights of rows (first axis) in ``n`` replicates, four from every MD5 of seed, block and key."""
+    heads = [f"{seed}:{block}:".encode() for block in range(-(-n // 4))]
+    tails = [str(k).encode() for k in keys]
+    digests = b"".join(hashlib.md5(head + tail).digest() for tail in tails for head in heads)
+    draws = np.frombuffer(digests, dtype=">u4").reshape(len(tails), -1)[:, :n]
+    return np.searchsorted(np.array(_poisson_bounds(), dtype=np.uint64), draws, side="right").astype(np.int64)
+
+
+_CELL_ROWS = "score double, place int, pos binary, neg binary, cells binary"
+
+
+def _score_vectors(n: int, seed: int, edges: list[float]):
+    """Rows per score with the weights of its positives and negatives in all replicates; plus cell totals per task."""
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, held = np.zeros((5, n)), {}
+
+        def packed() -> pa.RecordBatch:
+            value = np.array(list(held))
+            pos, neg = (np.stack([v[i] for v in held.values()]) for i in range(2))
+            return _vector_batch(value, np.searchsorted(edges, value, side="right"), pos, neg, None)
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, _VECTOR_ROWS):
+                key, y, pred, score = (c.slice(start, _VECTOR_ROWS) for c in batch.columns)
+                weights = replicate_weights(key.to_pylist(), n, seed)
+                y, pred, score = (c.to_numpy(zero_copy_only=False) for c in (y, pred, score))
+                for i, flag in enumerate(((y == 1) & (pred == 1), (y == 0) & (pred == 1), (y == 1) & (pred == 0), (y == 0) & (pred == 0))):
+                    cells[i] += weights[flag].sum(axis=0)
+                cells[4] += ((score - y) ** 2) @ weights
+                order = np.argsort(score, kind="stable")
+                at = np.flatnonzero(np.r_[True, score[order][1:] != score[order][:-1]])
+                pos = np.add.reduceat(np.where((y == 1)[order][:, None], weights[order], 0), at)
+                neg = np.add.reduceat(np.where((y == 1)[order][:, None], 0, weights[order]), at)
+                for value, more_pos, more_neg in zip(score[order][at].tolist(), pos, neg):
+                    if value in held:
+                        held[value] = held[value][0] + more_pos, held[value][1] + more_neg
+                    else:
+                        held[value] = more_pos, more_neg
+                if len(held) > _VECTOR_ROWS:
+                    yield packed()
+                    held.clear()
+        if held:
+            yield packed()
+        yield _vector_batch(np.zeros(1), np.full(1, -1), np.zeros((1, 0), np.int64), np.zeros((1, 0), np.int64), cells)
+
+    return vectors
+
+
+def _vector_batch(score, place, pos, neg, cells) -> pa.RecordBatch:
+    packed = [pa.array([v.astype("<i8").tobytes() for v in x], pa.binary()) for x in (pos, neg)]
+    last = pa.nulls(len(score), pa.binary()) if cells is None else pa.array([cells.astype("<f8").tobytes()], pa.binary())
+    names = [c.split()[0] for c in _CELL_ROWS.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(score, pa.float64()), pa.array(place, pa.int32()), *packed, last], names=names)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, float, np.ndarray, np.ndarray]]:
+    """(range, score, pos, neg) of sorted rows, equal scores added up."""
+    now = None
+    for batch in batches:
+        for place, score, pos, neg in zip(*(batch.column(c).to_pylist() for c in ("place", "score", "pos", "neg"))):
+            pos, neg = np.frombuffer(pos, dtype="<i8"), np.frombuffer(neg, dtype="<i8")
+            if now is not None and now[:2] == (place, score):
+                now = (place, score, now[2] + pos, now[3] + neg)
+            else:
+                if now is not None:
+                    yield now
+                now = (place, score, pos, neg)
+    if now is not None:
+        yield now
+
+
+_RANGE_TOTALS = "place int, pos binary, neg binary"
+_RANGE_AREAS = "place int, roc binary, pr binary"
+
+
+def _range_totals(n: int):
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for place, pos, neg in zip(*(batch.column(c).to_pylist() for c in ("place", "pos", "neg"))):
+                sums = held.setdefault(place, np.zeros((2, n), dtype=np.int64))
+                sums[0] += np.frombuffer(pos, dtype="<i8")
+                sums[1] += np.frombuffer(neg, dtype="<i8")
+        places = sorted(held)
+        columns = [pa.array([held[p][i].tobytes() for p in places], pa.binary()) for i in range(2)]
+        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), *columns], names=["place", "pos", "neg"])
+
+    return totals
+
+
+def _range_areas(n: int, above: dict[int, np.ndarray]):
+    """Contributions of a range to both areas, from the counts above it and its own scores in falling order."""
+
+    def areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        place_now, tp, fp = None, None, None
+        for place, _, pos, neg in _runs(batches):
+            if place != place_now:
+                place_now, (tp, fp) = place, above[place].astype(float)
+                sums[place] = np.zeros((2, n))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                before = np.where(tp + fp > 0, tp / (tp + fp), 1.0)
+                sums[place][0] += neg * (tp + pos / 2)
+                tp, fp = tp + pos, fp + neg
+                sums[place][1] += np.where(pos > 0, pos * (tp / (tp + fp) + before) / 2, 0.0)
+        places = sorted(sums)
+        columns = [pa.array([sums[p][i].tobytes() for p in places], pa.binary()) for i in range(2)]
+        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), *columns], names=["place", "roc", "pr"])
+
+    return areas
 
 
 def bootstrap(
@@ -215,33 +329,49 @@ def bootstrap(
 
     Poisson bootstrap: every row gets an independent Poisson(1) weight per replicate,
     so no resample is ever built. The total size of a replicate is random, which is the
-    usual large-sample substitute for drawing exactly n rows. Weights are drawn and summed
-    per (replicate, score, label) on the map side; one-class replicates are skipped.
+    usual large-sample substitute for drawing exactly n rows; one-class replicates are skipped.
+
+    The weights of a row in all replicates are one vector, and the rows of a score are added up per Arrow batch, so what is shuffled
+    is at most one row per input row, whatever ``n`` is. Vectors are placed by ranges of the score; the totals of the
+    ranges, at most ``_MOST_RANGES`` vectors, give every range the counts above it, and each range then adds its part of all
+    curves.
     """
-    blocks = F.explode(F.sequence(F.lit(0), F.lit((n - 1) // 4)))
-    drawn = df.select(F.col(key).alias("_k"), y, pred, score).withColumn("_block", blocks)
-    digest = F.md5(
-        F.concat(F.lit(f"{seed}:"), F.col("_block").cast("string"), F.lit(":"), F.col("_k").cast("string"))
-    )
-    drawn = drawn.withColumn("_digest", digest)
-    quarters = F.array(*[F.substring("_digest", 8 * i + 1, 8) for i in range(4)])
-    long = drawn.select(y, pred, score, "_block", F.posexplode(quarters).alias("_i", "_hex"))
-    long = long.withColumn("_draw", F.conv("_hex", 16, 10).cast("long"))
-    long = long.select(
-        y, pred, score, (F.col("_block") * 4 + F.col("_i")).alias("replicate"), _poisson(F.col("_draw")).alias("w")
-    ).filter((F.col("w") > 0) & (F.col("replicate") < n))
-    cells = long.groupBy("replicate", y, pred, score).agg(F.sum("w").alias("w"))
-    flat = cells.groupBy("replicate").agg(
-        *[c.alias(name) for name, c in cell_counts(F.col(y), F.col(pred), F.col("w")).items()],
-        (F.sum(F.col("w") * F.pow(F.col(score) - F.col(y), F.lit(2))) / F.sum("w")).alias("brier"),
+    spark = df.sparkSession
+    ranges = min(_MOST_RANGES, 64 + df.count() // _RANGE_ROWS)
+    edges = range_edges(df.select(F.col(score).cast("double").alias("s")).distinct(), "s", 64 * ranges, ranges)
+    rows = df.select(
+        F.col(key).cast("string").alias("k"), F.col(y).cast("int").alias("y"), F.col(pred).cast("int").alias("p"), F.col(score).cast("double").alias("s")
+    ).filter("k is not null and y is not null and p is not null and s is not null")
+    found = cut_lineage(rows.mapInArrow(_score_vectors(n, seed, edges), _CELL_ROWS))
+    cells = np.zeros((5, n))
+    for row in found.filter("place < 0").select("cells").toLocalIterator():
+        cells += np.frombuffer(row.cells, dtype="<f8").reshape(5, n)
+    vectors = found.filter("place >= 0").drop("cells")
+    totals: dict[int, np.ndarray] = {}
+    for row in vectors.mapInArrow(_range_totals(n), _RANGE_TOTALS).toLocalIterator():
+        sums = totals.setdefault(row.place, np.zeros((2, n), dtype=np.int64))
+        sums += np.stack([np.frombuffer(row.pos, dtype="<i8"), np.frombuffer(row.neg, dtype="<i8")])
+    above, running = {}, np.zeros((2, n), dtype=np.int64)
+    for place in sorted(totals, reverse=True):
+        above[place], running = running, running + totals[place]
+    placed = vectors.repartition("place").sortWithinPartitions("place", F.desc("score"))
+    roc, pr = np.zeros(n), np.zeros(n)
+    for row in placed.mapInArrow(_range_areas(n, above), _RANGE_AREAS).toLocalIterator():
+        roc, pr = roc + np.frombuffer(row.roc, dtype="<f8"), pr + np.frombuffer(row.pr, dtype="<f8")
+
+    tp, fp, fn, tn, error = cells
+    each = local_rows(
+        spark, list(zip(*(x.tolist() for x in (np.arange(n), tp, fp, fn, tn, error, roc, pr)))),
+        "replicate int, tp double, fp double, fn double, tn double, error double, roc double, pr double",
     )
-    wide = flat.filter((F.col("tp") + F.col("fn") > 0) & (F.col("fp") + F.col("tn") > 0)).select(
-        "replicate", *[c.alias(m) for m, c in rates(*[F.col(c) for c in _CELLS]).items()], "brier"
+    positives, negatives = F.col("tp") + F.col("fn"), F.col("fp") + F.col("tn")
+    wide = each.filter((positives > 0) & (negatives > 0)).select(
+        "replicate", *[c.alias(m) for m, c in rates(*[F.col(c) for c in _CELLS]).items()],
+        (F.col("error") / (positives + negatives)).alias("brier"),
+        (F.col("roc") / (positives * negatives)).alias("roc_auc"), (F.col("pr") / positives).alias("pr_auc"),
     )
-    areas = curve_areas(cumulative(cells, y, score, ["replicate"], "w"), ["replicate"])
-    long_form = long_metrics(wide.join(areas, "replicate"), ["replicate"])
-    q = F.percentile("value", [0.025, 0.975])
-    return long_form.groupBy("metric").agg(q.alias("q"), F.count("*").alias("n_replicates")).select(
+    q = F.percentile("value", [0.025, 0.975])  # over the replicates
+    return long_metrics(wide, ["replicate"]).groupBy("metric").agg(q.alias("q"), F.count("*").alias("n_replicates")).select(
         "metric", F.col("q")[0].alias("lower"), F.col("q")[1].alias("upper"), "n_replicates"
     )
 

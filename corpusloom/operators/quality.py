@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import settings
+from .explore import exact_quantiles
 
 SPLITS = ("train", "val", "test")
 
@@ -112,18 +113,13 @@ def dataset_fingerprint(df: DataFrame, fingerprint: str, prefix: int = 3) -> Dat
 
 
 def length_profile(df: DataFrame, text: str) -> DataFrame:
-    """Rows and min / median / mean / max characters.
-
-    Lengths are counted first: the exact median is taken over distinct lengths, of which
-    there are few.
-    """
-    lengths = df.groupBy(F.length(text).alias("len")).agg(F.count("*").alias("n"))
+    """Rows and min / median / mean / max characters."""
+    lengths = df.select(F.length(text).alias("len"))
+    median = [row.median for row in exact_quantiles(lengths, [], "len", {"median": 0.5}).collect()]
     return lengths.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-        F.min("len").alias("min_chars"),
-        F.percentile("len", 0.5, F.col("n")).alias("median_chars"),
-        (F.sum(F.col("len") * F.col("n")) / F.sum("n")).alias("mean_chars"),
-        F.max("len").alias("max_chars"),
+        F.count("*").alias("n_rows"), F.min("len").alias("min_chars"),
+        F.lit(median[0] if median else None).cast("double").alias("median_chars"),
+        F.avg("len").alias("mean_chars"), F.max("len").alias("max_chars"),
     )
 
 

@@ -162,7 +162,6 @@ def add_cues(df: DataFrame, clean: str, raw: str | None = None) -> DataFrame:
 
 def assess(
     df: DataFrame,
-    doc: str,
     text: str,
     score: str,
     lexicons: Lexicons,
@@ -182,7 +181,7 @@ def assess(
     )
     out = sentiment.compound(out, "clean", lexicons.valence)
     out = lexicon.evidence(
-        out, doc, "clean", lexicons.terms, lexicons.positive, lexicons.negative, lexicons.names, limit
+        out, "clean", lexicons.terms, lexicons.positive, lexicons.negative, lexicons.names, limit
     )
     out = display_tier(add_cues(out, "clean", text if match_raw else None), low, high)
     sane = sane_cutoffs(low, high)

@@ -43,7 +43,7 @@ class FeatureSpace:
             else:
                 lex = self.lexicons
                 out = features.stat_features(
-                    out, key, clean, lex.valence, lex.terms, lex.positive, lex.negative, lex.names
+                    out, clean, lex.valence, lex.terms, lex.positive, lex.negative, lex.names
                 )
         return features.tfidf_vectors(out, key, clean, self.vocab, self.size)
 

@@ -55,4 +55,8 @@ SCORE_DISCLAIMER = "Model-positive score, not a clinical probability or diagnosi
 # distributed path for inputs beyond the limit, or refuses with an error.
 LOCAL_TABLE_ROWS = 50_000
 LEXICON_TERMS = 20_000
+ROW_ENTRIES = 24
+AUTOMATON_BYTES = 32 << 20
+AUTOMATA_AT_ONCE = 4
+LEXICON_PART_CHARS = 1 << 22
 EXACT_DIGEST_ROWS = 1_000_000

@@ -23,11 +23,11 @@ def assess_stream(
 ) -> StreamingQuery:
     """Assess a stream of (doc_id, text, score) and append the results as Parquet.
 
-    The lexicons must be within ``settings.LEXICON_TERMS``, which keeps every step inside the
-    row. With ``once`` the query stops after what is available now. The file sink and the
+    The automata of each lexicon must not exceed ``settings.AUTOMATA_AT_ONCE``, as a stream cannot be written in
+    between. With ``once`` the query stops after what is available now. The file sink and the
     checkpoint together give exactly-once output.
     """
-    assessed = risk.assess(posts.withColumnRenamed("score", "given"), "doc_id", "text", "given", lexicons, low, high)
+    assessed = risk.assess(posts.withColumnRenamed("score", "given"), "text", "given", lexicons, low, high)
     writer = assessed.select(*[F.col(c) for c in RESULT_COLUMNS]).writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

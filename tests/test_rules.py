@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import lexicon, risk, sentiment
+from corpusloom import settings
+from corpusloom.operators import automaton, lexicon, risk, sentiment
 from corpusloom.session import local_rows
 from corpusloom.streaming.assess_stream import assess_stream
 
@@ -71,12 +72,12 @@ def test_community_names(spark):
     texts = [(1, "posted in r bpd today"), (2, "bpd is hard"), (3, "my depression r depression"), (4, "xr bpdx")]
     got = {
         r.d: (r.mention_word_hits, r.mention_r_hits)
-        for r in lexicon.mention_hits(local_rows(spark, texts, "d long, clean string"), "d", "clean", names).collect()
+        for r in lexicon.mention_hits(local_rows(spark, texts, "d long, clean string"), "clean", names).collect()
     }
     assert got == {1: (0, 1), 2: (0, 0), 3: (1, 0), 4: (0, 0)}
 
 
-def test_joined_lexicons_equal_inline_ones(spark, monkeypatch):
+def test_automata_equal_inline_lexicons(spark, monkeypatch):
     texts = [(1, "the cat sat on the mat r bpd"), (2, "diagnosed with something"), (3, ""), (4, "r depression cat sat")]
     docs = local_rows(spark, texts, "d long, clean string")
     terms = local_rows(spark, [("cat sat",), ("mat",), ("the",)], "t string")
@@ -84,14 +85,16 @@ def test_joined_lexicons_equal_inline_ones(spark, monkeypatch):
     names = local_rows(spark, [("bpd",), ("depression",)], "n string")
 
     def run():
-        out = lexicon.term_matches(docs, "d", "clean", terms, "a")
-        out = lexicon.phrase_matches(out, "d", "clean", phrases, "b")
-        out = lexicon.mention_matches(out, "d", "clean", names, "c", "e")
+        out = lexicon.term_matches(docs, "clean", terms, "a")
+        out = lexicon.phrase_matches(out, "clean", phrases, "b")
+        out = lexicon.mention_matches(out, "clean", names, "c", "e")
         return sorted((r.d, tuple(r.a), tuple(r.b), tuple(sorted(r.c)), tuple(sorted(r.e))) for r in out.collect())
 
     inline = run()
-    real = lexicon.small_table
-    monkeypatch.setattr(lexicon, "small_table", lambda df, limit=0: real(df, 1))
+    monkeypatch.setattr(settings, "ROW_ENTRIES", 0)
+    assert run() == inline
+    monkeypatch.setattr(settings, "AUTOMATON_BYTES", 1)
+    monkeypatch.setattr(settings, "AUTOMATA_AT_ONCE", 1)
     assert run() == inline and inline[0][2] == ("at", "at on")
 
 
@@ -154,15 +157,58 @@ def test_stream_equals_batch(spark, tmp_path):
     query = assess_stream(stream, lex, str(tmp_path / "out"), str(tmp_path / "cp"), once=True)
     query.awaitTermination(120)
     got = {r.doc_id: (r.display_tier, list(r.flags)) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    batch = risk.assess(posts.withColumnRenamed("score", "given"), "doc_id", "text", "given", lex)
+    batch = risk.assess(posts.withColumnRenamed("score", "given"), "text", "given", lex)
     assert got == {r.doc_id: (r.display_tier, list(r.flags)) for r in batch.collect()}
     assert got[1] == ("low", ["positive_context_override"])
 
 
 def test_many_short_phrases_are_all_matched(spark, monkeypatch):
-    real = lexicon.small_table
-    monkeypatch.setattr(lexicon, "small_table", lambda df, limit=0: real(df, 1))
+    monkeypatch.setattr(settings, "ROW_ENTRIES", 0)
     phrases = spark.createDataFrame([(p,) for p in ("a", "bc", "def", "longer", "bcd e")], "phrase string")
     texts = spark.createDataFrame([(1, "abc defg longer"), (2, "xyz"), (3, "bcd e"), (4, "")], "doc int, clean string")
-    got = {r["doc"]: r["matches"] for r in lexicon.phrase_matches(texts, "doc", "clean", phrases).collect()}
+    got = {r["doc"]: r["matches"] for r in lexicon.phrase_matches(texts, "clean", phrases).collect()}
     assert got == {1: ["a", "bc", "def", "longer"], 2: [], 3: ["bc", "bcd e"], 4: []}
+
+
+def _texts(n, seed=3):
+    import random
+
+    rng = random.Random(seed)
+    words = ["ab", "abc", "b", "cab", "diagnosed", "with", "a", "ba"]
+    return [" ".join(rng.choice(words) for _ in range(rng.randint(0, 700 if i % 9 == 0 else 12))) for i in range(n)]
+
+
+def test_automaton_equals_containment():
+    phrases = ["a", "ab", "b c", "abc ab", "cab", "diagnosed with a", "with", " ab ", "bab", "zz", "b a b a", "d"]
+    texts = _texts(200)
+    built = automaton.build(phrases)
+    found = set(zip(*(x.tolist() for x in automaton.scan(built, [t.encode() for t in texts]))))
+    assert found == {(i, j) for i, t in enumerate(texts) for j, p in enumerate(phrases) if p in t}
+    assert automaton.scan(automaton.build(["q"]), [b"", b"abc"])[0].size == 0
+
+
+def test_dealt_automata_stay_below_the_limit():
+    phrases = [f"diagnosed with {a}{b} {c}" for a in "abcdefgh" for b in "klmnop" for c in ("today", "again", "once")]
+    parts = automaton.deal(phrases, 40_000)
+    assert sorted(p for part in parts for p in part) == sorted(phrases) and len(parts) > 1
+    for part in parts:
+        made = automaton.build(part)
+        assert made.move.nbytes + made.phrase.nbytes + made.shorter.nbytes <= 40_000
+
+
+def test_fifty_thousand_phrases_with_one_beginning(spark):
+    """A lexicon whose phrases share a prefix, in texts where that prefix is a third of all words."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    phrases = [f"diagnosed with {a}{b}{c}{d}" for a in letters for b in letters for c in letters for d in "klm"][:50_000]
+    texts = [(i, f"diagnosed with {letters[i % 26]}b{letters[i % 7]}k diagnosed with diagnosed") for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc int, clean string")
+    lexicon_frame = spark.createDataFrame([(p,) for p in phrases], "phrase string")
+    got = lexicon.phrase_matches(docs, "clean", lexicon_frame)
+    plan = got._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    known, rows = set(phrases), got.collect()
+    assert sum(len(r["matches"]) for r in rows) > 250
+    for r in rows:
+        words = r["clean"].split()
+        expected = {p for k in range(len(words)) for n in (3, 4) if (p := " ".join(words[k : k + n])) in known}
+        assert set(r["matches"]) == expected

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as cp
-from corpusloom.llm import packing, secrets, simhash
+from corpusloom.llm import near_copies, packing, secrets, simhash
 from corpusloom.session import cut_lineage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -36,6 +36,19 @@ def folder(spark, tmp_path_factory):
     return str(path), texts, item
 
 
+def _classes(texts):
+    """Smallest id that links of five-word Jaccard 0.8 reach, by comparing all pairs."""
+    words = {i: (t or "").lower().split() for i, t in texts.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+    classes, ids = {i: i for i in texts}, sorted(texts)
+    for at, i in enumerate(ids):
+        for j in ids[at + 1 :]:
+            if classes[i] != classes[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((classes[i], classes[j]))
+                classes = {k: low if c == high else c for k, c in classes.items()}
+    return classes
+
+
 def test_stages_follow_their_rules(spark, folder):
     path, texts, item = folder
     docs = cp.read_table(spark, path, "documents")
@@ -48,13 +61,7 @@ def test_stages_follow_their_rules(spark, folder):
     assert len(kept[0] & toxic) <= 0.1 * len(toxic) and len(kept[0] - toxic) >= 0.98 * (len(texts) - len(toxic))
     for frame in after[:4]:
         assert list(frame.columns) == COLUMNS
-    prints = {i: simhash.simhash(texts[i]) for i in kept[0]}
-    classes = {i: i for i in kept[0]}
-    for i in sorted(kept[0]):
-        for j in sorted(kept[0]):
-            if i < j and bin(prints[i] ^ prints[j]).count("1") <= 4 and classes[i] != classes[j]:
-                low, high = sorted((classes[i], classes[j]))
-                classes = {k: low if c == high else c for k, c in classes.items()}
+    classes = _classes({i: texts[i] for i in kept[0]})
     assert kept[1] == {i for i in kept[0] if classes[i] == i}
     assert not kept[1] & {1001, 1003}
     needle = item.lower().split()
@@ -90,17 +97,47 @@ def test_edited_copies_go_by_five_word_jaccard(spark):
                 edited[at] = "changed"
             texts[10 * i + j] = " ".join(edited)
     texts |= {9001: "a b", 9002: "A  b", 9003: "a c", 9004: None, 9005: ""}
-    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in texts.items() for w in [(t or "").lower().split()]}
-    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
-    classes = {i: i for i in texts}
-    for i in texts:
-        for j in texts:
-            if i < j and classes[i] != classes[j] and alike(sets[i], sets[j]):
-                low, high = sorted((classes[i], classes[j]))
-                classes = {k: low if c == high else c for k, c in classes.items()}
+    classes = _classes(texts)
     rows = [(i, t, "en", None, None) for i, t in texts.items()]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = {r["doc_id"] for r in cp.drop_near_copies(spark, docs, "").collect()}
     assert kept == {i for i in texts if classes[i] == i} and 60 < len(kept) < 300
     prints = {i: simhash.simhash(t) for i, t in texts.items()}
     assert sum(bin(prints[i] ^ prints[classes[i]]).count("1") > 4 for i in texts) > 20  # what four bits cannot link
+
+
+def test_crowded_band_of_unlike_texts_and_its_few_copies(spark, monkeypatch):
+    """Thousands of texts share one band by a common passage, but hardly any are alike."""
+    rng = np.random.default_rng(9)
+    monkeypatch.setattr(near_copies, "SHARE", 16)
+    passage = [f"common{i}" for i in range(60)]
+    texts = {}
+    for i in range(2500):
+        words = passage + [f"u{i}x{k}" for k in range(int(rng.integers(20, 60)))]
+        texts[i] = " ".join(words)
+    for i in range(0, 60, 3):
+        texts[5000 + i] = texts[i] + " one more"
+    texts |= {7000: texts[7], 7001: texts[7].upper()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    docs = docs.unionByName(docs.filter("doc_id = 8"))
+    found = near_copies.near_copies(docs).collect()
+    assert len(found) == len(texts) + 1
+    sets = {i: frozenset(near_copies.shingle_set(t).tolist()) for i, t in texts.items()}
+    plain = {i: i for i in texts}
+    by_length = sorted(texts, key=lambda i: len(sets[i]))
+    for at, i in enumerate(by_length):  # longer sets than 1.25 times cannot be alike
+        for j in by_length[at + 1 :]:
+            if len(sets[j]) > 1.25 * len(sets[i]):
+                break
+            if plain[i] != plain[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((plain[i], plain[j]))
+                plain = {k: low if c == high else c for k, c in plain.items()}
+    assert {r["doc_id"]: r["component_id"] for r in found} == plain
+
+
+def test_near_copies_of_a_repeated_id_and_other_key_types(spark):
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [("b", text), ("b", "quite another text of seven words"), (None, text + " end"), ("c", None), ("d", ""), ("b", text)]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "id string, text string, node int, first int")
+    found = sorted(((r["id"], r["component_id"]) for r in near_copies.near_copies(docs, key="id").collect()), key=str)
+    assert found == sorted([("b", "b"), ("b", "b"), (None, "b"), ("b", "b"), ("c", "c"), ("d", "c")], key=str)

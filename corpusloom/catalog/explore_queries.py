@@ -177,16 +177,15 @@ def u01(spark, sf):
 
 @query(
     "u02_drop_empty",
-    f"""WITH {_SQL_VOCAB}, big AS (SELECT term FROM vocab WHERE tf >= 400),
-    kept AS (SELECT DISTINCT user_id, turn FROM tok JOIN big USING (term)),
+    f"""WITH {_SQL_VOCAB},
+    kept AS (SELECT DISTINCT user_id, turn FROM tok JOIN vocab USING (term)),
     b AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1), a AS (SELECT user_id, count(*) AS n FROM kept GROUP BY 1)
     SELECT 'before' AS stage, count(*) AS n_users, CAST(sum(n) AS BIGINT) AS n_posts, min(n) AS min_posts, round(avg(n), 6) AS mean_posts, max(n) AS max_posts FROM b
     UNION ALL SELECT 'after', count(*), CAST(coalesce(sum(n), 0) AS BIGINT), min(n), round(avg(n), 6), max(n) FROM a""",
 )
 def u02(spark, sf):
     talks = _talks(spark, sf)
-    frequent = histories.vocabulary(talks, "text").filter(F.col("tf") >= 400)
-    kept = histories.drop_empty(talks, "user_id", "turn", "text", frequent)
+    kept = histories.drop_empty(talks, "user_id", "turn", "text", histories.vocabulary(talks, "text"))
     return _rounded(histories.empty_summary(talks, kept, "user_id"), ["mean_posts"])
 
 

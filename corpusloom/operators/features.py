@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from .. import settings
 from ..functions import text as tx
-from ..session import small_rows, small_table
+from ..session import cut_lineage, small_rows, small_table
 from . import lexicon, sentiment
-from .rows import term_stats
+from .ranking import ordered_index
+from .wordtable import index_tf, term_tf
+from .wordtable import text_stats as text_stats_of
 
 STAT_COLUMNS = (
     "char_len", "word_count", "avg_word_len", "sentiment", "term_hits", "positive_hits", "negative_hits",
@@ -72,14 +74,8 @@ def document_terms(
 
 
 def term_pairs(df: DataFrame, doc: str, clean: str, ngrams: tuple[int, int] = settings.TFIDF_NGRAMS) -> DataFrame:
-    """(doc, term, tf) rows.
-
-    Texts are partitioned by document once; counting pairs and everything later grouped by
-    document then needs no further shuffle, and pairs, far larger than texts, never move.
-    """
-    placed = df.select(doc, clean).repartition(doc)
-    grams = placed.select(doc, F.explode(_terms(F.col(clean), ngrams)).alias("term"))
-    return grams.groupBy(doc, "term").agg(F.count("*").alias("tf"))
+    """(doc, term, tf) rows, counted inside the row."""
+    return df.select(doc, F.inline(term_tf(F.col(clean), ngrams)))
 
 
 def vocabulary(
@@ -92,43 +88,47 @@ def vocabulary(
 ) -> DataFrame:
     """(term, index, df, tf, idf): most frequent terms within the document limits.
 
-    The shuffle carries one partial count per term and task. Ties at the cap go to the smaller term; indexes follow
-    the alphabet. idf = ln((1 + n) / (1 + df)) + 1.
+    One pass counts per batch, so the shuffle carries one partial count per term and task. Ties at the cap
+    go to the smaller term; indexes follow the alphabet. idf = ln((1 + n) / (1 + df)) + 1.
     """
-    n = df.count()
-    stats = term_stats(df.select(_terms(F.col(clean), ngrams).alias("terms")), "terms")
-    kept = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
-    if max_terms is not None:
-        kept = kept.orderBy(F.desc("tf"), "term").limit(max_terms)
+    return rank_terms(cut_lineage(text_stats_of(df, clean, ngrams)), max_terms, min_df, max_df)
+
+
+def rank_terms(stats: DataFrame, max_terms: int | None, min_df: int, max_df: float) -> DataFrame:
+    """The vocabulary from (term, tf, df) rows, whose null term carries the number of documents."""
+    n = stats.filter(F.col("term").isNull()).agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    kept = stats.filter(F.col("term").isNotNull() & (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
     # At most max_terms rows from here on; without a cap the index is range partitioned.
     if max_terms is None:
-        from .ranking import ordered_index
-
         indexed = ordered_index(kept, "term", "index", start=0)
     else:
+        kept = kept.orderBy(F.desc("tf"), "term").limit(max_terms)
         indexed = kept.withColumn("index", F.row_number().over(W.partitionBy(F.lit(0)).orderBy("term")) - 1)
     idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0
     return indexed.select("term", "index", "df", "tf", idf.alias("idf"))
 
 
-def tfidf_weights(
-    df: DataFrame, doc: str, clean: str, vocab: DataFrame, ngrams: tuple[int, int] = settings.TFIDF_NGRAMS
-) -> DataFrame:
-    """(doc, index, term, weight): (1 + ln tf) * idf, each document at unit length.
+def _weighted(df: DataFrame, clean: str, vocab: DataFrame, ngrams: tuple[int, int]) -> DataFrame:
+    """Adds _e: ARRAY<STRUCT<i, w>> by index and _n, its length; weights are (1 + ln tf) * idf.
 
-    The vocabulary is size-checked, so the lookup is a broadcast join; the norm is
-    combined per document.
+    The idf of an index is read from an array literal: the vocabulary was checked to be a small table.
     """
-    table = small_table(vocab.select("term", "index", "idf")).frame
-    pairs = term_pairs(df, doc, clean, ngrams)
-    raw = pairs.join(table, "term").withColumn("w", (F.log("tf") + 1.0) * F.col("idf"))
-    packed = raw.groupBy(doc).agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-        F.collect_list(F.struct("index", "term", "w")).alias("entries"),
-    )
-    return packed.select(doc, "norm", F.inline("entries")).select(
-        doc, "index", "term", (F.col("w") / F.col("norm")).alias("weight")
+    idfs = F.lit([r.idf for r in sorted(small_rows(vocab.select("index", "idf")), key=lambda r: r["index"])] or [0.0])
+    counted = df.withColumn("_c", index_tf(df, F.col(clean), vocab, ngrams)).withColumn("_idf", idfs)
+    entries = F.transform(
+        "_c", lambda t: F.struct(t["index"].alias("i"), ((F.log(t["tf"]) + 1.0) * F.get("_idf", t["index"])).alias("w"))
     )
+    out = counted.withColumn("_e", entries).drop("_c", "_idf")
+    return out.withColumn("_n", F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, e: a + e["w"] * e["w"])))
+
+
+def tfidf_weights(
+    df: DataFrame, doc: str, clean: str, vocab: DataFrame, ngrams: tuple[int, int] = settings.TFIDF_NGRAMS
+) -> DataFrame:
+    """(doc, index, term, weight): (1 + ln tf) * idf, each document at unit length; no shuffle."""
+    long = _weighted(df.select(doc, clean), clean, vocab, ngrams).select(doc, "_n", F.inline("_e"))
+    terms = small_table(vocab.select(F.col("index").alias("i"), "term")).frame
+    return long.join(terms, "i").select(doc, F.col("i").alias("index"), "term", (F.col("w") / F.col("_n")).alias("weight"))
 
 
 def _sparse(size: int):
@@ -158,60 +158,27 @@ def tfidf_vectors(
     ngrams: tuple[int, int] = settings.TFIDF_NGRAMS,
     to: str = "tfidf",
 ) -> DataFrame:
-    """Adds the sparse TF-IDF vector of each document, computed inside the row.
-
-    Index and idf of a term come from a constant hash table of the vocabulary, whose
-    size is checked, so documents are not shuffled. Packing is the one Arrow batch step.
-    """
-    table = small_table(vocab.select("term", "index", "idf"))
-    if not table.is_local:
-        raise ValueError("vocabulary too large for vectors; cap it with max_terms")
-    lookup = _vocabulary_lookup({row.term: (row["index"], row.idf) for row in table.rows})
-    weighted = F.filter(
-        F.transform(
-            tx.term_counts(_terms(F.col(clean), ngrams)),
-            lambda t: F.struct(lookup(t["term"]).alias("e"), t["tf"].alias("tf")),
-        ),
-        lambda t: t["e"].isNotNull(),
-    )
-    entries = F.sort_array(
-        F.transform(
-            weighted, lambda t: F.struct(t["e"]["i"].alias("i"), ((F.log(t["tf"]) + 1.0) * t["e"]["w"]).alias("w"))
-        )
-    )
-    out = df.withColumn("_e", entries).withColumn(
-        "_n", F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, e: a + e["w"] * e["w"]))
-    )
+    """Adds the sparse TF-IDF vector of each document, computed inside the row."""
+    out = _weighted(df, clean, vocab, ngrams)
     indices = F.transform("_e", lambda e: e["i"])
     values = F.transform("_e", lambda e: e["w"] / F.col("_n"))
     return out.withColumn(to, _sparse(size)(indices, values)).drop("_e", "_n")
 
 
-def _vocabulary_lookup(vocab: dict[str, tuple[int, float]]):
-    import json
-    import zlib
-
-    slots = 1 << max(4, (len(vocab) // 4).bit_length())
-    rows: list[dict[str, dict]] = [{} for _ in range(slots)]
-    for term, (index, idf) in vocab.items():
-        rows[zlib.crc32(term.encode()) % slots][term] = {"i": index, "w": idf}
-    table = F.from_json(F.lit(json.dumps(rows)), "array<map<string,struct<i:int,w:double>>>")
-
-    def find(term: Column) -> Column:
-        slot = F.get(table, F.pmod(F.crc32(term.cast("binary")), F.lit(slots)).cast("int"))
-        return F.try_element_at(slot, term)
-
-    return find
-
-
 def count_terms(
     df: DataFrame, doc: str, clean: str, max_df: float = 1.0, max_terms: int | None = None, ngrams: tuple[int, int] = (1, 2)
 ) -> DataFrame:
-    """Count vectors in long form: (doc, index, term, tf); all terms unless ``max_terms`` caps them."""
-    vocab = vocabulary(df, clean, max_terms, ngrams, min_df=1, max_df=max_df)
-    table = small_table(vocab.select("term", "index")).frame
-    pairs = term_pairs(df, doc, clean, ngrams)
-    return pairs.join(table, "term").select(doc, "index", "term", "tf")
+    """Count vectors in long form: (doc, index, term, tf); all terms unless ``max_terms`` caps them.
+
+    The terms that most documents hold are numbered by a broadcast of at most ``settings.FREQUENT_WORDS``
+    rows, so that the join on the others has no hot key.
+    """
+    vocab = cut_lineage(vocabulary(df, clean, max_terms, ngrams, min_df=1, max_df=max_df))
+    frequent = small_table(vocab.orderBy(F.desc("df"), "term").limit(settings.FREQUENT_WORDS).select("term", "index")).frame
+    numbered = term_pairs(df, doc, clean, ngrams).join(frequent, "term", "left")
+    known = numbered.filter(F.col("index").isNotNull())
+    rest = numbered.filter(F.col("index").isNull()).drop("index").join(vocab.select("term", "index"), "term")
+    return known.unionByName(rest).select(doc, "index", "term", "tf")
 
 
 def attach_vectors(df: DataFrame, vectors: DataFrame, on: str, embedding: str = "embedding", to: str = "vector") -> DataFrame:

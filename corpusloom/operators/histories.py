@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import small_table
-from .rows import term_stats
 from .ranking import hash_order, ordered_index, range_edges, running_totals
+from .rows import term_stats
+from .wordtable import word_values
 
 HOW = ("first", "last", "spaced", "random")
 
@@ -35,9 +35,9 @@ def vocabulary(posts: DataFrame, text: str, min_tf: int = 3, min_df: int = 2) ->
 
 def drop_empty(posts: DataFrame, user: str, order: str, text: str, vocab: DataFrame) -> DataFrame:
     """Posts with at least one vocabulary word; users without any disappear with them."""
-    found = posts.select(user, order, F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
-    hit = found.join(small_table(vocab.select("term")).frame, "term", "left_semi").select(user, order).distinct()
-    return posts.join(hit, [user, order], "left_semi")
+    held = posts.withColumn("_words", words(F.col(text)))
+    known = word_values(held, "_words", vocab.withColumn("_one", F.lit(1)), "_known", "term", "_one", [user, order])
+    return known.filter(F.exists("_known", lambda k: k.isNotNull())).drop("_words", "_known")
 
 
 def empty_summary(before: DataFrame, after: DataFrame, user: str) -> DataFrame:
@@ -111,11 +111,11 @@ def sequences(
 
     ``posts`` comes from :func:`select_posts`. Missing posts up to ``n_posts`` are all zeros.
     """
-    tokens = posts.select(user, slot, F.posexplode(words(F.col(text))).alias("at", "term"))
-    known = tokens.join(small_table(vocab.select("term", "index")).frame, "term")
-    lists = known.groupBy(user, slot).agg(F.sort_array(F.collect_list(F.struct("at", "index"))).alias("_ids"))
+    tokens = posts.select(user, slot, words(F.col(text)).alias("_words"))
+    known = word_values(tokens, "_words", vocab, "_ids", "term", "index", [user, slot])
+    lists = known.select(user, slot, F.filter("_ids", lambda i: i.isNotNull()).alias("_ids"))
     grid = posts.select(user).distinct().withColumn(slot, F.explode(F.sequence(F.lit(0), F.lit(n_posts - 1))))
-    ids = F.coalesce(F.transform("_ids", lambda t: t["index"]), F.array().cast("array<int>"))
+    ids = F.coalesce("_ids", F.array().cast("array<int>"))
     joined = grid.join(lists, [user, slot], "left").withColumn("ids", ids)
     tail = F.slice("ids", F.greatest(F.size("ids") - length, F.lit(0)) + 1, F.lit(length))
     zeros = F.array_repeat(F.lit(0), F.greatest(F.lit(length) - F.size("ids"), F.lit(0)))

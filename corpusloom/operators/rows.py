@@ -11,6 +11,8 @@ from .. import settings
 from ..functions import text as tx
 from ..session import small_table
 from .quality import dedupe_first
+from .ranking import ordered_index, running_totals
+from .wordtable import list_stats, replaced, without_known, word_values
 
 
 def drop_blank(df: DataFrame, text: str, label: str, row_key: str) -> DataFrame:
@@ -78,18 +80,13 @@ def decode(df: DataFrame, column: str, mapping: Mapping, to: str) -> DataFrame:
 
 
 def map_tokens(df: DataFrame, doc: str, words: str, mapping: DataFrame) -> DataFrame:
-    """Rewrite every token through a (token, stem) table; unknown tokens stay.
+    """Rewrite every token through a (token, stem) table of any size; unknown tokens stay.
 
-    The join runs on exploded tokens, so the mapping may have any size. Texts come back
-    with their tokens in the original order; ``doc`` must be unique.
+    See :mod:`wordtable` for the look-up; ``doc`` must be unique. Of several stems of a token the smallest counts.
     """
-    exploded = df.select(doc, F.posexplode(words).alias("at", "token"))
-    joined = exploded.join(small_table(mapping.select("token", "stem")).frame, "token", "left")
-    rebuilt = joined.groupBy(doc).agg(
-        F.sort_array(F.collect_list(F.struct("at", F.coalesce("stem", "token").alias("token")))).alias("_t")
-    )
-    mapped = rebuilt.select(doc, F.array_join(F.transform("_t", lambda t: t["token"]), " ").alias("mapped"))
-    return df.join(mapped, doc, "left").withColumn("mapped", F.coalesce("mapped", F.lit("")))
+    stems = word_values(df, words, mapping, "_stems", "token", "stem", [doc])
+    mapped = F.array_join(replaced(F.col(words), F.col("_stems")), " ")
+    return stems.withColumn("mapped", F.coalesce(mapped, F.lit(""))).drop("_stems")
 
 
 def word_counts(df: DataFrame, words: str, by: Sequence[str] = ()) -> DataFrame:
@@ -98,37 +95,33 @@ def word_counts(df: DataFrame, words: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def term_stats(df: DataFrame, terms: str) -> DataFrame:
-    """(term, tf, df): occurrences and documents of every term of an array column.
+    """(term, tf, df): occurrences and documents of every term of an array column."""
+    return list_stats(df, terms)
+
 
-    Occurrences and first occurrences leave a document side by side, and both counts are
-    combined on the map side, so nothing is grouped by document.
+def rarest_words(counts: DataFrame, k: int) -> DataFrame:
+    """The ``k`` words of smallest count, ties by the word in descending order, without gathering them.
+
+    The counts of counts tell at which count the cut falls; only the words of that count are numbered.
     """
-    zipped = df.select(F.arrays_zip(F.col(terms), F.array_distinct(terms).alias("_once")).alias("z"))
-    pairs = zipped.select(F.inline("z").alias("term", "once"))
-    counted = pairs.select(F.expr("stack(2, term, 1L, 0L, once, 0L, 1L)").alias("term", "in_tf", "in_df"))
-    return counted.filter(F.col("term").isNotNull()).groupBy("term").agg(
-        F.sum("in_tf").alias("tf"), F.sum("in_df").alias("df")
-    )
+    if k <= settings.LOCAL_TABLE_ROWS:
+        return counts.orderBy("n", F.desc("word")).limit(k).select("word")
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words"))
+    upto = running_totals(sizes, [], "n", {"upto": "words"}, descending=False)
+    cut = upto.filter(F.col("upto") >= k).orderBy("n").first()
+    if cut is None:
+        return counts.select("word")
+    missing = k - (cut.upto - cut.words)
+    ties = ordered_index(counts.filter(F.col("n") == cut.n), "word", "place")
+    last = ties.filter(F.col("place") > cut.words - missing).select("word")
+    return counts.filter(F.col("n") < cut.n).select("word").unionByName(last)
 
 
 def drop_rarest(df: DataFrame, doc: str, words: str, k: int) -> DataFrame:
     """Remove the ``k`` rarest words of the whole corpus from every token array.
 
-    Ties are broken by the word in descending order, so the cut is reproducible. A list
-    that may travel through the driver becomes a hash-set filter inside the row; a
-    longer one is removed by an anti join on exploded tokens.
+    Ties are broken by the word in descending order, so the cut is reproducible. ``doc`` must be unique.
     """
-    rarest = word_counts(df, words).orderBy("n", F.desc("word")).limit(k).select("word")
-    if k <= settings.LOCAL_TABLE_ROWS:
-        gone = [row.word for row in rarest.collect()]
-        if not gone:
-            return df
-        return df.withColumn(words, F.filter(words, lambda word: ~word.isin(gone)))
-    kept = df.select(doc, F.posexplode(words).alias("at", "word")).join(rarest, "word", "left_anti")
-    rebuilt = kept.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("_w"))
-    empty = F.array().cast("array<string>")
-    return (
-        df.join(rebuilt, doc, "left")
-        .withColumn(words, F.coalesce(F.transform("_w", lambda w: w["word"]), empty))
-        .drop("_w")
-    )
+    rarest = rarest_words(word_counts(df, words), k).withColumn("rare", F.lit(1))
+    marked = word_values(df, words, rarest, "_rare", "word", "rare", [doc])
+    return marked.withColumn(words, without_known(F.col(words), F.col("_rare"))).drop("_rare")

@@ -6,16 +6,13 @@ word rules apply: boosters, negation, "never so", "least" and "but".
 
 from __future__ import annotations
 
-import json
-import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import settings
 from ..functions import text as tx
-from ..session import small_table
+from .wordtable import word_values
 
 # The published rule constants and word lists.
 BOOST = 0.293
@@ -45,58 +42,34 @@ NEGATIONS = (
 )
 # End of fixed values.
 
-_SLOTS = 1024
-
-
-def _lookup_table(values: dict[str, float]) -> Column:
-    """The table as a constant array of small maps, addressed by a hash of the word."""
-    slots: list[dict[str, float]] = [{} for _ in range(_SLOTS)]
-    for word, value in values.items():
-        slots[zlib.crc32(word.encode()) % _SLOTS][word] = value
-    return F.from_json(F.lit(json.dumps(slots)), "array<map<string,double>>")
-
-
-def _lookup(table: Column, word: Column) -> Column:
-    slot = F.get(table, F.pmod(F.crc32(word.cast("binary")), F.lit(_SLOTS)).cast("int"))
-    return F.try_element_at(slot, word)
-
-
 def compound_column(
     words: str,
-    valence: dict[str, float],
+    valences: str,
     up: Iterable[str] = BOOSTERS_UP,
     down: Iterable[str] = BOOSTERS_DOWN,
     negations: Iterable[str] = NEGATIONS,
 ) -> Column:
     """Compound score of a token array column, computed inside the row.
 
-    ``words`` must name an existing column: it is read at several offsets per hit.
+    ``valences`` holds the valence of every token, null where it has none. Both must name existing columns: they
+    are read at several offsets per hit.
     """
     up, down, negations = list(up), list(down), list(negations)
     tokens = F.col(words)
-    table = _lookup_table(valence)
 
     def at(position: Column) -> Column:
         return F.coalesce(F.get(tokens, position), F.lit(""))
 
-    every = sorted(valence)
-
-    def known(word: Column) -> Column:
-        return word.isin(every)
+    def known(position: Column) -> Column:
+        return F.get(valences, position).isNotNull()
 
     # Words with a valence that are not boosters themselves, with their three predecessors.
-    # The membership test is a hash set, so the many other words cost next to nothing.
-    wanted = sorted(set(valence) - set(up) - set(down))
-    if not wanted:
-        return F.lit(0.0)
+    valued = F.filter(
+        F.transform(valences, lambda v, i: F.when(v.isNotNull(), F.struct(v.alias("v"), i.alias("i")))), lambda h: h.isNotNull()
+    )
     hits = F.filter(
-        F.transform(
-            tokens,
-            lambda w, i: F.when(
-                w.isin(wanted), F.struct(_lookup(table, w).alias("v"), w.alias("w"), i.alias("i"))
-            ),
-        ),
-        lambda h: h.isNotNull() & ~((h["w"] == "kind") & (at(h["i"] + 1) == "of")),
+        F.transform(valued, lambda h: F.struct(h["v"].alias("v"), F.get(tokens, h["i"]).alias("w"), h["i"].alias("i"))),
+        lambda h: ~h["w"].isin(up + down) & ~((h["w"] == "kind") & (at(h["i"] + 1) == "of")),
     )
     in_context = F.transform(
         hits,
@@ -104,7 +77,6 @@ def compound_column(
             h["v"].alias("v"),
             h["w"].alias("w"),
             h["i"].alias("i"),
-            at(h["i"] + 1).alias("next"),
             *[at(h["i"] - d).alias(f"p{d}") for d in (1, 2, 3)],
         ),
     )
@@ -114,7 +86,7 @@ def compound_column(
         after_no = (
             (h["p1"] == "no") | (h["p2"] == "no") | ((h["p3"] == "no") & h["p1"].isin("or", "nor"))
         )
-        silent = (h["w"] == "no") & known(h["next"])
+        silent = (h["w"] == "no") & known(h["i"] + 1)
         return F.when(after_no, h["v"] * NEGATION).when(silent, 0.0).otherwise(h["v"])
 
     def flip(h: Column, distance: int) -> Column:
@@ -135,7 +107,7 @@ def compound_column(
         word = h[f"p{distance}"]
         amount = BOOST * DISTANCE_DAMPING[distance - 1]
         boost = F.when(word.isin(up), amount).when(word.isin(down), -amount).otherwise(0.0)
-        applies = (h["i"] >= distance) & ~known(word)
+        applies = (h["i"] >= distance) & ~known(h["i"] - distance)
         return F.when(applies, (value + F.when(value < 0, -boost).otherwise(boost)) * flip(h, distance)).otherwise(value)
 
     def modified(h: Column) -> Column:
@@ -147,7 +119,7 @@ def compound_column(
         )
 
     def least(h: Column) -> Column:
-        bare = (h["p1"] == "least") & ~known(h["p1"])
+        bare = (h["p1"] == "least") & ~known(h["i"] - 1)
         return F.when(bare & ((h["i"] == 1) | ~h["p2"].isin("at", "very")), NEGATION).otherwise(1.0)
 
     but_at = F.array_position(tokens, "but") - 1
@@ -173,13 +145,12 @@ def compound(
     up: Iterable[str] = BOOSTERS_UP,
     down: Iterable[str] = BOOSTERS_DOWN,
     negations: Iterable[str] = NEGATIONS,
+    doc: Sequence[str] = (),
 ) -> DataFrame:
-    """Adds the compound sentiment; ``valence`` has (word, valence), bounded in size."""
-    table = small_table(
-        valence.select("word", F.col("valence").cast("double").alias("valence")), settings.LEXICON_TERMS
-    )
-    if not table.is_local:
-        raise ValueError(f"valence table above {settings.LEXICON_TERMS} words")
-    values = {row.word: row.valence for row in table.rows}
-    marked = df.withColumn("_words", tx.tokens(F.col(clean)))
-    return marked.withColumn(to, compound_column("_words", values, up, down, negations)).drop("_words")
+    """Adds the compound sentiment; ``valence`` has (word, valence) and may have any size.
+
+    ``doc`` names a unique row key, needed only for a table beyond ``settings.LOOKUP_BYTES``.
+    """
+    table = valence.select("word", F.col("valence").cast("double").alias("valence"))
+    marked = word_values(df.withColumn("_words", tx.tokens(F.col(clean))), "_words", table, "_valences", "word", "valence", doc)
+    return marked.withColumn(to, compound_column("_words", "_valences", up, down, negations)).drop("_words", "_valences")

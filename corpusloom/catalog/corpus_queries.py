@@ -208,18 +208,35 @@ def d07(spark, sf):
     return quality.leakage(frame, "fp", "split_name")
 
 
-@query(
-    "d08_dataset_fingerprint",
-    f"""WITH l AS (SELECT fp, count(*) AS n FROM ({SQL_HASH_SPLIT}) GROUP BY fp),
-    r AS (SELECT substr(fp, 1, 3) AS range, sha256(string_agg(fp || ' ' || n, chr(10) ORDER BY fp || ' ' || n)) AS digest,
-      sum(n) AS n FROM l GROUP BY 1)
-    SELECT sha256(string_agg(digest, chr(10) ORDER BY range)) AS dataset_fingerprint, CAST(sum(n) AS BIGINT) AS n_rows FROM r""",
-)
+def sql_digest(source: str, leaf: int = settings.DIGEST_LEAF) -> str:
+    """CTEs ending in n0(g), the root of the hash tree over ``source``(fp), and z(n), its rows."""
+    return f"""l AS (SELECT fp, count(*) AS n FROM {source} GROUP BY fp), z AS (SELECT count(*) AS c, sum(n) AS n FROM l),
+    dep AS (SELECT CASE WHEN c <= {leaf} THEN 0 WHEN c <= 16 * {leaf} THEN 1 WHEN c <= 256 * {leaf} THEN 2 ELSE 3 END AS d FROM z),
+    leaves AS (SELECT substr(fp, 1, d) AS r, sha256(string_agg(fp || ' ' || n, chr(10) ORDER BY fp || ' ' || n)) AS g FROM l, dep GROUP BY 1),
+    n2 AS (SELECT r, g FROM leaves, dep WHERE d = 2 UNION ALL
+      SELECT substr(r, 1, 2), sha256(string_agg(r || ' ' || g, chr(10) ORDER BY r)) FROM leaves, dep WHERE d = 3 GROUP BY 1),
+    n1 AS (SELECT r, g FROM leaves, dep WHERE d = 1 UNION ALL SELECT substr(r, 1, 1), sha256(string_agg(r || ' ' || g, chr(10) ORDER BY r)) FROM n2 GROUP BY 1),
+    n0 AS (SELECT g FROM leaves, dep WHERE d = 0 UNION ALL SELECT sha256(string_agg(r || ' ' || g, chr(10) ORDER BY r)) FROM n1 HAVING count(*) > 0)"""
+
+
+_LEAF = 16
+
+
+@query("d08_dataset_fingerprint", f"WITH {sql_digest(f'({SQL_HASH_SPLIT})')} SELECT g AS dataset_fingerprint, CAST(n AS BIGINT) AS n_rows FROM n0, z")
 def d08(spark, sf):
     frame = posts(spark, sf).select(tx.fingerprint(F.col("text")).alias("fp"))
     return quality.dataset_fingerprint(frame, "fp")
 
 
+@query(
+    "d08_deep_fingerprint",
+    f"WITH {sql_digest(f'({SQL_HASH_SPLIT})', _LEAF)} SELECT g AS dataset_fingerprint, CAST(n AS BIGINT) AS n_rows FROM n0, z",
+)
+def d08_deep(spark, sf):
+    frame = posts(spark, sf).select(tx.fingerprint(F.col("text")).alias("fp"))
+    return quality.dataset_fingerprint(frame, "fp", _LEAF)
+
+
 # --- profiles ----------------------------------------------------------------------
 
 
@@ -326,13 +343,14 @@ def p01(spark, sf):
     return splits.stratified(labelled(spark, sf), "doc_id", "label", "source_id").select("doc_id", "split_name")
 
 
-@query(
-    "p02_label_split",
-    f"""WITH src AS ({SQL_LABELLED}), {sql_take('a', 'src', ['label'], SQL_TEST)},
-    rest AS (SELECT * EXCLUDE (taken) FROM a WHERE NOT taken), {sql_take('b', 'rest', ['label'], SQL_VAL)}
-    SELECT doc_id, 'test' AS split_name FROM a WHERE taken
-    UNION ALL SELECT doc_id, CASE WHEN taken THEN 'val' ELSE 'train' END FROM b""",
-)
+# CTEs after src: cut holds its rows with their split_name.
+SQL_THREE_WAY = f"""{sql_take('a', 'src', ['label'], SQL_TEST)},
+    rest AS (SELECT * EXCLUDE (taken) FROM a WHERE NOT taken), {sql_take('b', 'rest', ['label'], SQL_VAL)},
+    cut AS (SELECT doc_id, label, 'test' AS split_name FROM a WHERE taken
+      UNION ALL SELECT doc_id, label, CASE WHEN taken THEN 'val' ELSE 'train' END FROM b)"""
+
+
+@query("p02_label_split", f"WITH src AS ({SQL_LABELLED}), {SQL_THREE_WAY} SELECT doc_id, split_name FROM cut")
 def p02(spark, sf):
     return splits.stratified(labelled(spark, sf), "doc_id", "label").select("doc_id", "split_name")
 

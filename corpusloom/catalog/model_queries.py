@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import settings
 from ..functions import text as tx
-from ..operators import features, metrics, models, splits
-from ..plans import experiments
-from .base import SQL_LABELLED, labelled, posts, r6, sql_hash, sql_normal, table
+from ..operators import features, metrics, models, quality, splits
+from ..plans import artifacts, experiments, fold_features
+from ..session import cut_lineage, shared_folder
+from .base import SQL_LABELLED, labelled, posts, r6, sql_clean, sql_hash, sql_normal, table
+from .corpus_queries import SQL_THREE_WAY, sql_digest
 from .feature_queries import lexicons
 
 QUERIES, ORACLE = {}, {}
 
-def _logistic(rows: float):
-    return models.logistic(rows)
-
-
 TERMS = settings.TFIDF_MAX_TERMS
 
 
@@ -39,14 +41,15 @@ def samples(spark, sf):
 
 
 def _cut(spark, sf):
-    cut = splits.stratified(samples(spark, sf), "key", "label").persist()
+    cut = cut_lineage(splits.stratified(samples(spark, sf), "key", "label"))
     return tuple(cut.filter(F.col("split_name") == s).drop("split_name") for s in ("train", "val", "test"))
 
 
 def _candidate(spark, sf, name: str, build):
+    """A candidate on all nine dense columns and the text vector, tuned on the validation part; the other parts."""
     train, val, test = _cut(spark, sf)
-    space = experiments.fit_features(train, features.STAT_COLUMNS[:3], None, TERMS)
-    fitted = experiments.fit_candidate(name, build(float(train.count())), train, space)
+    space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons(spark), TERMS)
+    fitted = experiments.fit_candidate(name, build(splits.balanced_rows(train, "label")), train, space)
     return experiments.tune(fitted, val), val, test
 
 
@@ -57,7 +60,7 @@ def _scores(spark, sf, name, build):
 
 @query("m01_logistic")
 def m01(spark, sf):
-    return _scores(spark, sf, "logistic_regression", _logistic)
+    return _scores(spark, sf, "logistic_regression", models.logistic)
 
 
 @query("m02_calibrated_svm")
@@ -70,9 +73,35 @@ def m03(spark, sf):
     return _scores(spark, sf, "random_forest", lambda n: models.forest())
 
 
+# Every round of boosting is a sequence of small jobs; see the README for times at the published number of rounds.
+ROUNDS = 20
+GRID_ROUNDS = 2
+
+
 @query("m04_boosting")
 def m04(spark, sf):
-    return _scores(spark, sf, "boosting", lambda n: models.boosting(5, 4))
+    return _scores(spark, sf, "boosting", lambda n: models.boosting(ROUNDS))
+
+
+@query(
+    "m01_fit_facts",
+    f"""WITH src AS ({SQL_LABELLED}), {SQL_THREE_WAY}, t AS (SELECT * FROM cut WHERE split_name = 'train'), c AS (SELECT label, count(*) AS n FROM t GROUP BY 1)
+    SELECT label, n AS n_rows, round((SELECT sum(n) FROM c) / ((SELECT count(*) FROM c) * n::DOUBLE), 6) AS weight,
+      (SELECT count(*) * max(n) FROM c)::DOUBLE AS balanced_rows, true AS scores_in_range, true AS gradient_is_zero FROM c""",
+)
+def m01_facts(spark, sf):
+    """What a fit must satisfy: class weights, the rows the penalty counts, and no slope left along the intercept."""
+    train, _, _ = _cut(spark, sf)
+    rows = splits.balanced_rows(train, "label")
+    space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons(spark), TERMS)
+    fitted = experiments.fit_candidate("logistic_regression", models.logistic(rows), train, space)
+    scored = splits.class_weights(fitted.score(train).select("label", "score"), "label")
+    slope = F.abs(F.sum(F.col("weight") * (F.col("score") - F.col("label"))) / F.sum("weight"))
+    one = scored.agg(slope.alias("slope"), F.min("score").alias("lo"), F.max("score").alias("hi")).first()
+    counts = scored.groupBy("label").agg(F.count("*").alias("n_rows"), r6(F.first("weight")).alias("weight"))
+    return counts.withColumns({
+        "balanced_rows": F.lit(rows), "scores_in_range": F.lit(0 <= one.lo <= one.hi <= 1), "gradient_is_zero": F.lit(one.slope < 1e-3),
+    })
 
 
 @query("m05_other_learners")
@@ -92,20 +121,94 @@ def m05(spark, sf):
     return outs[0].unionByName(outs[1]).unionByName(outs[2])
 
 
+def _platt_frame(spark, sf):
+    return labelled(spark, sf).withColumn("score", F.col("n_chars") / (F.col("n_chars") + 1500.0))
+
+
 @query("m06_fit_platt")
 def m06(spark, sf):
-    frame = labelled(spark, sf).withColumn("score", F.col("n_chars") / (F.col("n_chars") + 1500.0))
+    frame = _platt_frame(spark, sf)
     platt = models.fit_platt(frame)
     return frame.select("doc_id", r6(platt.apply(F.col("score"))).alias("calibrated"))
 
 
-@query("m08_pipeline")
+@query(
+    "m06_gradients",
+    f"SELECT how, count(*) AS n_rows, true AS slope_is_zero, true AS intercept_is_zero FROM ({SQL_LABELLED}), (SELECT unnest(['penalised', 'smoothed']) AS how) GROUP BY 1",
+)
+def m06_gradients(spark, sf):
+    """Both calibrators stand at their optimum: no derivative of their loss is left."""
+    frame = _platt_frame(spark, sf)
+    sizes = frame.agg(F.sum("label").alias("n1"), F.count("*").alias("n")).first()
+    smooth = F.when(F.col("label") == 1, (sizes.n1 + 1.0) / (sizes.n1 + 2.0)).otherwise(1.0 / (sizes.n - sizes.n1 + 2.0))
+    out = None
+    for how, platt, target, penalty in (
+        ("penalised", models.fit_platt(frame), F.col("label"), 1.0), ("smoothed", models.fit_sigmoid(frame, "score"), smooth, 0.0),
+    ):
+        error = models.sigmoid(F.lit(platt.slope) * F.col("score") + F.lit(platt.intercept)) - target
+        row = frame.agg(
+            F.count("*").alias("n_rows"), (F.abs(F.sum(error * F.col("score")) + penalty * platt.slope) / F.count("*") < 1e-4).alias("slope_is_zero"),
+            (F.abs(F.sum(error)) / F.count("*") < 1e-4).alias("intercept_is_zero"),
+        ).select(F.lit(how).alias("how"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _stored(spark, sf):
+    """A logistic candidate written as an artifact and read back, with what it was before; validation and test part."""
+    fitted, val, test = _candidate(spark, sf, "logistic_regression", models.logistic)
+    cut = experiments.refresh_cutoffs(fitted, val).first()
+    digest = quality.dataset_fingerprint(posts(spark, sf).select(tx.fingerprint(F.col("text")).alias("fp")), "fp").first()
+    path = f"{shared_folder(spark)}/artifacts-{uuid.uuid4().hex}"
+    artifacts.save(fitted, path, cut.low, cut.high, digest.dataset_fingerprint, digest.n_rows)
+    return fitted, artifacts.load(spark, path), val, test
+
+
+@query(
+    "m08_stored_candidate",
+    f"WITH src AS ({SQL_LABELLED}), {SQL_THREE_WAY} SELECT doc_id AS key, label, true AS same_score FROM cut WHERE split_name = 'test'",
+)
 def m08(spark, sf):
-    train, _, test = _cut(spark, sf)
-    space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons(spark), TERMS)
-    ready = space.transform(splits.class_weights(train, "label"))
-    fitted = models.build_pipeline(features.STAT_COLUMNS, _logistic(float(train.count()))).fit(ready)
-    return models.positive_probability(fitted, space.transform(test)).select("key", r6(F.col("score")).alias("score"))
+    """Scores before and after a candidate was stored and reloaded, all parts of it."""
+    fitted, stored, _, test = _stored(spark, sf)
+    before = fitted.score(test).select("key", "label", F.col("score").alias("before"), F.col("pred").alias("p"))
+    after = stored.candidate.score(test).select("key", F.col("score").alias("after"), F.col("pred").alias("q"))
+    same = (F.col("before") == F.col("after")) & (F.col("p") == F.col("q"))
+    return before.join(after, "key").select("key", "label", same.alias("same_score"))
+
+
+def _run(spark, sf) -> experiments.TrainingRun:
+    train, val, test = _cut(spark, sf)
+    return experiments.train_and_evaluate(train, val, test, features.STAT_COLUMNS, lexicons(spark), max_terms=TERMS)
+
+
+@query("m09_training_run")
+def m09_run(spark, sf):
+    """The whole experiment in one long table: candidates, choice, test metrics, intervals, cut-offs, sources."""
+    run = _run(spark, sf)
+    long = lambda df, part, by: metrics.long_metrics(df, by).select(F.lit(part).alias("part"), F.col(by[0]).alias("name") if by else F.lit("").alias("name"), "metric", "value")
+    parts = [
+        long(run.validation, "validation", ["model"]), long(run.test, "test", []), long(run.per_source, "source", ["source_id"]),
+        run.intervals.select(F.lit("lower").alias("part"), F.lit("").alias("name"), "metric", F.col("lower").alias("value")),
+        run.intervals.select(F.lit("upper").alias("part"), F.lit("").alias("name"), "metric", F.col("upper").alias("value")),
+        run.cutoffs.unpivot([], ["low", "high"], "metric", "value").select(F.lit("cutoff").alias("part"), F.lit("").alias("name"), "metric", "value"),
+    ]
+    return reduce(DataFrame.unionByName, parts).withColumn("value", r6(F.col("value")))
+
+
+@query(
+    "m09_run_facts",
+    f"""WITH src AS ({SQL_LABELLED}), {SQL_THREE_WAY}, t AS (SELECT count(*) AS n FROM cut WHERE split_name = 'test')
+    SELECT 2 AS n_models, 1 AS n_selected, n AS n_test, 10 AS n_intervals, true AS cutoffs_in_order, true AS errors_are_wrong FROM t""",
+)
+def m09_facts(spark, sf):
+    run = _run(spark, sf)
+    chosen = run.validation.agg(F.count("*").cast("int").alias("n_models"), F.sum(F.col("selected").cast("int")).cast("int").alias("n_selected"))
+    sizes = run.scored.agg(F.count("*").alias("n_test"))
+    intervals = run.intervals.agg(F.count("*").cast("int").alias("n_intervals"))
+    order = run.cutoffs.select((F.col("low") < F.col("high")).alias("cutoffs_in_order"))
+    wrong = run.errors.agg(F.coalesce(F.bool_and(F.col("prediction") != F.col("label")), F.lit(True)).alias("errors_are_wrong"))
+    return chosen.crossJoin(sizes).crossJoin(intervals).crossJoin(order).crossJoin(wrong)  # one row each
 
 
 @query("m10_embedding_classifier")
@@ -121,11 +224,11 @@ def m10(spark, sf):
 
 @query("m11_grid")
 def m11(spark, sf):
+    """All six steps, five folds and terms; :data:`GRID_ROUNDS` rounds."""
     train, _, _ = _cut(spark, sf)
-    space = experiments.fit_features(train, (), None, 50)
-    ready = space.transform(train).select("label", F.col("tfidf").alias("features")).persist()
-    found = models.grid(ready, steps=(0.02, 0.06), rounds=2, k=2)
-    best = models_best(found)
+    space = experiments.fit_features(train, (), None, TERMS)
+    ready = cut_lineage(space.transform(train).select("label", F.col("tfidf").alias("features")))
+    best = models_best(models.grid(ready, rounds=GRID_ROUNDS))
     return ready.groupBy("label").agg(F.count("*").alias("n")).select(
         "label", "n", F.lit(best[0]).alias("best_step"), F.lit(round(best[1], 6)).alias("accuracy")
     )
@@ -177,48 +280,126 @@ def v14_protocol(spark, sf):
 
 @query("v14_out_of_domain")
 def v14(spark, sf):
-    report = experiments.out_of_domain(samples(spark, sf), *_ROLES, {"logistic_regression": _logistic}, max_terms=TERMS)
+    """All three published candidates and, on the rows that have a vector, the vector model."""
+    vectors = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("key"), array_to_vector(F.col("embedding").cast("array<double>")).alias("vector")
+    )
+    rows = samples(spark, sf).join(vectors, "key")
+    report = experiments.out_of_domain(
+        rows, *_ROLES, lambda n: models.out_of_domain_candidates(n, rounds=ROUNDS), features.STAT_COLUMNS, lexicons(spark), max_terms=TERMS, vector="vector",
+    )
     return metrics.long_metrics(report, ["model", "source_id"]).withColumn("value", r6(F.col("value")))
 
 
+_ABSENT = ("src3", "src19", "not there")
+
+
+@query(
+    "v14_skipped_sources",
+    f"""WITH n AS (SELECT source_id, count(*) AS n_rows FROM ({SQL_LABELLED}) GROUP BY 1), s AS (SELECT unnest({list(_ABSENT)}) AS source_id)
+    SELECT s.source_id, coalesce(n_rows, 0) AS n_rows FROM s LEFT JOIN n ON n.source_id = s.source_id WHERE coalesce(n_rows, 0) < 40""",
+)
+def v14_skipped(spark, sf):
+    return experiments.skipped_sources(labelled(spark, sf), _ABSENT, least=40)
+
+
+@query("v14_mean_f2")
+def v14_mean(spark, sf):
+    train = samples(spark, sf)
+    report = experiments.out_of_domain(train, *_ROLES, lambda n: {"logistic_regression": models.logistic(n)}, features.STAT_COLUMNS, lexicons(spark), max_terms=TERMS)
+    return experiments.mean_out_of_domain_f2(report).withColumn("oov_f2", r6(F.col("oov_f2")))
+
+
 @query("v15_ablation")
 def v15(spark, sf):
+    """Validation, test and five-fold metrics of all feature sets, one row per set."""
     train, val, test = _cut(spark, sf)
-    long = experiments.ablation(train, val, test, features.ABLATION_SETS, lexicons(spark), max_terms=TERMS, build=_logistic)
-    return long.withColumn("value", r6(F.col("value")))
+    long = experiments.ablation(train, val, test, features.ABLATION_SETS, lexicons(spark), max_terms=TERMS)
+    wide = experiments.ablation_table(long)
+    return wide.select("feature_set", *[r6(F.col(c)).alias(c) for c in wide.columns if c != "feature_set"])
 
 
 @query("v16_split_compare")
 def v16(spark, sf):
-    return experiments.split_compare(samples(spark, sf), max_terms=TERMS, build=_logistic).withColumn("value", r6(F.col("value")))
+    found = experiments.split_compare(samples(spark, sf), features.STAT_COLUMNS, lexicons(spark), max_terms=TERMS)
+    return found.withColumn("value", r6(F.col("value")))
 
 
 @query("v17_cross_validate")
 def v17(spark, sf):
-    return experiments.cross_validate(samples(spark, sf), max_terms=TERMS, build=_logistic).withColumn("value", r6(F.col("value")))
+    found = experiments.cross_validate(samples(spark, sf), {"tfidf_full": features.STAT_COLUMNS}, lexicons(spark), max_terms=TERMS)
+    return found.withColumn("value", r6(F.col("value")))
+
+
+@query(
+    "v17_fold_vocabularies",
+    f"""WITH src AS ({SQL_LABELLED}), k AS (SELECT least(5, greatest(2, count(*) // 50)) AS k FROM src),
+    r AS (SELECT doc_id, row_number() OVER (PARTITION BY label ORDER BY {sql_hash('doc_id')}) AS rk, count(*) OVER (PARTITION BY label) AS n FROM src),
+    f AS (SELECT doc_id, CAST(len(list_filter(range(1, k), lambda j: ceil(n * j / CAST(k AS DOUBLE)) < rk)) AS INT) AS own FROM r, k),
+    w AS (SELECT own, doc_id, list_filter(string_split({sql_clean('text')}, ' '), lambda t: length(t) >= 2) AS w FROM documents JOIN f USING (doc_id)),
+    g AS (SELECT own, doc_id, unnest(list_concat(w, [w[i] || ' ' || w[i+1] for i in range(1, len(w))])) AS term FROM w),
+    c AS (SELECT own, doc_id, term, count(*) AS tf FROM g GROUP BY ALL),
+    x AS (SELECT CAST(unnest(range(0, k)) AS INT) AS fold FROM k),
+    n AS (SELECT fold, count(*) AS n FROM f, x WHERE own <> fold GROUP BY 1),
+    s AS (SELECT fold, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM c, x WHERE own <> fold GROUP BY 1, 2),
+    q AS (SELECT s.*, n.n FROM s JOIN n ON n.fold = s.fold WHERE df >= 3 AND df <= 0.9e0 * n
+      QUALIFY row_number() OVER (PARTITION BY s.fold ORDER BY tf DESC, term) <= 6000)
+    SELECT fold, term, CAST(row_number() OVER (PARTITION BY fold ORDER BY term) - 1 AS INT) AS index, df, tf, round(ln((1e0 + n) / (1e0 + df)) + 1, 6) AS idf FROM q""",
+)
+def v17_vocabularies(spark, sf):
+    rows = samples(spark, sf)
+    k = splits.fold_count(rows.count(), settings.CV_FOLDS)
+    stats = cut_lineage(fold_features.fold_stats(splits.folds(rows, "key", "label", k)))
+    return fold_features.fold_vocabularies(stats, k, TERMS).withColumn("idf", r6(F.col("idf")))
 
 
 @query("v20_refresh_cutoffs")
 def v20(spark, sf):
-    fitted, val, _ = _candidate(spark, sf, "logistic_regression", _logistic)
-    return experiments.refresh_cutoffs(fitted, val)
+    _, stored, val, _ = _stored(spark, sf)
+    return experiments.refresh_cutoffs(stored.candidate, val)
 
 
 @query(
     "v21_run_metadata",
-    f"""WITH l AS (SELECT fp, count(*) AS n FROM (SELECT sha256({sql_normal('text')}) AS fp FROM documents) GROUP BY fp),
-    r AS (SELECT substr(fp, 1, 3) AS range, sha256(string_agg(fp || ' ' || n, chr(10) ORDER BY fp || ' ' || n)) AS digest, sum(n) AS n FROM l GROUP BY 1)
-    SELECT 'v1' AS model_version, 42 AS random_seed, sha256(string_agg(digest, chr(10) ORDER BY range)) AS dataset_fingerprint,
-      CAST(sum(n) AS BIGINT) AS n_rows, 'logistic_regression' AS best_model FROM r""",
+    f"""WITH {sql_digest(f"(SELECT sha256({sql_normal('text')}) AS fp FROM documents)")}
+    SELECT 'v1' AS model_version, 42 AS random_seed, g AS dataset_fingerprint, CAST(n AS BIGINT) AS n_rows, 'logistic_regression' AS best_model,
+      '{settings.LABEL_DISCLAIMER}' AS label_disclaimer, '{settings.SCORE_DISCLAIMER}' AS score_disclaimer FROM n0, z""",
 )
 def v21(spark, sf):
     frame = posts(spark, sf).select(tx.fingerprint(F.col("text")).alias("fp"))
-    return experiments.run_metadata(frame, "fp", "logistic_regression", "v1").drop("label_disclaimer", "score_disclaimer")
+    return experiments.run_metadata(frame, "fp", "logistic_regression", "v1")
+
+
+@query("v18_model_comparison")
+def v18_run(spark, sf):
+    """Text and vector model on the same split, with the winner per metric."""
+    vectors = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("key"), array_to_vector(F.col("embedding").cast("array<double>")).alias("vector")
+    )
+    cut = cut_lineage(splits.stratified(samples(spark, sf).join(vectors, "key"), "key", "label"))
+    train, val, test = (cut.filter(F.col("split_name") == s).drop("split_name") for s in ("train", "val", "test"))
+    return experiments.compare_models(train, val, test, features.STAT_COLUMNS, lexicons(spark), max_terms=TERMS)
 
 
 @query("s14_score_batch")
 def s14(spark, sf):
-    fitted, _, _ = _candidate(spark, sf, "logistic_regression", _logistic)
-    return experiments.score_batch(fitted, posts(spark, sf), "text", 0.35, 0.70, "v1").drop("text").withColumn(
-        "model_score", r6(F.col("model_score"))
+    _, stored, _, _ = _stored(spark, sf)
+    scored = stored.score(posts(spark, sf), "text").drop("text")
+    return scored.withColumns({"model_score": r6(F.col("model_score")), "flags": F.array_join("flags", ",")})
+
+
+@query(
+    "s14_batch_facts",
+    """SELECT source AS source_id, count(*) AS n_rows, 'logistic_regression-v1' AS model_version, true AS scores_in_range, true AS tiers_known,
+      true AS clear_texts_keep_their_tier FROM documents GROUP BY 1""",
+)
+def s14_facts(spark, sf):
+    _, stored, _, _ = _stored(spark, sf)
+    scored = stored.score(posts(spark, sf), "text")
+    tiers = ["low", "medium", "high", "insufficient"]
+    return scored.groupBy("source_id").agg(
+        F.count("*").alias("n_rows"), F.first("model_version").alias("model_version"),
+        F.bool_and(F.col("model_score").between(0, 1)).alias("scores_in_range"),
+        F.bool_and(F.col("model_tier").isin(tiers) & F.col("display_tier").isin(tiers)).alias("tiers_known"),
+        F.bool_and((F.size("flags") > 0) | (F.col("model_tier") == F.col("display_tier"))).alias("clear_texts_keep_their_tier"),
     )

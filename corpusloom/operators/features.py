@@ -61,6 +61,17 @@ def stat_features(
     return lexicon.mention_hits(out, clean, names)
 
 
+def add_dense(df: DataFrame, clean: str, dense: Sequence[str], lexicons=None) -> DataFrame:
+    """Adds the dense columns; those beyond the text statistics need the lexicons."""
+    if not dense:
+        return df
+    if lexicons is None:
+        if not set(dense) <= set(STAT_COLUMNS[:3]):
+            raise ValueError("sentiment and lexicon columns need lexicons")
+        return text_stats(df, clean)
+    return stat_features(df, clean, lexicons.valence, lexicons.terms, lexicons.positive, lexicons.negative, lexicons.names)
+
+
 def _terms(clean: Column, ngrams: tuple[int, int], min_chars: int = 2) -> Column:
     words = F.filter(F.split(clean, " "), lambda t: F.length(t) >= min_chars)
     return tx.ngram_range(words, *ngrams)
@@ -109,7 +120,7 @@ def rank_terms(stats: DataFrame, max_terms: int | None, min_df: int, max_df: flo
 
 
 def _weighted(df: DataFrame, clean: str, vocab: DataFrame, ngrams: tuple[int, int]) -> DataFrame:
-    """Adds _e: ARRAY<STRUCT<i, w>> by index and _n, its length; weights are (1 + ln tf) * idf.
+    """Adds _e: ARRAY<STRUCT<i, w>> by index; weights are (1 + ln tf) * idf.
 
     The idf of an index is read from an array literal: the vocabulary was checked to be a small table.
     """
@@ -118,15 +129,16 @@ def _weighted(df: DataFrame, clean: str, vocab: DataFrame, ngrams: tuple[int, in
     entries = F.transform(
         "_c", lambda t: F.struct(t["index"].alias("i"), ((F.log(t["tf"]) + 1.0) * F.get("_idf", t["index"])).alias("w"))
     )
-    out = counted.withColumn("_e", entries).drop("_c", "_idf")
-    return out.withColumn("_n", F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, e: a + e["w"] * e["w"])))
+    return counted.withColumn("_e", entries).drop("_c", "_idf")
 
 
 def tfidf_weights(
     df: DataFrame, doc: str, clean: str, vocab: DataFrame, ngrams: tuple[int, int] = settings.TFIDF_NGRAMS
 ) -> DataFrame:
     """(doc, index, term, weight): (1 + ln tf) * idf, each document at unit length; no shuffle."""
-    long = _weighted(df.select(doc, clean), clean, vocab, ngrams).select(doc, "_n", F.inline("_e"))
+    weighted = _weighted(df.select(doc, clean), clean, vocab, ngrams)
+    length = F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, e: a + e["w"] * e["w"]))
+    long = weighted.select(doc, length.alias("_n"), F.inline("_e"))
     terms = small_table(vocab.select(F.col("index").alias("i"), "term")).frame
     return long.join(terms, "i").select(doc, F.col("i").alias("index"), "term", (F.col("w") / F.col("_n")).alias("weight"))
 
@@ -159,7 +171,13 @@ def tfidf_vectors(
     to: str = "tfidf",
 ) -> DataFrame:
     """Adds the sparse TF-IDF vector of each document, computed inside the row."""
-    out = _weighted(df, clean, vocab, ngrams)
+    return pack_vectors(_weighted(df, clean, vocab, ngrams), size, to)
+
+
+def pack_vectors(weighted: DataFrame, size: int, to: str = "tfidf") -> DataFrame:
+    """Sparse vectors of unit length from _e: ARRAY<STRUCT<i, w>> in the order of i."""
+    length = F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, e: a + e["w"] * e["w"]))
+    out = weighted.withColumn("_n", length)
     indices = F.transform("_e", lambda e: e["i"])
     values = F.transform("_e", lambda e: e["w"] / F.col("_n"))
     return out.withColumn(to, _sparse(size)(indices, values)).drop("_e", "_n")

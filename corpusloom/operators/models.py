@@ -48,24 +48,26 @@ def svm(weight_sum: float, c: float = 1.0, iterations: int = 100) -> LinearSVC:
     )
 
 
-def forest(trees: int = 250, seed: int = settings.SEED) -> RandomForestClassifier:
+def forest(trees: int = settings.FOREST_TREES, seed: int = settings.SEED) -> RandomForestClassifier:
     """Deep trees over class-weighted bootstraps; depth is Spark's largest."""
     return RandomForestClassifier(**_COLUMNS, weightCol="weight", numTrees=trees, maxDepth=30, seed=seed)
 
 
 def boosting(
-    rounds: int = 300, depth: int = 6, step: float = 0.05, seed: int = settings.SEED, weighted: bool = True
+    rounds: int = settings.BOOSTING_ROUNDS, depth: int = settings.BOOSTING_DEPTH, step: float = settings.BOOSTING_STEP,
+    seed: int = settings.SEED, weighted: bool = True,
 ) -> GBTClassifier:
     """Boosted trees on the balanced rows: by default with the ``weight`` column."""
     model = GBTClassifier(
-        **_COLUMNS, maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=seed
+        **_COLUMNS, maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed,
+        subsamplingRate=settings.BOOSTING_SHARE, featureSubsetStrategy=str(settings.BOOSTING_SHARE),
     )
     return model.setWeightCol("weight") if weighted else model
 
 
-def out_of_domain_boosting(seed: int = settings.SEED) -> GBTClassifier:
+def out_of_domain_boosting(seed: int = settings.SEED, rounds: int = settings.OOV_BOOSTING_ROUNDS) -> GBTClassifier:
     """The published out-of-domain candidate, which is fitted without balancing."""
-    return boosting(200, 5, 0.05, seed, weighted=False)
+    return boosting(rounds, settings.OOV_BOOSTING_DEPTH, settings.BOOSTING_STEP, seed, weighted=False)
 
 
 def bernoulli_bayes(smoothing: float = 0.1) -> NaiveBayes:
@@ -83,15 +85,28 @@ def multiclass_logistic(l1: float = 1.0, c: float = 10.0, rows: float = 1.0, ite
     )
 
 
-def candidates(weight_sum: float, full: bool = False, seed: int = settings.SEED, trees: int = 250, rounds: int = 300) -> dict[str, Estimator | str]:
-    """Candidate models in their order of preference; "linear_svc" is calibrated when fitted."""
-    out: dict[str, Estimator | str] = {"logistic_regression": logistic(weight_sum), "linear_svc": svm(weight_sum)}
+def candidates(
+    weight_sum: float, full: bool = False, seed: int = settings.SEED, trees: int = settings.FOREST_TREES,
+    rounds: int = settings.BOOSTING_ROUNDS, oversample: bool = True,
+) -> dict[str, Estimator]:
+    """Candidate models in their order of preference; "linear_svc" is calibrated when fitted.
+
+    Linear models and the forest balance classes in any case, boosting only by oversampling.
+    """
+    out: dict[str, Estimator] = {"logistic_regression": logistic(weight_sum), "linear_svc": svm(weight_sum)}
     if full:
         out["random_forest"] = forest(trees, seed)
-        out["boosting"] = boosting(rounds, seed=seed)
+        out["boosting"] = boosting(rounds, seed=seed, weighted=oversample)
     return out
 
 
+def out_of_domain_candidates(weight_sum: float, seed: int = settings.SEED, rounds: int = settings.OOV_BOOSTING_ROUNDS) -> dict[str, Estimator]:
+    """The published candidates of the out-of-domain run, which balance classes by weights only."""
+    return {
+        "logistic_regression": logistic(weight_sum), "linear_svc": svm(weight_sum), "boosting": out_of_domain_boosting(seed, rounds),
+    }
+
+
 # --- scores -------------------------------------------------------------------------
 
 
@@ -105,6 +120,11 @@ def positive_probability(model: Model, df: DataFrame, to: str = "score") -> Data
     return scored.drop("rawPrediction", "probability", "prediction")
 
 
+def score_with(model: Model | CalibratedSvm, df: DataFrame, to: str = "score") -> DataFrame:
+    """Adds the score of a fitted candidate."""
+    return model.score(df, to) if isinstance(model, CalibratedSvm) else positive_probability(model, df, to)
+
+
 def sigmoid(margin: Column) -> Column:
     return 1.0 / (1.0 + F.exp(-margin))
 
@@ -147,6 +167,23 @@ def fit_platt(df: DataFrame, score: str = "score", label: str = "label") -> Plat
     return Platt(float(fitted.coefficients[0]), float(fitted.intercept))
 
 
+def fit_sigmoid(df: DataFrame, margin: str = "margin", label: str = "label") -> Platt | None:
+    """Unpenalised sigmoid of a margin on smoothed targets; None for one class or one margin.
+
+    With n1 positive and n0 negative rows the targets are (n1 + 1) / (n1 + 2) and 1 / (n0 + 2). A row with target t is
+    a pair of weighted rows: class 1 with weight t and class 0 with weight 1 - t.
+    """
+    df = cut_lineage(df.select(F.col(margin).alias("_s"), F.col(label).alias("_y")))
+    facts = df.agg(F.sum("_y").alias("n1"), F.count("*").alias("n"), F.min("_s").alias("lo"), F.max("_s").alias("hi")).first()
+    if not facts.n1 or facts.n1 == facts.n or facts.lo == facts.hi:
+        return None
+    target = F.when(F.col("_y") == 1, (facts.n1 + 1.0) / (facts.n1 + 2.0)).otherwise(1.0 / (facts.n - facts.n1 + 2.0))
+    pair = F.inline(F.array(F.struct(F.lit(1.0).alias("_l"), target.alias("_w")), F.struct(F.lit(0.0).alias("_l"), (1.0 - target).alias("_w"))))
+    data = VectorAssembler(inputCols=["_s"], outputCol="_v").transform(df.select("_s", pair))
+    fitted = LogisticRegression(featuresCol="_v", labelCol="_l", weightCol="_w", regParam=0.0, maxIter=1000, tol=1e-12).fit(data)
+    return Platt(float(fitted.coefficients[0]), float(fitted.intercept))
+
+
 def apply_platt(score: Column, slope: float, intercept: float) -> Column:
     value = sigmoid(F.lit(slope) * score + F.lit(intercept))
     return F.greatest(F.least(value, F.lit(1.0 - 1e-6)), F.lit(1e-6))
@@ -174,7 +211,7 @@ class CalibratedSvm:
 def fit_calibrated_svm(
     df: DataFrame, key: str, estimator: LinearSVC, k: int = 3, seed: int = settings.SEED
 ) -> CalibratedSvm:
-    """``k`` SVMs, each calibrated on the fold it did not see."""
+    """``k`` SVMs, each calibrated on the fold it did not see by :func:`fit_sigmoid`."""
     folded = cut_lineage(splits.folds(df, key, "label", max(k, 2), seed, to="_fold")).persist()
     members = []
     for fold in range(k):
@@ -182,7 +219,7 @@ def fit_calibrated_svm(
         held = fitted.transform(folded.filter(F.col("_fold") == fold)).withColumn(
             "margin", vector_to_array("rawPrediction")[1]
         )
-        members.append((fitted, fit_platt(held, "margin")))
+        members.append((fitted, fit_sigmoid(held, "margin")))
     folded.unpersist()
     return CalibratedSvm(members)
 
@@ -268,7 +305,7 @@ def embedding_classifier(train: DataFrame, val: DataFrame, vector: str = "vector
     return EmbeddingClassifier(model, threshold, metrics.binary_metrics(pred, "label", "pred", "score"))
 
 
-def grid(df: DataFrame, steps: Sequence[float] = (0.02, 0.03, 0.04, 0.05, 0.06, 0.07), rounds: int = 300, k: int = 5, seed: int = settings.SEED) -> CrossValidatorModel:
+def grid(df: DataFrame, steps: Sequence[float] = settings.GRID_STEPS, rounds: int = settings.BOOSTING_ROUNDS, k: int = settings.CV_FOLDS, seed: int = settings.SEED) -> CrossValidatorModel:
     """Cross-validated search over the boosting step size by accuracy."""
     estimator = boosting(rounds, 3, seed=seed, weighted=False)
     search = ParamGridBuilder().addGrid(estimator.stepSize, list(steps)).build()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import settings
+from ..session import cut_lineage
 from .explore import exact_quantiles
 
 SPLITS = ("train", "val", "test")
@@ -94,22 +95,26 @@ def dataset_fingerprint_exact(df: DataFrame, fingerprint: str) -> DataFrame:
     return df.agg(F.sha2(joined, 256).alias("dataset_fingerprint"))
 
 
-def dataset_fingerprint(df: DataFrame, fingerprint: str, prefix: int = 3) -> DataFrame:
-    """Digest in two levels: one per range of hex prefixes, then one of the digests.
+def dataset_fingerprint(df: DataFrame, fingerprint: str, leaf: int = settings.DIGEST_LEAF) -> DataFrame:
+    """Digest and rows of a corpus of any size, as a hash tree over SHA-256 fingerprints.
 
-    Equal fingerprints are counted first, so copies cannot fill a range. A range holds
-    1/16**prefix of the distinct fingerprints: raise ``prefix`` with the corpus.
+    Equal fingerprints are counted first, so copies take one line. The tree branches by hex digits and is as deep as
+    the number of distinct fingerprints needs for ``leaf`` lines per leaf: a node digests either the sorted lines of its
+    range or the digests of its at most 16 children, so no list grows with the corpus.
     """
-    lines = df.groupBy(fingerprint).agg(F.count("*").alias("n"))
-    line = F.concat_ws(" ", F.col(fingerprint), F.col("n").cast("string"))
-    ranges = lines.groupBy(F.substring(fingerprint, 1, prefix).alias("range")).agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "\n"), 256).alias("digest"),
-        F.sum("n").alias("n_rows"),
-    )
-    digests = F.transform(F.sort_array(F.collect_list(F.struct("range", "digest"))), lambda r: r["digest"])
-    return ranges.agg(
-        F.sha2(F.array_join(digests, "\n"), 256).alias("dataset_fingerprint"), F.sum("n_rows").alias("n_rows")
-    )
+    lines = cut_lineage(df.groupBy(F.col(fingerprint).alias("fp")).agg(F.count("*").alias("n")))
+    facts = lines.agg(F.count("*").alias("lines"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows")).first()
+    depth = 0
+    while facts.lines > leaf * 16**depth:
+        depth += 1
+    line = F.concat_ws(" ", "fp", F.col("n").cast("string"))
+    nodes = lines.select(F.substring("fp", 1, depth).alias("range"), line.alias("line"))
+    for level in range(depth, -1, -1):
+        joined = F.array_join(F.sort_array(F.collect_list("line")), "\n")
+        digests = nodes.groupBy("range").agg(F.sha2(joined, 256).alias("digest"))
+        child = F.concat_ws(" ", "range", "digest")
+        nodes = digests.select(F.substring("range", 1, max(level - 1, 0)).alias("range"), child.alias("line"), "digest")
+    return nodes.select(F.col("digest").alias("dataset_fingerprint"), F.lit(facts.n_rows).cast("long").alias("n_rows"))
 
 
 def length_profile(df: DataFrame, text: str) -> DataFrame:

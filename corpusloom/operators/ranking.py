@@ -121,13 +121,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: st
     return left.join(renamed, condition, how).drop(*[f"_r_{name}" for name in by])
 
 
-def grouped_rank(df: DataFrame, group: Sequence[str], key: str, seed: int, to: str = "rank") -> DataFrame:
+def grouped_rank(df: DataFrame, group: Sequence[str], key: str, seed: int, to: str = "rank", buckets: int = 4096) -> DataFrame:
     """1-based rank of every row in its group's hash order.
 
     Two levels: rank inside (group, hash bucket), plus the rows of the buckets before. A
     group holding a third of the table spreads over all buckets.
     """
-    hashed = df.withColumn("_h", hash_order(key, seed)).withColumn("_b", _bucket(F.col("_h"), 4096))
+    hashed = df.withColumn("_h", hash_order(key, seed)).withColumn("_b", _bucket(F.col("_h"), buckets))
     totals = hashed.groupBy(*group, "_b").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(W.partitionBy(*group).orderBy("_b")) - F.col("_n")
     offsets = totals.select(*group, "_b", before.alias("_before"))

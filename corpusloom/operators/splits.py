@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from .. import settings
 from ..session import SmallTable, local_rows, small_rows, small_table
 from .labelling import majority_label
-from .ranking import grouped_rank, hash_cells, hash_order, largest_remainder, null_safe_join, strata_counts
+from .ranking import bucket_count, grouped_rank, hash_cells, hash_order, largest_remainder, null_safe_join, strata_counts
 
 _MIN_SOURCES = 3
 
@@ -169,6 +169,12 @@ def class_weights(df: DataFrame, label: str, to: str = "weight") -> DataFrame:
     return null_safe_join(df, weights, [label])
 
 
+def balanced_rows(df: DataFrame, label: str, oversample: bool = True) -> float:
+    """Rows that a balanced fit sees: the sum of the copies when oversampled, else the rows themselves."""
+    sizes = [r.n for r in small_rows(_counts(df, [label])[0])]
+    return float(len(sizes) * max(sizes, default=0) if oversample else sum(sizes))
+
+
 def oversample(
     df: DataFrame,
     key: str,
@@ -269,11 +275,13 @@ def balanced_batches(df: DataFrame, key: str, label: str, size: int, seed: int =
     """Equal positives and negatives in every batch, interleaved.
 
     Rows keep their hash rank within the label; ranks beyond the smaller class are left
-    out, which is what the balanced order means. ``position`` runs over the kept rows.
+    out, which is what the balanced order means. They go before anything is ranked, by the hash at the cut. ``position`` runs over the kept rows.
     """
-    ranked = grouped_rank(df, [label], key, seed, "rank")
-    least = df.groupBy(label).agg(F.count("*").alias("n")).agg(F.min("n")).scalar()
-    kept = ranked.filter(F.col("rank") <= least)
+    counts, n, _ = _counts(df, [label])
+    least = min((r.n for r in small_rows(counts)), default=0)
+    cuts = counts.select(label, F.array(F.lit(least).cast("long")).alias("upto"))
+    cut = hash_cells(df, [label], key, seed, cuts, n, "_cell").filter("_cell = 0").drop("_cell")
+    kept = grouped_rank(cut, [label], key, seed, "rank", bucket_count(n))
     position = (F.col("rank") - 1) * 2 + F.when(F.col(label) == positive, 0).otherwise(1)
     return kept.withColumn("position", position).withColumn("batch", F.expr(f"position div {int(size)}"))
 

@@ -173,7 +173,7 @@ def pair_counts(rows: np.ndarray, codes: np.ndarray, n_codes: int) -> tuple[np.n
 _STATS = "term string, tf long, df long"
 
 
-def _batch_stats(terms: pa.Array, rows: np.ndarray, n_rows: int) -> pa.RecordBatch:
+def batch_stats(terms: pa.Array, rows: np.ndarray, n_rows: int) -> pa.RecordBatch:
     """tf and df of a batch's terms; the null term carries the number of rows."""
     coded = pc.dictionary_encode(terms)
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -193,7 +193,7 @@ def list_stats(df: DataFrame, words: str) -> DataFrame:
         for batch in batches:
             flat, rows, sizes = flat_rows(batch.column(0))
             known = pc.is_valid(flat)
-            yield _batch_stats(flat.filter(known), rows[known.to_numpy(zero_copy_only=False)], len(sizes))
+            yield batch_stats(flat.filter(known), rows[known.to_numpy(zero_copy_only=False)], len(sizes))
 
     return _summed(df.select(words).mapInArrow(count, _STATS)).filter(F.col("term").isNotNull())
 
@@ -204,7 +204,7 @@ def text_stats(df: DataFrame, clean: str, ngrams: tuple[int, int], least: int =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, rows, n_rows = split_words(batch.column(0), least)
-            yield _batch_stats(*grams(words, rows, ngrams), n_rows)
+            yield batch_stats(*grams(words, rows, ngrams), n_rows)
 
     return _summed(df.select(clean).mapInArrow(count, _STATS))
 

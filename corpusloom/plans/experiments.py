@@ -8,10 +8,12 @@ thresholds and metric tables of one row per model or source.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +21,12 @@ from pyspark.sql import functions as F
 from .. import settings
 from ..operators import features, metrics, models, splits
 from ..operators.risk import Lexicons
-from ..session import cut_lineage, small_table
+from ..session import cut_lineage, local_rows, small_table
+from .fold_features import feature_sets, fit_folds
 
+_FITS_AT_ONCE = 4
 
-# Rows of the training part to an estimator: penalties depend on the sum of weights.
+# Rows of the balanced training part to an estimator: penalties are measured against them.
 Builder = Callable[[float], Estimator]
 
 
@@ -36,15 +40,7 @@ class FeatureSpace:
     lexicons: Lexicons | None = None
 
     def transform(self, df: DataFrame, key: str = "key", clean: str = "clean") -> DataFrame:
-        out = df
-        if self.dense:
-            if self.lexicons is None:
-                out = features.text_stats(out, clean)
-            else:
-                lex = self.lexicons
-                out = features.stat_features(
-                    out, clean, lex.valence, lex.terms, lex.positive, lex.negative, lex.names
-                )
+        out = features.add_dense(df, clean, self.dense, self.lexicons)
         return features.tfidf_vectors(out, key, clean, self.vocab, self.size)
 
 
@@ -63,61 +59,63 @@ class Fitted:
     name: str
     space: FeatureSpace
     scaler: PipelineModel
-    scorer: Callable[[DataFrame], DataFrame]
-    model: object
+    model: Model | models.CalibratedSvm
     threshold: float = 0.5
     platt: models.Platt | None = None
-    extra: dict = field(default_factory=dict)
 
     def score(self, df: DataFrame) -> DataFrame:
         """Adds ``score`` (calibrated when a calibrator is set) and ``pred``."""
         ready = self.scaler.transform(self.space.transform(df)).drop("tfidf", "_joined")
-        out = self.scorer(ready).drop("features")
+        out = models.score_with(self.model, ready).drop("features")
         if self.platt is not None:
             out = out.withColumn("score", self.platt.apply(F.col("score")))
         return out.withColumn("pred", (F.col("score") >= self.threshold).cast("int"))
 
 
 def fit_candidate(
-    name: str,
-    estimator: Estimator,
-    train: DataFrame,
-    space: FeatureSpace,
-    oversample: bool = True,
-    seed: int = settings.SEED,
-    key: str = "key",
+    name: str, estimator: Estimator, train: DataFrame, space: FeatureSpace, seed: int = settings.SEED, key: str = "key"
 ) -> Fitted:
-    """Fit one candidate on weighted rows; a linear SVM is calibrated on three folds.
+    """Fit one candidate on rows with balanced weights; a linear SVM is calibrated on three folds.
 
     Balanced weights stand for both oversampling and class weights: the expected loss is
-    the same, no row is copied, and no copy can leak into a calibration fold.
+    the same, no row is copied, and no copy can leak into a calibration fold. The two differ only in the number of rows that the
+    penalty is measured against, :func:`splits.balanced_rows`.
     """
-    from pyspark.ml import Pipeline
-
-    weighted = splits.class_weights(train, "label") if oversample else train.withColumn("weight", F.lit(1.0))
-    ready = space.transform(weighted, key)
+    ready = space.transform(splits.class_weights(train, "label"), key)
     scaler = Pipeline(stages=models.feature_stages(space.dense)).fit(ready)
     # Fits run many short jobs: let them read a written table, not repeat the feature plan.
-    data = cut_lineage(scaler.transform(ready).select(key, "label", "weight", "features")).persist()
+    data = cut_lineage(scaler.transform(ready).select(key, "label", "weight", "features"))
+    return Fitted(name, space, scaler, fit_estimator(estimator, data, seed, key))
+
+
+def fit_estimator(estimator: Estimator, data: DataFrame, seed: int = settings.SEED, key: str = "key") -> Model | models.CalibratedSvm:
+    """Fit on ready features, which are cached for as long as the fit runs."""
+    data = data.persist()
     try:
-        if isinstance(estimator, LinearSVC):
-            fitted = models.fit_calibrated_svm(data, key, estimator, seed=seed)
-            scorer = fitted.score
-        else:
-            fitted = estimator.fit(data)
-            scorer = lambda df, m=fitted: models.positive_probability(m, df)
+        return models.fit_calibrated_svm(data, key, estimator, seed=seed) if isinstance(estimator, LinearSVC) else estimator.fit(data)
     finally:
         data.unpersist()
-    return Fitted(name, space, scaler, scorer, fitted)
 
 
 def tune(candidate: Fitted, frame: DataFrame) -> Fitted:
     """Set the F2 threshold on a validation frame."""
-    row = metrics.best_threshold(candidate.score(frame), "label", "score").first()
-    candidate.threshold = float(row.threshold)
+    return _tune_on(candidate, scores_of(candidate, frame))
+
+
+def scores_of(candidate: Fitted, frame: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Written label and score: metrics read them several times, features are computed once."""
+    return cut_lineage(candidate.score(frame).select(*keep, "label", "score"))
+
+
+def _tune_on(candidate: Fitted, scored: DataFrame) -> Fitted:
+    candidate.threshold = float(metrics.best_threshold(scored, "label", "score").first().threshold)
     return candidate
 
 
+def _decided(candidate: Fitted, scored: DataFrame) -> DataFrame:
+    return scored.withColumn("pred", (F.col("score") >= candidate.threshold).cast("int"))
+
+
 def _with(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[F.lit(value).alias(name) for name, value in names.items()], "*")
 
@@ -133,8 +131,9 @@ class TrainingRun:
     test: DataFrame
     intervals: DataFrame
     cutoffs: DataFrame
-    per_source: DataFrame
+    per_source: DataFrame | None
     errors: DataFrame
+    scored: DataFrame
 
 
 def train_and_evaluate(
@@ -148,8 +147,8 @@ def train_and_evaluate(
     oversample: bool = True,
     max_terms: int = settings.TFIDF_MAX_TERMS,
     seed: int = settings.SEED,
-    trees: int = 250,
-    rounds: int = 300,
+    trees: int = settings.FOREST_TREES,
+    rounds: int = settings.BOOSTING_ROUNDS,
     replicates: int = 400,
 ) -> TrainingRun:
     """The whole experiment: candidates, choice, calibration, thresholds, test report.
@@ -159,20 +158,24 @@ def train_and_evaluate(
     train = splits.cap(train, "key", "label", seed=seed)
     calibrate, select = splits.calibration_halves(val, "key", "label", seed)
     space = fit_features(train, dense, lexicons, max_terms)
-    n = float(train.count())
+    n = splits.balanced_rows(train, "label", oversample)
     fitted, rows = {}, []
-    for rank, (name, estimator) in enumerate(models.candidates(n, full, seed, trees, rounds).items()):
-        candidate = tune(fit_candidate(name, estimator, train, space, oversample, seed), select)
-        wide = metrics.binary_metrics(candidate.score(select), "label", "pred", "score")
+    for rank, (name, estimator) in enumerate(models.candidates(n, full, seed, trees, rounds, oversample).items()):
+        candidate = fit_candidate(name, estimator, train, space, seed)
+        scored = scores_of(candidate, select)
+        wide = metrics.binary_metrics(_decided(_tune_on(candidate, scored), scored), "label", "pred", "score")
         rows.append(wide.select(F.lit(name).alias("model"), F.lit(rank).alias("rank"), F.lit(candidate.threshold).alias("threshold"), "*"))
-        fitted[name] = candidate
-    table = _union(rows)
+        fitted[name] = candidate, scored
+    table = cut_lineage(_union(rows))
     none = table.select("model").limit(0).withColumn("oov_f2", F.lit(None).cast("double"))
     chosen = models.select_model(table, none if oov is None else oov)
-    best = fitted[chosen.filter("selected").first().model]
-    best.platt = models.fit_platt(best.score(calibrate))
-    tune(best, select)
-    scored = best.score(test).persist()
+    best, selection = fitted[chosen.filter("selected").first().model]
+    best.platt = models.fit_platt(scores_of(best, calibrate))
+    if best.platt is not None:
+        selection = selection.withColumn("score", best.platt.apply(F.col("score")))
+    _tune_on(best, selection)
+    kept = ["key", *(c for c in ("source_id",) if c in test.columns)]
+    scored = cut_lineage(_decided(best, scores_of(best, test, kept)))
     by_source = (
         metrics.binary_metrics(scored, "label", "pred", "score", ["source_id"]) if "source_id" in test.columns else None
     )
@@ -181,9 +184,10 @@ def train_and_evaluate(
         validation=chosen,
         test=metrics.binary_metrics(scored, "label", "pred", "score"),
         intervals=metrics.bootstrap(scored, "key", "label", "pred", "score", replicates, seed),
-        cutoffs=metrics.risk_cutoffs(best.score(select), "label", "score"),
+        cutoffs=metrics.risk_cutoffs(selection, "label", "score"),
         per_source=by_source,
         errors=metrics.error_cases(scored, "label", "score", best.threshold, "key"),
+        scored=scored,
     )
 
 
@@ -191,36 +195,48 @@ def out_of_domain(
     samples: DataFrame,
     train_sources: Sequence[str],
     test_sources: Sequence[str],
-    candidates: Mapping[str, Callable[[float], Estimator]],
+    candidates: Callable[[float], Mapping[str, Estimator]] = models.out_of_domain_candidates,
     dense: Sequence[str] = (),
     lexicons: Lexicons | None = None,
     fraction: float = settings.OOV_HOLDOUT_FRACTION,
     max_terms: int = settings.TFIDF_MAX_TERMS,
     seed: int = settings.SEED,
+    vector: str | None = None,
 ) -> DataFrame:
     """(model, source_id, metrics): train on some sources, test on the others.
 
     "holdout" rows are the in-domain validation part. Sources with fewer than 5 rows are
-    left out; fewer than 40 training rows are an error. All held-out sources are scored in
-    one pass and split by group afterwards.
+    left out (:func:`skipped_sources`); fewer than 40 training rows are an error. All held-out sources are scored in
+    one pass and split by group afterwards. ``vector`` names a column of sentence vectors; with it the
+    vector model, "embedding", is fitted and tested on the same rows.
     """
     pool = samples.filter(F.col("source_id").isin(list(train_sources)))
     rows = pool.count()
     if rows < 40:
         raise ValueError(f"only {rows} rows in the training sources {list(train_sources)}")
-    cut = splits.holdout(pool, "key", "label", fraction, seed)
+    cut = cut_lineage(splits.holdout(pool, "key", "label", fraction, seed))
     train, val = cut.filter(~F.col("held_out")).drop("held_out"), cut.filter("held_out").drop("held_out")
     others = samples.filter(F.col("source_id").isin(list(test_sources)))
     sizes = others.groupBy("source_id").count().filter("count >= 5").select("source_id")
     others = others.join(sizes, "source_id", "left_semi")
+    tested = cut_lineage(val.withColumn("source_id", F.lit("holdout")).unionByName(others, True))
     space = fit_features(train, dense, lexicons, max_terms)
-    out = []
-    for name, build in candidates.items():
-        candidate = tune(fit_candidate(name, build(float(rows)), train, space, seed=seed), val)
-        everything = candidate.score(val.withColumn("source_id", F.lit("holdout")).unionByName(others, True))
-        by_source = metrics.binary_metrics(everything, "label", "pred", "score", ["source_id"])
-        out.append(_with(by_source, model=name))
-    return _union(out)
+    fits = [
+        tune(fit_candidate(name, estimator, train, space, seed), val)
+        for name, estimator in candidates(float(train.count())).items()
+    ]
+    scored = [_with(fit.score(tested).select("key", "source_id", "label", "score", "pred"), model=fit.name) for fit in fits]
+    if vector is not None:
+        fit = models.embedding_classifier(train, val, vector)
+        scored.append(_with(fit.score(tested).select("key", "source_id", "label", "score", "pred"), model="embedding"))
+    return metrics.binary_metrics(cut_lineage(_union(scored)), "label", "pred", "score", ["model", "source_id"])
+
+
+def skipped_sources(samples: DataFrame, test_sources: Sequence[str], least: int = 5) -> DataFrame:
+    """(source_id, n_rows) of the test sources with too few rows, absent ones included."""
+    named = local_rows(samples.sparkSession, [(s,) for s in test_sources], "source_id string")
+    sizes = samples.groupBy("source_id").agg(F.count("*").alias("n_rows"))
+    return named.join(sizes, "source_id", "left").na.fill(0, ["n_rows"]).filter(F.col("n_rows") < least)
 
 
 def mean_out_of_domain_f2(report: DataFrame) -> DataFrame:
@@ -242,7 +258,7 @@ def protocol(samples: DataFrame, train_sources: Sequence[str], test_sources: Seq
 
 def cross_validate(
     samples: DataFrame,
-    dense: Sequence[str] = (),
+    variants: Mapping[str, Sequence[str]],
     lexicons: Lexicons | None = None,
     k: int = settings.CV_FOLDS,
     group: str | None = None,
@@ -250,48 +266,66 @@ def cross_validate(
     seed: int = settings.SEED,
     build: Builder = models.logistic,
 ) -> DataFrame:
-    """Mean metrics over folds, (metric, value). Vocabulary and scaler are fitted inside each
-    fold, so the validation fold never takes part in them."""
+    """Mean metrics over folds, (feature_set, metric, value), for dense columns by feature set.
+
+    See :mod:`fold_features`: the validation fold never takes part in vocabulary, idf or scaling. Fits of different folds
+    and sets are independent and run side by side; their scores are evaluated together.
+    """
     k = splits.fold_count(samples.count(), k)
-    folded = splits.folds(samples, "key", "label", k, seed, group)
-    parts = []
-    for fold in range(k):
-        train, val = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
-        space = fit_features(train, dense, lexicons, max_terms)
-        candidate = tune(fit_candidate("logistic_regression", build(float(train.count())), train, space, seed=seed), val)
-        parts.append(_with(metrics.binary_metrics(candidate.score(val), "label", "pred", "score"), fold=str(fold)))
-    long = metrics.long_metrics(_union(parts), ["fold"])
-    return long.groupBy("metric").agg(F.avg("value").alias("value"))
-
-
-def evaluate_variant(
-    name: str, dense: Sequence[str], train: DataFrame, val: DataFrame, test: DataFrame, lexicons: Lexicons | None,
+    folded = cut_lineage(splits.folds(samples, "key", "label", k, seed, group))
+    spaces = fit_folds(folded, k, feature_sets(variants), lexicons, max_terms)
+
+    def fit(fold: int) -> list[DataFrame]:
+        vectors = cut_lineage(spaces.vectors(fold))
+        train = splits.class_weights(vectors.filter(F.col("fold") != fold), "label")
+        rows = splits.balanced_rows(train, "label")
+        out = []
+        for name, dense in variants.items():
+            scaler = Pipeline(stages=models.feature_stages(tuple(dense))).fit(train)
+            model = fit_estimator(build(rows), scaler.transform(train).select("key", "label", "weight", "features"), seed)
+            scores = models.score_with(model, scaler.transform(vectors.filter(F.col("fold") == fold)))
+            out.append(cut_lineage(_with(scores.select("fold", "label", "score"), feature_set=name)))
+        return out
+
+    with ThreadPool(min(_FITS_AT_ONCE, k)) as pool:
+        scored = _union([part for parts in pool.map(inheritable_thread_target(fit), range(k)) for part in parts])
+    by = ["feature_set", "fold"]
+    cuts = metrics.best_threshold(scored, "label", "score", by=by).select(*by, "threshold")
+    decided = scored.join(cuts, by).withColumn("pred", (F.col("score") >= F.col("threshold")).cast("int"))
+    long = metrics.long_metrics(metrics.binary_metrics(cut_lineage(decided), "label", "pred", "score", by), by)
+    return long.groupBy("feature_set", "metric").agg(F.avg("value").alias("value"))
+
+
+def evaluate_variants(
+    variants: Mapping[str, Sequence[str]], train: DataFrame, val: DataFrame, test: DataFrame, lexicons: Lexicons | None,
     cv: int | None = None, group: str | None = None, max_terms: int = settings.TFIDF_MAX_TERMS, seed: int = settings.SEED,
     build: Builder = models.logistic,
 ) -> DataFrame:
-    """One ablation row set: (feature_set, part, metric, value) for val, test and cv."""
-    space = fit_features(train, dense, lexicons, max_terms)
-    candidate = tune(fit_candidate(name, build(float(train.count())), train, space, seed=seed), val)
-    parts = []
-    for part, frame in (("val", val), ("test", test)):
-        wide = metrics.binary_metrics(candidate.score(frame), "label", "pred", "score")
-        parts.append(_with(metrics.long_metrics(wide), feature_set=name, part=part))
-    if cv:
-        both = train.unionByName(val)
-        parts.append(_with(cross_validate(both, dense, lexicons, cv, group, max_terms, seed, build), feature_set=name, part="cv"))
-    return _union(parts)
+    """(feature_set, part, metric, value) of the same model over feature sets, for val, test and cv."""
+    rows = splits.balanced_rows(train, "label")
+    vocabulary = fit_features(train, (), None, max_terms)
+    both = _with(val, part="val").unionByName(_with(test, part="test"))
+    scored = []
+    for name, dense in variants.items():
+        space = replace(vocabulary, dense=tuple(dense), lexicons=lexicons)
+        candidate = tune(fit_candidate(name, build(rows), train, space, seed), val)
+        scored.append(_with(candidate.score(both).select("part", "label", "score", "pred"), feature_set=name))
+    by = ["feature_set", "part"]
+    long = metrics.long_metrics(metrics.binary_metrics(cut_lineage(_union(scored)), "label", "pred", "score", by), by)
+    if not cv:
+        return long
+    folds = cross_validate(train.unionByName(val), variants, lexicons, cv, group, max_terms, seed, build)
+    return long.unionByName(folds.withColumn("part", F.lit("cv")))
 
 
 def ablation(
     train: DataFrame, val: DataFrame, test: DataFrame, variants: Mapping[str, Sequence[str]] | None = None,
-    lexicons: Lexicons | None = None, cv: int | None = None, max_terms: int = settings.TFIDF_MAX_TERMS,
+    lexicons: Lexicons | None = None, cv: int | None = settings.CV_FOLDS, max_terms: int = settings.TFIDF_MAX_TERMS,
     seed: int = settings.SEED, build: Builder = models.logistic,
 ) -> DataFrame:
-    """The same model over several feature sets, in long form."""
+    """The same model over several feature sets, in long form, cross-validated."""
     chosen = features.ABLATION_SETS if variants is None else variants
-    return _union(
-        [evaluate_variant(n, d, train, val, test, lexicons, cv, None, max_terms, seed, build) for n, d in chosen.items()]
-    )
+    return evaluate_variants(chosen, train, val, test, lexicons, cv, None, max_terms, seed, build)
 
 
 def ablation_table(long: DataFrame) -> DataFrame:
@@ -302,26 +336,40 @@ def ablation_table(long: DataFrame) -> DataFrame:
 
 
 def split_compare(
-    samples: DataFrame, dense: Sequence[str] = (), lexicons: Lexicons | None = None, cv: int | None = None,
+    samples: DataFrame, dense: Sequence[str] = (), lexicons: Lexicons | None = None, cv: int | None = settings.CV_FOLDS,
     max_terms: int = settings.TFIDF_MAX_TERMS, seed: int = settings.SEED, build: Builder = models.logistic,
 ) -> DataFrame:
-    """Row split against group split on the same samples: (split_protocol, part, metric, value)."""
+    """Row split against group split on the same samples: (split_protocol, feature_set, part, metric, value)."""
     out = []
-    for name in ("stratified_row", "group_by_source"):
-        cut = (
-            splits.stratified(samples, "key", "label", seed=seed)
-            if name == "stratified_row"
-            else splits.grouped(samples, "key", "label", seed=seed)
-        )
+    for name, split in (("stratified_row", splits.stratified), ("group_by_source", splits.grouped)):
+        cut = cut_lineage(split(samples, "key", "label", seed=seed))
         train, val, test = (cut.filter(F.col("split_name") == s).drop("split_name") for s in ("train", "val", "test"))
-        rows = evaluate_variant("tfidf_full", dense, train, val, test, lexicons, cv, "source_id", max_terms, seed, build)
+        rows = evaluate_variants({"tfidf_full": dense}, train, val, test, lexicons, cv, "source_id", max_terms, seed, build)
         out.append(_with(rows, split_protocol=name))
     return _union(out)
 
 
+def compare_models(
+    train: DataFrame, val: DataFrame, test: DataFrame, dense: Sequence[str] = (), lexicons: Lexicons | None = None,
+    vector: str = "vector", max_terms: int = settings.TFIDF_MAX_TERMS, seed: int = settings.SEED,
+) -> DataFrame:
+    """(metric, text, embedding, winner): the text model against the vector model, both tuned on ``val``."""
+    space = fit_features(train, dense, lexicons, max_terms)
+    text = tune(fit_candidate("text", models.logistic(splits.balanced_rows(train, "label", False)), train, space, seed), val)
+    by_vector = models.embedding_classifier(train, val, vector)
+    scored = [_with(m.score(test).select("label", "score", "pred"), model=n) for n, m in (("text", text), ("embedding", by_vector))]
+    wide = metrics.binary_metrics(cut_lineage(_union(scored)), "label", "pred", "score", ["model"])
+    table = metrics.long_metrics(wide, ["model"]).groupBy("metric").pivot("model", ["text", "embedding"]).agg(F.first("value"))
+    # the squared error is the one metric where less is better
+    sign = F.when(F.col("metric") == "brier", -1.0).otherwise(1.0)
+    signed = table.withColumns({"_text": sign * F.col("text"), "_embedding": sign * F.col("embedding")})
+    won = metrics.winner(signed, "_text", "_embedding").withColumn("winner", F.ltrim(F.col("winner"), F.lit("_")))
+    return won.select("metric", F.round("text", 6).alias("text"), F.round("embedding", 6).alias("embedding"), "winner")
+
+
 def refresh_cutoffs(candidate: Fitted, val: DataFrame) -> DataFrame:
     """Re-score a validation frame with a fitted model and derive cutoffs and threshold again."""
-    scored = candidate.score(val)
+    scored = scores_of(candidate, val)
     cutoffs = metrics.risk_cutoffs(scored, "label", "score")
     threshold = metrics.best_threshold(scored, "label", "score").select("threshold").scalar()
     return cutoffs.withColumns(
@@ -346,16 +394,3 @@ def run_metadata(samples: DataFrame, fingerprint: str, best_model: str, version:
         F.lit(settings.LABEL_DISCLAIMER).alias("label_disclaimer"),
         F.lit(settings.SCORE_DISCLAIMER).alias("score_disclaimer"),
     )
-
-
-def score_batch(candidate: Fitted, df: DataFrame, text: str, low: float, high: float, version: str = "unknown") -> DataFrame:
-    """Score a table of texts; all input columns stay, score, tier and version are added."""
-    from ..functions.text import clean_text
-    from ..operators.risk import model_tier, sane_cutoffs
-
-    keyed = df.withColumns({"clean": clean_text(F.col(text)), "key": F.monotonically_increasing_id()})
-    scored = candidate.score(keyed).withColumnRenamed("score", "model_score")
-    sane = sane_cutoffs(F.lit(low), F.lit(high))
-    return scored.withColumns(
-        {"risk_tier": model_tier(F.col("model_score"), *sane), "model_version": F.lit(version)}
-    ).select(*df.columns, "model_score", "risk_tier", "model_version")

@@ -15,6 +15,10 @@ from pyspark.sql.types import StructType
 from . import settings
 
 
+# Temporary folders of local sessions that name none, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, name: str = "corpusloom") -> SparkSession:
     """A local session for tests and benchmarks; on a cluster the caller brings its own."""
     return (
@@ -35,14 +39,12 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder; on a cluster a
     missing setting is an error, because a machine-local folder is lost with its executor.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FOLDERS.get(spark.sparkContext.applicationId)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="corpusloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _LOCAL_FOLDERS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="corpusloom-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

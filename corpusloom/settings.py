@@ -13,6 +13,16 @@ SEED = 42
 MAX_TRAIN_ROWS = 24000
 CV_FOLDS = 5
 
+FOREST_TREES = 250
+BOOSTING_ROUNDS = 300
+BOOSTING_DEPTH = 6
+BOOSTING_STEP = 0.05
+BOOSTING_SHARE = 0.9
+OOV_BOOSTING_ROUNDS = 200
+OOV_BOOSTING_DEPTH = 5
+GRID_STEPS = (0.02, 0.03, 0.04, 0.05, 0.06, 0.07)
+MIN_MERGED_ROWS = 20
+
 TFIDF_MAX_TERMS = 6000
 TFIDF_NGRAMS = (1, 2)
 TFIDF_MIN_DF = 3
@@ -61,3 +71,4 @@ AUTOMATON_BYTES = 32 << 20
 AUTOMATA_AT_ONCE = 4
 LEXICON_PART_CHARS = 1 << 22
 EXACT_DIGEST_ROWS = 1_000_000
+DIGEST_LEAF = 1_024

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def join(folder: str, name: str) -> str:
-    return f"{folder.rstrip('/')}/{name}"
+def join(folder: str, *names: str) -> str:
+    return "/".join([folder.rstrip("/"), *names])
 
 
 def _path(spark: SparkSession, path: str):
@@ -19,6 +19,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(system.exists(hadoop))
 
 
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, sorted."""
+    hadoop, system = _path(spark, pattern)
+    return sorted(status.getPath().toString() for status in system.globStatus(hadoop) or [])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    hadoop, system = _path(spark, path)
+    system.delete(hadoop, True)
+
+
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another one of the same file system."""
+    delete(spark, target)
+    hadoop, system = _path(spark, source)
+    if not system.rename(hadoop, _path(spark, target)[0]):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def modified(spark: SparkSession, path: str) -> float:
     """Modification time in seconds since the epoch."""
     hadoop, system = _path(spark, path)

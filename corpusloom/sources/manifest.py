@@ -107,3 +107,11 @@ def load_sources(
     minimum = local_rows(spark, [(s.id, s.min_chars) for s in specs if s.min_chars is not None], "source_id string, min_chars int")
     return quality.union_sources(frames).drop("row_id"), minimum
 
+
+def require_rows(samples: DataFrame, least: int = settings.MIN_MERGED_ROWS) -> DataFrame:
+    """The merged samples, if there are enough of them to build splits on."""
+    found = samples.limit(least).count()
+    if found < least:
+        raise ValueError(f"only {found} rows after merging, at least {least} are needed; add source files")
+    return samples
+

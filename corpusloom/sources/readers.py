@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,28 +15,34 @@ from ..operators.quality import dedupe_first
 _BOM = "﻿"
 
 
-def read_posts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_posts(spark: SparkSession, path: str, multi_line: bool | None = None, encoding: str | None = None) -> DataFrame:
     """Read CSV files with a header; every column is a string, empty cells are null.
 
-    The encoding is chosen per file: UTF-8 where all bytes are valid, else Latin-1, so a file that
-    really contains U+FFFD stays as it is and one broken file does not change the others.
-    ``multi_line`` allows line breaks inside quotes; without it large files are split.
+    One look at the lines settles two things per file. Encoding: UTF-8 where all bytes are valid, else Latin-1, so a file that
+    really contains U+FFFD stays as it is and one broken file does not change the others. Line breaks inside quotes: only
+    a file with a line whose quotes do not close is read as a whole, all others are split among tasks. A caller that knows both
+    names them, and nothing is read twice.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("ok"))
-    checked = lines.groupBy("file").agg(F.min("ok").alias("ok")).collect()  # one row per file
 
-    def load(files: str | list[str], encoding: str) -> DataFrame:
-        frame = spark.read.csv(
-            files, header=True, multiLine=multi_line, quote='"', escape='"', encoding=encoding, inferSchema=False
-        )
+    def load(files: str | list[str], charset: str, whole: bool) -> DataFrame:
+        frame = spark.read.csv(files, header=True, multiLine=whole, quote='"', escape='"', encoding=charset, inferSchema=False)
         return frame.toDF(*[name.lstrip(_BOM).removeprefix("\u00ef\u00bb\u00bf") for name in frame.columns])
 
-    broken = sorted(r["file"] for r in checked if not r["ok"])
-    if not broken:
-        return load(path, "UTF-8")
-    latin = load(broken, "ISO-8859-1")
-    sound = sorted(r["file"] for r in checked if r["ok"])
-    return load(sound, "UTF-8").unionByName(latin, allowMissingColumns=True) if sound else latin
+    if multi_line is not None and encoding is not None:
+        return load(path, encoding, multi_line)
+    quotes = F.octet_length("value") - F.octet_length(F.replace(F.col("value").cast("binary").cast("string"), F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("ok"), (quotes % 2 == 1).alias("open")
+    )
+    checked = lines.groupBy("file").agg(F.min("ok").alias("ok"), F.max("open").alias("open")).collect()  # one row per file
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for row in checked:
+        charset = encoding or ("UTF-8" if row.ok else "ISO-8859-1")
+        groups.setdefault((charset, row.open if multi_line is None else multi_line), []).append(row.file)
+    if not groups:
+        return load(path, "UTF-8", False)
+    frames = [load(sorted(files), charset, whole) for (charset, whole), files in sorted(groups.items(), reverse=True)]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
 
 
 def pick_column(columns: Sequence[str], candidates: Sequence[str]) -> str | None:

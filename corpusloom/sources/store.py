@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,12 +45,24 @@ def read_samples(spark: SparkSession, path: str, split: str | None = None, order
 
 
 def export_splits(samples: DataFrame, folder: str, text_name: str = "clean_text", label_name: str = "is_depression") -> None:
-    """One CSV folder per split, with the exported column names."""
+    """One CSV folder per split, with the exported column names; the samples are read once.
+
+    All splits are written beside the target first, then each folder is put in its place. A split without rows gets an
+    empty file with the header.
+    """
+    spark = samples.sparkSession
+    staging = files.join(folder, f"_export-{uuid.uuid4().hex}")
+    chosen = samples.filter(F.col("split_name").isin(list(SPLITS)))
+    columns = [F.col("text_raw").alias(text_name), F.col("label_raw").alias(label_name)]
+    options = {"header": True, "quote": '"', "escape": '"'}
+    chosen.select(*columns, "split_name").write.partitionBy("split_name").csv(staging, **options)
     for name in SPLITS:
-        part = samples.filter(F.col("split_name") == name)
-        part.select(F.col("text_raw").alias(text_name), F.col("label_raw").alias(label_name)).write.mode("overwrite").csv(
-            files.join(folder, f"{name}.csv"), header=True, quote='"', escape='"'
-        )
+        made, target = files.join(staging, f"split_name={name}"), files.join(folder, f"{name}.csv")
+        if files.exists(spark, made):
+            files.replace(spark, made, target)
+        else:
+            samples.limit(0).select(*columns).write.mode("overwrite").csv(target, **options)
+    files.delete(spark, staging)
 
 
 def write_meta(spark: SparkSession, path: str, key: str, stats: DataFrame | str) -> None:

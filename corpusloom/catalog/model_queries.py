@@ -396,7 +396,7 @@ def s14(spark, sf):
 def s14_facts(spark, sf):
     _, stored, _, _ = _stored(spark, sf)
     scored = stored.score(posts(spark, sf), "text")
-    tiers = ["low", "medium", "high", "insufficient"]
+    tiers = ["low", "medium", "high"]
     return scored.groupBy("source_id").agg(
         F.count("*").alias("n_rows"), F.first("model_version").alias("model_version"),
         F.bool_and(F.col("model_score").between(0, 1)).alias("scores_in_range"),

@@ -86,6 +86,8 @@ class Page(HTMLParser):
                 self._close_until(other, frozenset(("ul", "ol", "dl", "table", "html", "body")))
         if tag not in _INLINE:
             self.block += 1
+        if tag == "br":
+            self.handle_data("\n")  # white space inside its block
         if tag in _VOID:
             return
         values = dict(attrs)

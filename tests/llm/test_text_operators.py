@@ -275,3 +275,11 @@ def test_copied_and_single_random_runs_are_found(spark):
     for docs in (copied, copied.limit(1)):  # one key in many copies, and a class of one run
         assert {r["spans"] for r in secrets.find_secrets(docs).collect()} == {"random:4:44"}
         assert {r["text"] for r in secrets.redact(docs).collect()} == {"see [SECRET] here"}
+
+
+def test_line_breaks_part_words_inside_a_paragraph():
+    page = html_extract.parse("<body><p>one<br>two<br/>three <b>four<br></b>five</p><p>six</p></body>")
+    blocks: dict[int, str] = {}
+    for _, block, data in page.runs:
+        blocks[block] = blocks.get(block, "") + data
+    assert [" ".join(t.split()) for t in blocks.values() if t.strip()] == ["one two three four five", "six"]

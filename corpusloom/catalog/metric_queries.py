@@ -281,3 +281,56 @@ def m12(spark, sf):
     margins = scored(spark, sf).select("doc_id", (F.col("score") * 10 - 5).alias("m"))
     both = models.margin_to_score(models.margin_to_score(margins, "m", "sigmoid", "by_sigmoid"), "m", "minmax", "by_range")
     return _rounded(both, ["by_sigmoid", "by_range"]).drop("m")
+
+
+_LANGS = ("de", "en", "es", "fr")
+_SQL_CLASSED = f"""SELECT lang, CASE WHEN doc_id % 3 = 0 THEN list_value{_LANGS}[1 + (doc_id * 31) % 4] ELSE lang END AS pred, doc_id FROM documents"""
+
+
+def _classed(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    other = F.get(F.array(*[F.lit(x) for x in _LANGS]), ((F.col("doc_id") * 31) % 4).cast("int"))
+    return docs.withColumn("pred", F.when(F.col("doc_id") % 3 == 0, other).otherwise(F.col("lang")))
+
+
+@query(
+    "v10_multiclass_report",
+    f"""WITH s AS ({_SQL_CLASSED}), k AS (SELECT DISTINCT lang AS c FROM s UNION SELECT DISTINCT pred FROM s),
+    t AS (SELECT c, (SELECT count(*) FROM s WHERE lang = c AND pred = c) AS hit, (SELECT count(*) FROM s WHERE pred = c) AS gu, (SELECT count(*) FROM s WHERE lang = c) AS su FROM k),
+    r AS (SELECT c, {sql_div('hit', 'gu')} AS p, {sql_div('hit', 'su')} AS r, {sql_div('2 * hit', 'gu + su')} AS f, su, hit, gu FROM t),
+    m AS (SELECT sum(hit)::DOUBLE / sum(gu) AS p, sum(hit)::DOUBLE / sum(su) AS r, CAST(sum(su) AS BIGINT) AS su FROM r)
+    SELECT c AS class, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, su AS support FROM r
+    UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(sum(su) AS BIGINT) FROM r
+    UNION ALL SELECT 'weighted avg', round(sum(p * su) / sum(su), 6), round(sum(r * su) / sum(su), 6), round(sum(f * su) / sum(su), 6), CAST(sum(su) AS BIGINT) FROM r
+    UNION ALL SELECT 'micro avg', round(p, 6), round(r, 6), round(2 * p * r / (p + r), 6), su FROM m""",
+)
+def v10_multiclass(spark, sf):
+    return _rounded(metrics.multiclass_report(_classed(spark, sf), "lang", "pred"), ["precision", "recall", "f1"])
+
+
+_SQL_ONE_REST = f"""SELECT c AS g, (lang = c)::INT AS y, (((doc_id * (11 + i * 7)) % 97) + CASE WHEN lang = c THEN 25 ELSE 0 END) / 122.0e0 AS score
+    FROM documents, (SELECT unnest(list_value{_LANGS}) AS c, unnest(range(0, 4)) AS i)"""
+
+
+def _class_scores(spark, sf):
+    score = lambda i, c: ((F.col("doc_id") * (11 + i * 7)) % 97 + F.when(F.col("lang") == c, 25).otherwise(0)) / 122.0
+    entries = [x for i, c in enumerate(_LANGS) for x in (F.lit(c), score(i, c))]
+    return table(spark, sf, "documents").select("lang", F.create_map(*entries).alias("scores"))
+
+
+@query(
+    "v12_class_areas",
+    f"WITH s AS ({_SQL_ONE_REST}), cum AS ({sql_cum('s', 'g')}), a AS ({SQL_AREAS}) SELECT g AS class, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc FROM a",
+)
+def v12_areas(spark, sf):
+    return _rounded(metrics.class_areas(_class_scores(spark, sf), "lang", "scores"), ["roc_auc", "pr_auc"])
+
+
+@query(
+    "v12_class_roc_points",
+    f"""WITH s AS ({_SQL_ONE_REST}), cum AS ({sql_cum('s', 'g')})
+    SELECT g AS class, round(score, 9) AS score, round(fp / nullif(n_neg, 0)::DOUBLE, 6) AS fpr, round(tp / nullif(n_pos, 0)::DOUBLE, 6) AS tpr FROM cum""",
+)
+def v12_points(spark, sf):
+    out = _rounded(metrics.class_roc_points(_class_scores(spark, sf), "lang", "scores"), ["fpr", "tpr"])
+    return out.withColumn("score", F.round("score", 9))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,9 +107,11 @@ def m01_facts(spark, sf):
 
 @query("m05_other_learners")
 def m05(spark, sf):
+    """The other learners on two classes, over text vector and dense columns."""
     train, _, test = _cut(spark, sf)
-    space = experiments.fit_features(train, (), None, TERMS)
-    ready = [space.transform(f).withColumnRenamed("tfidf", "features") for f in (train, test)]
+    space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons(spark), TERMS)
+    joined = Pipeline(stages=models.feature_stages(space.dense)).fit(space.transform(train))
+    ready = [cut_lineage(joined.transform(space.transform(f)).select("key", "label", "features")) for f in (train, test)]
     outs = []
     for name, estimator, binary in (
         ("bernoulli_bayes", models.bernoulli_bayes(), True),
@@ -121,6 +124,41 @@ def m05(spark, sf):
     return outs[0].unionByName(outs[1]).unionByName(outs[2])
 
 
+def _languages(spark, sf):
+    """Texts with their language as class: training and test rows over the training vocabulary."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("key"), F.col("lang").alias("class"), tx.clean_text(F.col("text")).alias("clean"))
+    cut = cut_lineage(splits.holdout(docs, "key", "class", 0.25))
+    train, test = cut.filter(~F.col("held_out")), cut.filter("held_out")
+    space = experiments.fit_features(train, (), None, TERMS)
+    return [space.transform(f).select("key", "class", F.col("tfidf").alias("features")) for f in (train, test)]
+
+
+@query("m05_multiclass")
+def m05_multiclass(spark, sf):
+    """Softmax and one-vs-rest over four languages, with their reports."""
+    train, test = _languages(spark, sf)
+    out = []
+    for name, rest in (("softmax", False), ("one_vs_rest", True)):
+        scored = cut_lineage(models.fit_multiclass(train, "class", one_vs_rest=rest, c=10.0).score(test).select("class", "prediction"))
+        rows = metrics.multiclass_report(scored, "class", "prediction").select(F.lit(name).alias("model"), "*")
+        out.append(rows.withColumns({c: r6(F.col(c)) for c in ("precision", "recall", "f1")}))
+    return out[0].unionByName(out[1])
+
+
+@query(
+    "m05_multiclass_facts",
+    """SELECT lang AS class, true AS some_predicted, true AS scores_sum_to_one, true AS mostly_right FROM documents GROUP BY 1""",
+)
+def m05_facts(spark, sf):
+    train, test = _languages(spark, sf)
+    scored = models.fit_multiclass(train, "class", c=10.0).score(test)
+    total = F.aggregate(F.map_values("scores"), F.lit(0.0), lambda a, x: a + x)
+    return scored.groupBy("class").agg(
+        (F.count("prediction") > 0).alias("some_predicted"), F.bool_and(F.abs(total - 1) < 1e-9).alias("scores_sum_to_one"),
+        (F.avg((F.col("class") == F.col("prediction")).cast("double")) > 0.8).alias("mostly_right"),
+    )
+
+
 def _platt_frame(spark, sf):
     return labelled(spark, sf).withColumn("score", F.col("n_chars") / (F.col("n_chars") + 1500.0))
 
@@ -245,7 +283,6 @@ def f10(spark, sf):
     train, _, _ = _cut(spark, sf)
     space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons(spark), TERMS)
     ready = space.transform(train)
-    from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
     scaled = Pipeline(stages=models.feature_stages(space.dense)).fit(ready).transform(ready)

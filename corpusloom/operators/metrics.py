@@ -404,6 +404,50 @@ def report(df: DataFrame, y: str, pred: str) -> DataFrame:
     return per_class.drop("hit").unionByName(summary.select(F.inline(rows)))
 
 
+def multiclass_report(df: DataFrame, y: str, pred: str) -> DataFrame:
+    """:func:`report` for any number of classes with micro averages: one k x k count table serves all rows.
+
+    Micro averages pool the decisions of all classes. A class that is only ever guessed counts with recall 0.
+    """
+    cells = confusion(df, y, pred)
+    own = F.when(F.col(y) == F.col(pred), F.col("n")).otherwise(0)
+    sides = cells.select(
+        F.inline(F.array(
+            F.struct(F.col(y).cast("string").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("guessed"), own.cast("long").alias("hit")),
+            F.struct(F.col(pred).cast("string").alias("class"), F.lit(0).cast("long").alias("support"), F.col("n").alias("guessed"), F.lit(0).cast("long").alias("hit")),
+        ))
+    )
+    sums = sides.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "guessed", "hit")])
+    precision, recall = _ratio(F.col("hit"), F.col("guessed")), _ratio(F.col("hit"), F.col("support"))
+    each = sums.select("class", precision.alias("precision"), recall.alias("recall"), fbeta(precision, recall, 1.0).alias("f1"), "support", "guessed", "hit")
+    names = ("precision", "recall", "f1")
+    total = each.agg(
+        *[F.avg(c).alias(f"macro_{c}") for c in names],
+        *[_ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(f"weighted_{c}") for c in names],
+        _ratio(F.sum("hit"), F.sum("guessed")).alias("p"), _ratio(F.sum("hit"), F.sum("support")).alias("r"), F.sum("support").alias("support"),
+    ).withColumns({"micro_precision": F.col("p"), "micro_recall": F.col("r"), "micro_f1": fbeta(F.col("p"), F.col("r"), 1.0)})
+    averages = F.array(*[
+        F.struct(F.lit(f"{kind} avg").alias("class"), *[F.col(f"{kind}_{c}").alias(c) for c in names], "support") for kind in ("macro", "micro", "weighted")
+    ])
+    return each.drop("guessed", "hit").unionByName(total.select(F.inline(averages)))
+
+
+def one_against_rest(df: DataFrame, y: str, scores: str) -> DataFrame:
+    """(class, y, score) rows: every class of the score map against all others; other columns stay."""
+    long = df.select(*[c for c in df.columns if c not in (y, scores)], F.col(y).cast("string").alias("_y"), F.explode(scores).alias("class", "score"))
+    return long.withColumn("y", F.coalesce(F.col("_y") == F.col("class"), F.lit(False)).cast("int")).drop("_y")
+
+
+def class_areas(df: DataFrame, y: str, scores: str) -> DataFrame:
+    """(class, roc_auc, pr_auc) of a map of class scores, each class against the rest."""
+    return curve_areas(cumulative(one_against_rest(df.select(y, scores), y, scores), "y", "score", ["class"]), ["class"])
+
+
+def class_roc_points(df: DataFrame, y: str, scores: str) -> DataFrame:
+    """ROC points of every class against the rest."""
+    return roc_points(one_against_rest(df.select(y, scores), y, scores), "y", "score", ["class"])
+
+
 def reliability(df: DataFrame, y: str, score: str) -> DataFrame:
     """Mean score and share of positives per uniform bin; empty bins are dropped.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import settings
-from ..session import cut_lineage
+from ..session import cut_lineage, small_rows
 from . import metrics, splits
 
 _COLUMNS = {"featuresCol": "features", "labelCol": "label"}
@@ -85,6 +86,47 @@ def multiclass_logistic(l1: float = 1.0, c: float = 10.0, rows: float = 1.0, ite
     )
 
 
+@dataclass(frozen=True)
+class MulticlassModel:
+    """A fitted learner over string classes; ``score`` adds the most likely class and a map of class scores."""
+
+    classes: list[str]
+    members: list[Model]
+
+    def score(self, df: DataFrame, pred: str = "prediction", to: str = "scores") -> DataFrame:
+        if len(self.members) == 1:
+            out = self.members[0].transform(df).withColumn("_p", vector_to_array("probability"))
+            out = out.drop("rawPrediction", "probability", "prediction")
+        else:
+            out = df
+            for i, member in enumerate(self.members):
+                out = positive_probability(member, out, f"_p{i}")
+            parts = [f"_p{i}" for i in range(len(self.members))]
+            total = reduce(Column.__add__, [F.col(c) for c in parts])
+            # scores of independent classifiers are brought to a sum of one
+            out = out.withColumn("_p", F.array(*[F.when(total > 0, F.col(c) / total).otherwise(F.lit(0.0)) for c in parts])).drop(*parts)
+        names = F.array(*[F.lit(c) for c in self.classes])
+        best = F.get(names, (F.array_position("_p", F.array_max("_p")) - 1).cast("int"))
+        return out.withColumns({to: F.map_from_arrays(names, F.col("_p")), pred: best}).drop("_p")
+
+
+def fit_multiclass(df: DataFrame, label: str, features: str = "features", one_vs_rest: bool = False, l1: float = 0.0, c: float = 1.0) -> MulticlassModel:
+    """Softmax regression, or one logistic regression per class against the rest, on a string label.
+
+    Classes are in alphabetical order; rows without a label take no part. At least two classes are needed.
+    """
+    known = cut_lineage(df.filter(F.col(label).isNotNull()).select(F.col(features).alias("features"), F.col(label).cast("string").alias("_class")))
+    counts = {r["_class"]: r["n"] for r in small_rows(known.groupBy("_class").agg(F.count("*").alias("n")))}
+    classes, rows = sorted(counts), float(sum(counts.values()))
+    if len(classes) < 2:
+        raise ValueError("at least two classes are needed")
+    if one_vs_rest:
+        target = lambda name: known.select("features", (F.col("_class") == name).cast("double").alias("label"))
+        return MulticlassModel(classes, [logistic(rows, c, l1, weighted=False).fit(target(name)) for name in classes])
+    index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("_class")) - 1
+    return MulticlassModel(classes, [multiclass_logistic(l1, c, rows).fit(known.select("features", index.cast("double").alias("label")))])
+
+
 def candidates(
     weight_sum: float, full: bool = False, seed: int = settings.SEED, trees: int = settings.FOREST_TREES,
     rounds: int = settings.BOOSTING_ROUNDS, oversample: bool = True,

@@ -111,7 +111,7 @@ def m05(spark, sf):
     train, _, test = _cut(spark, sf)
     space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons(spark), TERMS)
     joined = Pipeline(stages=models.feature_stages(space.dense)).fit(space.transform(train))
-    ready = [cut_lineage(joined.transform(space.transform(f)).select("key", "label", "features")) for f in (train, test)]
+    ready = [models.for_fits(cut_lineage(joined.transform(space.transform(f)).select("key", "label", "features"))) for f in (train, test)]
     outs = []
     for name, estimator, binary in (
         ("bernoulli_bayes", models.bernoulli_bayes(), True),
@@ -265,7 +265,7 @@ def m11(spark, sf):
     """All six steps, five folds and terms; :data:`GRID_ROUNDS` rounds."""
     train, _, _ = _cut(spark, sf)
     space = experiments.fit_features(train, (), None, TERMS)
-    ready = cut_lineage(space.transform(train).select("label", F.col("tfidf").alias("features")))
+    ready = models.for_fits(cut_lineage(space.transform(train).select("label", F.col("tfidf").alias("features"))))
     best = models_best(models.grid(ready, rounds=GRID_ROUNDS))
     return ready.groupBy("label").agg(F.count("*").alias("n")).select(
         "label", "n", F.lit(best[0]).alias("best_step"), F.lit(round(best[1], 6)).alias("accuracy")

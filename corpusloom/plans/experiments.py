@@ -90,7 +90,7 @@ def fit_candidate(
 
 def fit_estimator(estimator: Estimator, data: DataFrame, seed: int = settings.SEED, key: str = "key") -> Model | models.CalibratedSvm:
     """Fit on ready features, which are cached for as long as the fit runs."""
-    data = data.persist()
+    data = models.for_fits(data).persist()
     try:
         return models.fit_calibrated_svm(data, key, estimator, seed=seed) if isinstance(estimator, LinearSVC) else estimator.fit(data)
     finally:

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import metrics, models, ranking
+from corpusloom.operators import explore, metrics, models, ranking
 from corpusloom.session import local_rows
 
 
@@ -87,3 +87,62 @@ def test_platt_bounds_and_guards(spark, data):
     assert models.fit_platt(frame.limit(5)) is None
     assert models.fit_platt(frame.withColumn("label", F.lit(1))) is None
     assert models.fit_platt(frame.withColumn("score", F.lit(0.3))) is None
+
+
+def test_bootstrap_equals_resampled_metrics(spark, data):
+    """Every replicate's metrics against plain weighted counts, with tied scores over several ranges."""
+    y, p = data
+    n, seed = 6, 5
+    frame = frame_of(spark, y, p).repartition(4)
+    weights = metrics.replicate_weights([str(i) for i in range(len(y))], n, seed)
+    assert weights.shape == (len(y), n) and abs(weights.mean() - 1) < 0.1
+    plain = {"roc_auc": [], "pr_auc": [], "precision": [], "brier": []}
+    for r in range(n):
+        rows = np.repeat(np.arange(len(y)), weights[:, r])
+        roc, pr = areas(y[rows], p[rows])
+        hit = p[rows] >= 0.5
+        plain["roc_auc"].append(roc)
+        plain["pr_auc"].append(pr)
+        plain["precision"].append((y[rows][hit] == 1).mean())
+        plain["brier"].append(np.mean((p[rows] - y[rows]) ** 2))
+    got = {r.metric: r for r in metrics.bootstrap(frame, "key", "y", "pred", "score", n=n, seed=seed).collect()}
+    for name, values in plain.items():
+        assert [got[name].lower, got[name].upper] == pytest.approx(list(np.quantile(values, [0.025, 0.975])))
+
+
+def test_bootstrap_vectors_over_score_ranges(spark, data, monkeypatch):
+    frame = frame_of(spark, *data).repartition(3)
+    whole = {r.metric: (r.lower, r.upper) for r in metrics.bootstrap(frame, "key", "y", "pred", "score", n=8).collect()}
+    monkeypatch.setattr(metrics, "range_edges", lambda *a: [0.1, 0.35, 0.6, 0.61, 0.9])
+    monkeypatch.setattr(metrics, "_VECTOR_ROWS", 16)
+    cut = {r.metric: (r.lower, r.upper) for r in metrics.bootstrap(frame, "key", "y", "pred", "score", n=8).collect()}
+    assert all(cut[m] == pytest.approx(whole[m]) for m in whole)
+
+
+def test_quantiles_inside_brackets_are_exact(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    values = {"a": np.round(rng.exponential(50, 4001), 1), "b": rng.normal(0, 1, 900), "c": np.full(700, 7.0), "d": np.array([3.0])}
+    rows = [(g, float(v)) for g, vs in values.items() for v in vs] + [("a", None), (None, 1.0), (None, 2.0)]
+    frame = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    shares = {"q25": 0.25, "q50": 0.5, "q99": 0.99}
+    for whole, sketch in ((10**9, 10_000), (100, 1000)):
+        monkeypatch.setattr(explore, "_WHOLE", whole)
+        monkeypatch.setattr(explore, "_SKETCH", sketch)
+        monkeypatch.setattr(explore, "_MARGIN", 4.0 / sketch + 0.01)
+        got = {r.g: r for r in explore.exact_quantiles(frame, ["g"], "v", shares).collect()}
+        for g, vs in values.items():
+            assert got[g].n == len(vs) and [got[g][q] for q in shares] == pytest.approx([np.quantile(vs, s) for s in shares.values()])
+        assert got[None].q50 == 1.5
+    one = explore.exact_quantiles(frame.filter("g = 'b'"), [], "v", {"m": 0.5}).first()
+    assert one.m == pytest.approx(np.median(values["b"]))
+    assert explore.exact_quantiles(frame.limit(0), [], "v", {"m": 0.5}).collect() == []
+
+
+def test_multiclass_averages(spark):
+    pairs = [("a", "a")] * 5 + [("a", "b")] * 2 + [("b", "b")] * 3 + [("b", "c")] + [("d", "a")]
+    frame = spark.createDataFrame(pairs, "y string, pred string")
+    got = {r["class"]: r for r in metrics.multiclass_report(frame, "y", "pred").collect()}
+    assert got["micro avg"].precision == pytest.approx(8 / 12) and got["micro avg"].support == 12
+    assert got["c"].recall == 0 and got["c"].support == 0 and got["d"].precision == 0
+    assert got["macro avg"].recall == pytest.approx((5 / 7 + 3 / 4 + 0 + 0) / 4)
+    assert got["weighted avg"].recall == pytest.approx(8 / 12)

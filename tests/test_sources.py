@@ -167,3 +167,29 @@ def test_encoding_is_chosen_per_file(spark, tmp_path):
     assert rows == {"1": "caf\u00e9 \ufffd ok", "0": "caf\u00e9"}
     one = readers.read_posts(spark, str(tmp_path / "a.csv"), multi_line=False).collect()
     assert [r["text"] for r in one] == ["caf\u00e9 \ufffd ok"]
+
+
+def test_only_files_with_open_quotes_are_read_whole(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text('text,label\n"one, two",a\n"say ""hi""",b\n', encoding="utf-8")
+    (tmp_path / "broken.csv").write_text('text,label\n"first\nsecond",c\n', encoding="utf-8")
+    rows = {r["label"]: r["text"] for r in readers.read_posts(spark, str(tmp_path)).collect()}
+    assert rows == {"a": "one, two", "b": 'say "hi"', "c": "first\nsecond"}
+    known = readers.read_posts(spark, str(tmp_path / "plain.csv"), multi_line=False, encoding="UTF-8")
+    assert known.count() == 2
+
+
+def test_too_few_merged_rows_are_an_error(spark):
+    frame = spark.range(19).toDF("x")
+    with pytest.raises(ValueError, match="only 19 rows"):
+        manifest.require_rows(frame)
+    assert manifest.require_rows(spark.range(20).toDF("x")).count() == 20
+
+
+def test_export_writes_every_split_from_one_read(spark, tmp_path):
+    rows = [("t1", "a", "train"), ("t2", "b", "train"), ("v1", "a", "val"), ("x", "a", "other")]
+    frame = spark.createDataFrame(rows, "text_raw string, label_raw string, split_name string")
+    for _ in range(2):  # a second export replaces the first
+        store.export_splits(frame, str(tmp_path / "out"))
+    count = lambda name: readers.read_posts(spark, str(tmp_path / "out" / f"{name}.csv")).count()
+    assert (count("train"), count("val"), count("test")) == (2, 1, 0)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["test.csv", "train.csv", "val.csv"]

@@ -288,7 +288,7 @@ def cross_validate(
         return out
 
     with ThreadPool(min(_FITS_AT_ONCE, k)) as pool:
-        scored = _union([part for parts in pool.map(inheritable_thread_target(fit), range(k)) for part in parts])
+        scored = _union([part for parts in pool.map(inheritable_thread_target(samples.sparkSession)(fit), range(k)) for part in parts])
     by = ["feature_set", "fold"]
     cuts = metrics.best_threshold(scored, "label", "score", by=by).select(*by, "threshold")
     decided = scored.join(cuts, by).withColumn("pred", (F.col("score") >= F.col("threshold")).cast("int"))

@@ -76,6 +76,7 @@ def m03(spark, sf):
 
 # Every round of boosting is a sequence of small jobs; see the README for times at the published number of rounds.
 ROUNDS = 20
+OOV_ROUNDS = 5
 GRID_ROUNDS = 2
 
 
@@ -111,7 +112,7 @@ def m05(spark, sf):
     train, _, test = _cut(spark, sf)
     space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons(spark), TERMS)
     joined = Pipeline(stages=models.feature_stages(space.dense)).fit(space.transform(train))
-    ready = [models.for_fits(cut_lineage(joined.transform(space.transform(f)).select("key", "label", "features"))) for f in (train, test)]
+    ready = [cut_lineage(joined.transform(space.transform(f)).select("key", "label", "features")) for f in (train, test)]
     outs = []
     for name, estimator, binary in (
         ("bernoulli_bayes", models.bernoulli_bayes(), True),
@@ -265,7 +266,7 @@ def m11(spark, sf):
     """All six steps, five folds and terms; :data:`GRID_ROUNDS` rounds."""
     train, _, _ = _cut(spark, sf)
     space = experiments.fit_features(train, (), None, TERMS)
-    ready = models.for_fits(cut_lineage(space.transform(train).select("label", F.col("tfidf").alias("features"))))
+    ready = cut_lineage(space.transform(train).select("label", F.col("tfidf").alias("features")))
     best = models_best(models.grid(ready, rounds=GRID_ROUNDS))
     return ready.groupBy("label").agg(F.count("*").alias("n")).select(
         "label", "n", F.lit(best[0]).alias("best_step"), F.lit(round(best[1], 6)).alias("accuracy")
@@ -321,9 +322,9 @@ def v14(spark, sf):
     vectors = table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("key"), array_to_vector(F.col("embedding").cast("array<double>")).alias("vector")
     )
-    rows = samples(spark, sf).join(vectors, "key")
+    rows = cut_lineage(samples(spark, sf).join(vectors, "key"))
     report = experiments.out_of_domain(
-        rows, *_ROLES, lambda n: models.out_of_domain_candidates(n, rounds=ROUNDS), features.STAT_COLUMNS, lexicons(spark), max_terms=TERMS, vector="vector",
+        rows, *_ROLES, lambda n: models.out_of_domain_candidates(n, rounds=OOV_ROUNDS), features.STAT_COLUMNS, lexicons(spark), max_terms=TERMS, vector="vector",
     )
     return metrics.long_metrics(report, ["model", "source_id"]).withColumn("value", r6(F.col("value")))
 
@@ -342,8 +343,8 @@ def v14_skipped(spark, sf):
 
 @query("v14_mean_f2")
 def v14_mean(spark, sf):
-    train = samples(spark, sf)
-    report = experiments.out_of_domain(train, *_ROLES, lambda n: {"logistic_regression": models.logistic(n)}, features.STAT_COLUMNS, lexicons(spark), max_terms=TERMS)
+    rows = cut_lineage(samples(spark, sf))
+    report = experiments.out_of_domain(rows, *_ROLES, lambda n: {"logistic_regression": models.logistic(n)}, features.STAT_COLUMNS, lexicons(spark), max_terms=TERMS)
     return experiments.mean_out_of_domain_f2(report).withColumn("oov_f2", r6(F.col("oov_f2")))
 
 

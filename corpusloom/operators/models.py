@@ -29,11 +29,6 @@ from . import metrics, splits
 _COLUMNS = {"featuresCol": "features", "labelCol": "label"}
 
 
-def for_fits(df: DataFrame) -> DataFrame:
-    """Rows in as few partitions as ``settings.FIT_ROWS`` per task allow: a fit runs hundreds of short jobs."""
-    return df.coalesce(max(1, -(-df.count() // settings.FIT_ROWS)))
-
-
 # --- candidates ---------------------------------------------------------------------
 
 
@@ -120,7 +115,7 @@ def fit_multiclass(df: DataFrame, label: str, features: str = "features", one_vs
 
     Classes are in alphabetical order; rows without a label take no part. At least two classes are needed.
     """
-    known = for_fits(cut_lineage(df.filter(F.col(label).isNotNull()).select(F.col(features).alias("features"), F.col(label).cast("string").alias("_class"))))
+    known = cut_lineage(df.filter(F.col(label).isNotNull()).select(F.col(features).alias("features"), F.col(label).cast("string").alias("_class")))
     counts = {r["_class"]: r["n"] for r in small_rows(known.groupBy("_class").agg(F.count("*").alias("n")))}
     classes, rows = sorted(counts), float(sum(counts.values()))
     if len(classes) < 2:
@@ -259,7 +254,7 @@ def fit_calibrated_svm(
     df: DataFrame, key: str, estimator: LinearSVC, k: int = 3, seed: int = settings.SEED
 ) -> CalibratedSvm:
     """``k`` SVMs, each calibrated on the fold it did not see by :func:`fit_sigmoid`."""
-    folded = for_fits(cut_lineage(splits.folds(df, key, "label", max(k, 2), seed, to="_fold"))).persist()
+    folded = cut_lineage(splits.folds(df, key, "label", max(k, 2), seed, to="_fold")).persist()
     members = []
     for fold in range(k):
         fitted = estimator.fit(folded.filter(F.col("_fold") != fold))
@@ -341,7 +336,7 @@ class EmbeddingClassifier:
 
 def embedding_classifier(train: DataFrame, val: DataFrame, vector: str = "vector") -> EmbeddingClassifier:
     """Standardised vectors, balanced logistic regression, threshold by validation F2."""
-    weighted = for_fits(cut_lineage(splits.class_weights(train, "label"))).persist()
+    weighted = cut_lineage(splits.class_weights(train, "label")).persist()
     total = float(weighted.count())
     scaler = StandardScaler(inputCol=vector, outputCol="features", withMean=True, withStd=True)
     model = Pipeline(stages=[scaler, logistic(total)]).fit(weighted)

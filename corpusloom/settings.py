@@ -64,7 +64,6 @@ SCORE_DISCLAIMER = "Model-positive score, not a clinical probability or diagnosi
 # Limits of what may travel through the driver or be broadcast. Every use has a
 # distributed path for inputs beyond the limit, or refuses with an error.
 LOCAL_TABLE_ROWS = 50_000
-FIT_ROWS = 4_000
 LOOKUP_BYTES = 32 << 20
 FREQUENT_WORDS = 4_096
 ROW_ENTRIES = 24

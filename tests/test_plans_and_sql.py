@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog import registry
 from corpusloom.catalog.base import clean_posts, labelled, scored, table
-from corpusloom.operators import explore, features, metrics, quality, splits
+from corpusloom.operators import explore, features, metrics, quality, sentiment, splits
+from corpusloom.session import cut_wide, local_rows
 from tools.check_oracle import TABLES, canonical
 
 FOLDER = "/root/testdata/sf0.001"
@@ -71,3 +72,13 @@ def test_terms_are_counted_without_moving_texts(spark):
     frame = table(spark, FOLDER, "documents").select("doc_id", F.lower("text").alias("clean"))
     pairs = features.term_pairs(frame, "doc_id", "clean")
     assert "Exchange" not in plan_of(pairs)
+
+
+def test_weights_and_sentiment_are_not_evaluated_per_entry(spark):
+    """Nested lambdas took the length of a document again for each of its entries."""
+    frame = clean_posts(spark, FOLDER).select("doc_id", "clean")
+    vocab = local_rows(spark, [("the", 0, 1.0), ("people", 1, 2.0)], "term string, index int, idf double")
+    valence = local_rows(spark, [("good", 1.9)], "word string, valence double")
+    assert "lambdafunction" not in plan_of(features.tfidf_vectors(frame, "doc_id", "clean", vocab, 2))
+    assert plan_of(sentiment.compound(frame, "clean", valence)).count("namedlambdavariable") < 20
+    assert cut_wide(frame, "doc_id").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

@@ -3,6 +3,8 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +132,24 @@ def test_sequences_and_empty_posts_with_large_vocabularies(spark, monkeypatch):
     assert first[0] == [(1, 0), (3, 0)] and first[1][(1, 0)] == [1, 2, 1] and first[1][(2, 1)] == [0, 0, 0]
     monkeypatch.setattr(settings, "LOOKUP_BYTES", 0)
     assert run() == first
+
+
+def test_look_up_in_a_table_larger_than_the_batch(monkeypatch):
+    """The keys of a large table are probed, not hashed again for every batch."""
+    flat, keys = pa.array(["b", "x", None, "a", "b"]), pa.array([f"k{i}" for i in range(50)] + ["a", "b"])
+    seen = []
+    index_in = pc.index_in
+    monkeypatch.setattr(wordtable.pc, "index_in", lambda values, value_set: seen.append(len(value_set)) or index_in(values, value_set=value_set))
+    assert wordtable._found(flat, keys).to_pylist() == [51, None, None, 50, 51] and max(seen) <= len(flat)
+    assert wordtable._found(pa.array([], pa.string()), keys).to_pylist() == []
+
+
+def test_large_batches_are_worked_on_in_parts(spark, monkeypatch):
+    """n-grams of a whole Arrow batch are never held at once, and the results do not depend on it."""
+    texts = pa.array([f"aa bb w{i}" for i in range(10)] + [None])
+    batch = pa.RecordBatch.from_arrays([texts], names=["clean"])
+    monkeypatch.setattr(settings, "BATCH_TEXTS", 4)
+    assert [p.num_rows for p in wordtable.slices(batch)] == [4, 4, 3]
+    sizes = []
+    out = wordtable.in_parts(lambda t: sizes.append(len(t)) or pc.utf8_length(t), texts)
+    assert sizes == [4, 4, 3] and out.to_pylist() == [8] * 10 + [None]

@@ -153,3 +153,16 @@ def test_large_batches_are_worked_on_in_parts(spark, monkeypatch):
     sizes = []
     out = wordtable.in_parts(lambda t: sizes.append(len(t)) or pc.utf8_length(t), texts)
     assert sizes == [4, 4, 3] and out.to_pylist() == [8] * 10 + [None]
+
+
+def test_weights_under_another_index(spark):
+    """A fold's vocabulary drops and renumbers terms; weights equal those of a vocabulary read directly."""
+    texts = [(0, "aa bb aa cc"), (1, "cc"), (2, ""), (3, "bb aa")]
+    frame = local_rows(spark, texts, "doc long, clean string")
+    union = local_rows(spark, [("aa", 0), ("bb", 1), ("cc", 2)], "term string, index int")
+    own = local_rows(spark, [("bb", 0, 2.0), ("aa", 1, 1.5)], "term string, index int, idf double")
+    counted = frame.withColumn("counts", wordtable.index_tf(frame, F.col("clean"), union, (1, 1)))
+    got = counted.withColumn("e", wordtable.reindexed_weights(counted, F.col("counts"), [1, 0, -1], [1.5, 2.0, 0.0]))
+    direct = frame.withColumn("e", wordtable.index_weights(frame, F.col("clean"), own, (1, 1)))
+    rows = lambda df: {r.doc: [(e.i, e.w) for e in r.e] for r in df.collect()}
+    assert rows(got) == rows(direct) and rows(direct)[1] == [] and [i for i, _ in rows(direct)[0]] == [0, 1]

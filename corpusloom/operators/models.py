@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -250,18 +252,26 @@ class CalibratedSvm:
         return df.withColumn(to, total / len(parts)).drop(*[f"_m{i}" for i in range(len(parts))])
 
 
+def few_tasks(df: DataFrame) -> DataFrame:
+    """Ready features in tasks of about ``settings.FIT_ROWS`` rows, for the many short jobs of a linear fit."""
+    return df.coalesce(max(1, -(-df.count() // settings.FIT_ROWS)))
+
+
 def fit_calibrated_svm(
     df: DataFrame, key: str, estimator: LinearSVC, k: int = 3, seed: int = settings.SEED
 ) -> CalibratedSvm:
-    """``k`` SVMs, each calibrated on the fold it did not see by :func:`fit_sigmoid`."""
-    folded = cut_lineage(splits.folds(df, key, "label", max(k, 2), seed, to="_fold")).persist()
-    members = []
-    for fold in range(k):
+    """``k`` SVMs, each calibrated on the fold it did not see by :func:`fit_sigmoid`; they are fitted side by side."""
+    folded = few_tasks(cut_lineage(splits.folds(df, key, "label", max(k, 2), seed, to="_fold"))).persist()
+
+    def fit(fold: int) -> tuple[Model, Platt | None]:
         fitted = estimator.fit(folded.filter(F.col("_fold") != fold))
         held = fitted.transform(folded.filter(F.col("_fold") == fold)).withColumn(
             "margin", vector_to_array("rawPrediction")[1]
         )
-        members.append((fitted, fit_sigmoid(held, "margin")))
+        return fitted, fit_sigmoid(held, "margin")
+
+    with ThreadPool(k) as pool:
+        members = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(k))
     folded.unpersist()
     return CalibratedSvm(members)
 

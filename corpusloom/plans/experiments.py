@@ -14,7 +14,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +40,16 @@ class FeatureSpace:
     lexicons: Lexicons | None = None
 
     def transform(self, df: DataFrame, key: str = "key", clean: str = "clean") -> DataFrame:
+        """Adds the dense columns and ``tfidf``; a frame of :meth:`written` has both and stays as it is."""
+        if "tfidf" in df.columns and clean not in df.columns:
+            return df
         out = features.add_dense(df, clean, self.dense, self.lexicons)
         return features.tfidf_vectors(out, key, clean, self.vocab, self.size)
 
+    def written(self, df: DataFrame, key: str = "key", clean: str = "clean") -> DataFrame:
+        """``df`` with its features in place of its texts, as a written table: computed once, however often it is read."""
+        return cut_lineage(self.transform(df, key, clean).drop(clean))
+
 
 def fit_features(
     train: DataFrame, dense: Sequence[str] = (), lexicons: Lexicons | None = None, max_terms: int = settings.TFIDF_MAX_TERMS
@@ -81,15 +88,17 @@ def fit_candidate(
     the same, no row is copied, and no copy can leak into a calibration fold. The two differ only in the number of rows that the
     penalty is measured against, :func:`splits.balanced_rows`.
     """
-    ready = space.transform(splits.class_weights(train, "label"), key)
+    # The scaler and the fit read the features several times.
+    ready = space.written(splits.class_weights(train, "label"), key)
     scaler = Pipeline(stages=models.feature_stages(space.dense)).fit(ready)
-    # Fits run many short jobs: let them read a written table, not repeat the feature plan.
-    data = cut_lineage(scaler.transform(ready).select(key, "label", "weight", "features"))
+    data = scaler.transform(ready).select(key, "label", "weight", "features")
     return Fitted(name, space, scaler, fit_estimator(estimator, data, seed, key))
 
 
 def fit_estimator(estimator: Estimator, data: DataFrame, seed: int = settings.SEED, key: str = "key") -> Model | models.CalibratedSvm:
     """Fit on ready features, which are cached for as long as the fit runs."""
+    if isinstance(estimator, (LinearSVC, LogisticRegression)):
+        data = models.few_tasks(data)
     data = data.persist()
     try:
         return models.fit_calibrated_svm(data, key, estimator, seed=seed) if isinstance(estimator, LinearSVC) else estimator.fit(data)
@@ -158,6 +167,7 @@ def train_and_evaluate(
     train = splits.cap(train, "key", "label", seed=seed)
     calibrate, select = splits.calibration_halves(val, "key", "label", seed)
     space = fit_features(train, dense, lexicons, max_terms)
+    train, select = space.written(train), space.written(select)
     n = splits.balanced_rows(train, "label", oversample)
     fitted, rows = {}, []
     for rank, (name, estimator) in enumerate(models.candidates(n, full, seed, trees, rounds, oversample).items()):
@@ -221,6 +231,7 @@ def out_of_domain(
     others = others.join(sizes, "source_id", "left_semi")
     tested = cut_wide(val.withColumn("source_id", F.lit("holdout")).unionByName(others, True), "key")
     space = fit_features(train, dense, lexicons, max_terms)
+    train, val, tested = (space.written(part) for part in (train, val, tested))
     fits = [
         tune(fit_candidate(name, estimator, train, space, seed), val)
         for name, estimator in candidates(float(train.count())).items()
@@ -303,12 +314,13 @@ def evaluate_variants(
 ) -> DataFrame:
     """(feature_set, part, metric, value) of the same model over feature sets, for val, test and cv."""
     rows = splits.balanced_rows(train, "label")
-    vocabulary = fit_features(train, (), None, max_terms)
-    both = _with(val, part="val").unionByName(_with(test, part="test"))
+    whole = replace(fit_features(train, (), None, max_terms), dense=feature_sets(variants), lexicons=lexicons)
+    fit_on = whole.written(train)
+    both = whole.written(_with(val, part="val").unionByName(_with(test, part="test")))
     scored = []
     for name, dense in variants.items():
-        space = replace(vocabulary, dense=tuple(dense), lexicons=lexicons)
-        candidate = tune(fit_candidate(name, build(rows), train, space, seed), val)
+        space = replace(whole, dense=tuple(dense))
+        candidate = tune(fit_candidate(name, build(rows), fit_on, space, seed), both.filter("part = 'val'"))
         scored.append(_with(candidate.score(both).select("part", "label", "score", "pred"), feature_set=name))
     by = ["feature_set", "part"]
     long = metrics.long_metrics(metrics.binary_metrics(cut_lineage(_union(scored)), "label", "pred", "score", by), by)

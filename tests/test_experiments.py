@@ -136,3 +136,29 @@ def test_penalties_count_the_balanced_rows(spark, samples):
     assert set(models.candidates(10.0, full=True)) == {"logistic_regression", "linear_svc", "random_forest", "boosting"}
     grid = models.out_of_domain_candidates(10.0)
     assert grid["boosting"].getMaxIter() == settings.OOV_BOOSTING_ROUNDS and not grid["boosting"].isSet("weightCol")
+
+
+def test_features_are_computed_once_and_linear_fits_get_few_tasks(spark, samples, lexicons):
+    train, val = samples.filter("key % 4 <> 0"), samples.filter("key % 4 = 0")
+    space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons, 40)
+    ready = space.written(train), space.written(val)
+    assert all("clean" not in frame.columns for frame in ready)
+    build = lambda: models.svm(splits.balanced_rows(train, "label"), iterations=15)
+    direct = experiments.fit_candidate("linear_svc", build(), train, space)
+    again = experiments.fit_candidate("linear_svc", build(), ready[0], space)
+    a = {r.key: r.score for r in direct.score(val).collect()}
+    assert {r.key: r.score for r in again.score(ready[1]).collect()} == pytest.approx(a, abs=1e-6)
+    wide = spark.range(settings.FIT_ROWS + 1).repartition(16)
+    assert models.few_tasks(wide).rdd.getNumPartitions() == 2
+
+
+def test_a_written_feature_frame_serves_every_feature_set(spark, samples, lexicons):
+    part = lambda condition: samples.filter(condition)
+    variants = {"plain": (), "full": features.STAT_COLUMNS}
+    found = experiments.evaluate_variants(variants, part("key % 4 > 1"), part("key % 4 = 0"), part("key % 4 = 1"), lexicons, max_terms=30, build=quick)
+    rows = {(r.feature_set, r.part, r.metric): r.value for r in found.collect()}
+    space = experiments.fit_features(part("key % 4 > 1"), (), None, 30)
+    fit = experiments.fit_candidate("x", quick(splits.balanced_rows(part("key % 4 > 1"), "label")), part("key % 4 > 1"), space)
+    plain = models.metrics.binary_metrics(experiments.tune(fit, part("key % 4 = 0")).score(part("key % 4 = 1")), "label", "pred", "score").first()
+    assert {k[:2] for k in rows} == {(s, p) for s in variants for p in ("val", "test")}
+    assert rows["plain", "test", "brier"] == pytest.approx(plain.brier, abs=1e-6) and rows["plain", "test", "roc_auc"] == pytest.approx(plain.roc_auc, abs=1e-9)

@@ -111,8 +111,9 @@ def m05(spark, sf):
     """The other learners on two classes, over text vector and dense columns."""
     train, _, test = _cut(spark, sf)
     space = experiments.fit_features(train, features.STAT_COLUMNS, lexicons(spark), TERMS)
-    joined = Pipeline(stages=models.feature_stages(space.dense)).fit(space.transform(train))
-    ready = [cut_lineage(joined.transform(space.transform(f)).select("key", "label", "features")) for f in (train, test)]
+    train, test = space.written(train), space.written(test)
+    joined = Pipeline(stages=models.feature_stages(space.dense)).fit(train)
+    ready = [cut_lineage(joined.transform(f).select("key", "label", "features")) for f in (train, test)]
     outs = []
     for name, estimator, binary in (
         ("bernoulli_bayes", models.bernoulli_bayes(), True),
@@ -120,6 +121,7 @@ def m05(spark, sf):
         ("l1_logistic", models.multiclass_logistic(rows=float(train.count())), False),
     ):
         fit_on, apply_to = (models.binarise(f) if binary else f for f in ready)
+        fit_on = models.few_tasks(fit_on) if name == "l1_logistic" else fit_on
         scored = models.positive_probability(estimator.fit(fit_on), apply_to)
         outs.append(scored.select(F.lit(name).alias("model"), "key", r6(F.col("score")).alias("score")))
     return outs[0].unionByName(outs[1]).unionByName(outs[2])
@@ -131,7 +133,7 @@ def _languages(spark, sf):
     cut = cut_wide(splits.holdout(docs, "key", "class", 0.25), "key")
     train, test = cut.filter(~F.col("held_out")), cut.filter("held_out")
     space = experiments.fit_features(train, (), None, TERMS)
-    return [space.transform(f).select("key", "class", F.col("tfidf").alias("features")) for f in (train, test)]
+    return [space.written(f).select("key", "class", F.col("tfidf").alias("features")) for f in (train, test)]
 
 
 @query("m05_multiclass")

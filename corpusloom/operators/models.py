@@ -28,6 +28,7 @@ from .. import settings
 from ..session import cut_lineage, small_rows
 from . import metrics, splits
 
+_FITS_AT_ONCE = 4
 _COLUMNS = {"featuresCol": "features", "labelCol": "label"}
 
 
@@ -118,13 +119,16 @@ def fit_multiclass(df: DataFrame, label: str, features: str = "features", one_vs
     Classes are in alphabetical order; rows without a label take no part. At least two classes are needed.
     """
     known = cut_lineage(df.filter(F.col(label).isNotNull()).select(F.col(features).alias("features"), F.col(label).cast("string").alias("_class")))
+    known = few_tasks(known)
     counts = {r["_class"]: r["n"] for r in small_rows(known.groupBy("_class").agg(F.count("*").alias("n")))}
     classes, rows = sorted(counts), float(sum(counts.values()))
     if len(classes) < 2:
         raise ValueError("at least two classes are needed")
     if one_vs_rest:
         target = lambda name: known.select("features", (F.col("_class") == name).cast("double").alias("label"))
-        return MulticlassModel(classes, [logistic(rows, c, l1, weighted=False).fit(target(name)) for name in classes])
+        one = inheritable_thread_target(df.sparkSession)(lambda name: logistic(rows, c, l1, weighted=False).fit(target(name)))
+        with ThreadPool(min(_FITS_AT_ONCE, len(classes))) as pool:
+            return MulticlassModel(classes, pool.map(one, classes))
     index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("_class")) - 1
     return MulticlassModel(classes, [multiclass_logistic(l1, c, rows).fit(known.select("features", index.cast("double").alias("label")))])
 
@@ -270,7 +274,7 @@ def fit_calibrated_svm(
         )
         return fitted, fit_sigmoid(held, "margin")
 
-    with ThreadPool(k) as pool:
+    with ThreadPool(min(_FITS_AT_ONCE, k)) as pool:
         members = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(k))
     folded.unpersist()
     return CalibratedSvm(members)

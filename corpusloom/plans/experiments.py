@@ -97,7 +97,7 @@ def fit_candidate(
 
 def fit_estimator(estimator: Estimator, data: DataFrame, seed: int = settings.SEED, key: str = "key") -> Model | models.CalibratedSvm:
     """Fit on ready features, which are cached for as long as the fit runs."""
-    if isinstance(estimator, (LinearSVC, LogisticRegression)):
+    if isinstance(estimator, (LinearSVC, LogisticRegression)):  # trees take longer on few tasks
         data = models.few_tasks(data)
     data = data.persist()
     try:

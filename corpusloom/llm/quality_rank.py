@@ -1,13 +1,13 @@
 """Quality by Bradley-Terry ranking.
 
 Every document gets a utility w.x of its text features; the chance that document i is preferred
-to j is sigmoid(w.x_i - w.x_j). Preference pairs (label 1 over label 0) of a bounded sample of
+to j is sigmoid(w.x_i - w.x_j). Preference pairs (label 1 over label 0) of all
 labelled documents train w by logistic loss on feature differences, without an intercept. The
-threshold is a quantile: the utility below which the sample's share of label 0 lies. Scores
+threshold is a quantile: the utility below which the labelled documents' share of label 0 lies. Scores
 are a logistic map of the utility that puts this quantile at the contract's 0.3.
 
 Defined results: null, empty and blank texts have all-zero counts and get the utility of an empty
-text; texts are measured whole; equal texts get equal scores; without both labels in the sample
+text; texts are measured whole; equal texts get equal scores; without both labels
 there are no pairs and every score is the label's share (0 without labels). Rows are scored by
 themselves, so repeated rows stay; labels, lang, source and ids are never inputs.
 """
@@ -22,12 +22,14 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, fit_logistic, fold, labelled_sample, read_table
+from ..operators.explore import exact_quantiles
+from ..operators.ranking import grouped_rank
+from ..settings import SEED
+from .common import cut_lineage, fold, read_table
 
-SAMPLE_ROWS = 20_000
 RIVALS = 8
 THRESHOLD = 0.3
 _MARKS = [ord(c) for c in ".,;:!?|#$%&*@<>{}[]()/\\=_-+\"'~^"]
@@ -80,50 +82,82 @@ class RankModel:
     base: float
 
 
-def preference_pairs(sample: DataFrame, rivals: int = RIVALS) -> DataFrame:
+def preference_pairs(sample: DataFrame, rivals: int = RIVALS, mirrored: bool = True) -> DataFrame:
     """Feature differences of preferred minus other, each also mirrored: diff, won.
 
-    ``sample`` (key, label, x) is bounded. Documents of each label are numbered in hash order, and
-    every one meets ``rivals`` documents of the other label, dealt round robin: no row pairs
-    with all others.
+    ``sample`` has key, label, x. Documents of each label are numbered in hash order. Those of the rarer label form teams of
+    ``rivals``, the last one filled up from the start, and every other document meets one team: no row pairs with all others, and
+    no features are shuffled per pair. Without ``mirrored`` a pair is one row, in turns as it is and mirrored; the loss is the same.
     """
-    numbered = sample.withColumn("at", F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")) - 1)
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return sample.sparkSession.createDataFrame([], "diff array<double>, won double")
     longer = max(sizes, key=lambda k: sizes[k])
+    size = sizes[1 - longer]
+    teams = -(-size // rivals)
+    numbered = grouped_rank(sample, ["label"], "key", SEED).withColumn("at", F.col("rank") - 1)
     many, few = numbered.filter(F.col("label") == longer), numbered.filter(F.col("label") != longer)
-    steps = F.explode(F.sequence(F.lit(0), F.lit(rivals - 1)))
-    met = many.select("x", F.col("at").alias("row"), steps.alias("step"))
-    met = met.withColumn("place", (F.col("row") * rivals + F.col("step") * 7919) % sizes[1 - longer])
-    other = few.select(F.col("at").alias("place"), F.col("x").alias("y"))
-    diff = F.zip_with("x", "y", lambda a, b: a - b if longer == 1 else b - a)
-    won = met.join(other, "place").select(diff.alias("diff"), F.lit(1.0).alias("won"))
-    lost = won.select(F.transform("diff", lambda v: -v).alias("diff"), F.lit(0.0).alias("won"))
-    return won.unionByName(lost)
-
-
-def train_on(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text",
-             label: str = "quality") -> RankModel:
-    """Learn from at most ``rows`` labelled documents; documents of fold 0 are never used."""
-    sample = labelled_sample(docs, labels, key, text, label, rows)
+    turns = F.explode(F.sequence(F.lit(0), F.floor((F.lit(teams * rivals - 1) - F.col("at")) / size).cast("int")))
+    placed = few.select("at", F.col("x").alias("y"), turns.alias("turn"))
+    placed = placed.withColumn("team", F.floor((F.col("at") + F.col("turn") * size) / rivals).cast("long"))
+    team = placed.groupBy("team").agg(F.collect_list("y").alias("ys"))  # ``rivals`` entries
+    met = many.select("x", "at", (F.col("at") % teams).cast("long").alias("team")).join(team, "team")
+    met = met.select("x", "at", F.posexplode("ys").alias("step", "y"))
+    won = met.select(F.zip_with("x", "y", lambda a, b: a - b if longer == 1 else b - a).alias("diff"), ((F.col("at") + F.col("step")) % 2 == 0).alias("even"))
+    lost = F.transform("diff", lambda v: -v)
+    if not mirrored:
+        return won.select(F.when(F.col("even"), F.col("diff")).otherwise(lost).alias("diff"), F.col("even").cast("double").alias("won"))
+    won = won.select("diff", F.lit(1.0).alias("won"))
+    return won.unionByName(won.select(lost.alias("diff"), F.lit(0.0).alias("won")))
+
+
+def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, print (digest of the text), x of every row, written: texts are read once for the fit and the scores."""
+    return cut_lineage(docs.select(F.col(key).alias("key"), F.sha2(text, 256).alias("print"), feature_column(F.col(text)).alias("x")))
+
+
+def _dot(x: str, weights: tuple[float, ...]) -> Column:
+    return F.aggregate(F.zip_with(x, F.lit(list(weights)), lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)
+
+
+def fit(rows: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> RankModel:
+    """Learn from all labelled documents of :func:`measured` rows; documents of fold 0 are never used.
+
+    Conflicting or repeated labels of a key: the largest counts. Null keys, texts and labels take no part.
+    """
+    known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
+    known = known.filter(F.col("key").isNotNull() & F.col("label").isin(0, 1) & (fold(F.col("key"), 5) != 0))
+    known = known.groupBy("key").agg(F.max("label").alias("label"))
     # Copies of a text count once, so that no group of copies outweighs the rest.
-    sample = sample.groupBy(F.sha2("text", 256).alias("key")).agg(F.max("label").alias("label"), F.first("text").alias("text"))
-    sample = sample.select("key", "label", feature_column(F.col("text")).alias("x"))
-    sample = cut_lineage(sample)
-    pairs = preference_pairs(sample).select(array_to_vector("diff").alias("diff"), "won")
-    held = sample.select("label", "x").toPandas()  # bounded by ``rows``
-    y = held["label"].to_numpy(dtype=float)
-    share = float(y.mean()) if len(y) else 0.0
+    sample = rows.filter(F.col("print").isNotNull()).join(known, "key")
+    sample = cut_lineage(sample.groupBy(F.col("print").alias("key")).agg(F.max("label").alias("label"), F.first("x").alias("x")))
+    facts = sample.agg(F.avg("label").alias("share"), F.count("*").alias("n")).first()
+    share = float(facts["share"] or 0.0)
     if not 0 < share < 1:
         return RankModel((), 0.0, 0.0, share)
+    pairs = preference_pairs(sample, mirrored=False).select(array_to_vector("diff").alias("diff"), "won")
     fitted = LogisticRegression(
         featuresCol="diff", labelCol="won", fitIntercept=False, regParam=1e-4, standardization=True, maxIter=100
     ).fit(pairs)
-    weights = fitted.coefficients.toArray()
-    utility = np.stack(held["x"]) @ weights
-    slope = fit_logistic(np.c_[utility, np.ones(len(y))], y)[0]
-    return RankModel(tuple(weights), float(np.quantile(utility, 1 - share)), float(max(slope, 1e-6)), share)
+    weights = tuple(float(w) for w in fitted.coefficients.toArray())
+    held = cut_lineage(sample.select("label", _dot("x", weights).alias("utility")))
+    cut = exact_quantiles(held, [], "utility", {"cut": 1 - share}).first()["cut"]
+    calibrated = LogisticRegression(featuresCol="u", labelCol="label", regParam=0.1 / facts["n"], standardization=False, maxIter=200, tol=1e-9)
+    slope = calibrated.fit(held.select(array_to_vector(F.array("utility")).alias("u"), "label")).coefficients[0]
+    return RankModel(weights, float(cut), float(max(slope, 1e-6)), share)
+
+
+def train_on(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> RankModel:
+    """Learn from all labelled documents outside fold 0."""
+    return fit(measured(docs, key, text), labels, key, label)
+
+
+def measured_score(x: str, model: RankModel, threshold: float = THRESHOLD) -> Column:
+    """Score of measured features, 0 to 1; the quantile cut lies at ``threshold``."""
+    if not model.weights:
+        return F.lit(model.base)
+    margin = F.lit(model.slope) * (_dot(x, model.weights) - model.cut) + float(np.log(threshold / (1 - threshold)))
+    return 1 / (1 + F.exp(-F.greatest(F.least(margin, F.lit(30.0)), F.lit(-30.0))))
 
 
 def quality_score(text: Column, model: RankModel, threshold: float = THRESHOLD) -> Column:
@@ -148,6 +182,7 @@ def rank(docs: DataFrame, model: RankModel, text: str = "text", threshold: float
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:
     """Quality of every document: doc_id, held_out, score, predicted."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train_on(docs, read_table(spark, sf_dir, "labels"))
-    return rank(docs, model).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+    rows = measured(read_table(spark, sf_dir, "documents"))
+    scored = rows.withColumn("score", measured_score("x", fit(rows, read_table(spark, sf_dir, "labels"))))
+    predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    return scored.select(F.col("key").alias("doc_id"), (fold(F.col("key"), 5) == 0).alias("held_out"), "score", predicted)

@@ -220,6 +220,23 @@ def test_preference_pairs_are_mirrored(spark):
     assert sorted(tuple(r["diff"]) for r in pairs if r["won"]) == sorted(tuple(-v for v in r["diff"]) for r in pairs if not r["won"])
 
 
+def test_every_labelled_document_counts(spark):
+    """25,000 labels, more than the former sample held: the threshold is the quantile of all utilities."""
+    n = 25_000
+    rows = spark.range(n).select(F.col("id").alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("print"), F.array(F.rand(3), F.rand(4)).alias("x"))
+    rows = quality_rank.cut_lineage(rows)
+    labels = rows.select(F.col("key").alias("doc_id"), (F.col("x")[0] + 0.2 * F.rand(5) > 0.4).cast("int").alias("quality"))
+    labels = quality_rank.cut_lineage(labels)
+    model = quality_rank.fit(rows, labels)
+    seen = rows.join(labels, F.col("key") == F.col("doc_id")).filter(F.crc32(F.col("key").cast("string")) % 5 != 0)
+    held = seen.select("quality", "x").toPandas()
+    assert len(held) < n and model.base == pytest.approx(held["quality"].mean(), abs=1e-12)
+    utility = np.stack(held["x"]) @ np.array(model.weights)
+    assert model.cut == pytest.approx(np.quantile(utility, 1 - model.base), abs=1e-9)
+    one = quality_rank.preference_pairs(seen.select("key", F.col("quality").alias("label"), "x"), mirrored=False)
+    assert one.count() == 8 * max((held["quality"] == 1).sum(), (held["quality"] == 0).sum())
+
+
 def test_language_model_counts_and_probabilities(spark):
     rng = np.random.default_rng(11)
     words = ["The", "of", "Ünder", "b.", "c", "d"] + [f"rare{i}" for i in range(300)]

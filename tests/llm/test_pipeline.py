@@ -141,3 +141,34 @@ def test_near_copies_of_a_repeated_id_and_other_key_types(spark):
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "id string, text string, node int, first int")
     found = sorted(((r["id"], r["component_id"]) for r in near_copies.near_copies(docs, key="id").collect()), key=str)
     assert found == sorted([("b", "b"), ("b", "b"), (None, "b"), ("b", "b"), ("c", "c"), ("d", "c")], key=str)
+
+
+def test_texts_that_only_share_a_passage_are_not_compared_in_full(spark, monkeypatch):
+    """Groups of 40 texts share 60 of 100 words: most pairs meet in a band, but only copies are read."""
+    texts = {}
+    for g in range(4):
+        passage = [f"p{g}x{k}" for k in range(60)]
+        for i in range(40):
+            texts[100 * g + i] = " ".join(passage + [f"u{g}x{i}x{k}" for k in range(40)])
+        texts[100 * g + 50] = texts[100 * g + 7] + " one more"
+        texts[100 * g + 51] = texts[100 * g + 50] + " and more"
+    compared, linked = [], near_copies._linked
+    monkeypatch.setattr(near_copies, "_linked", lambda pairs, *rest: compared.append(pairs.count()) or linked(pairs, *rest))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()}
+    assert found == _classes(texts) and found[51] == 7
+    assert 8 <= sum(compared) <= 100
+
+
+def test_sketches_keep_pairs_at_the_threshold(spark):
+    rng = np.random.default_rng(3)
+    rows, pairs = [], []
+    for i in range(300):  # Jaccard 0.8 and 0.3
+        common, own = rng.integers(0, 1 << 64, 240, dtype=np.uint64), rng.integers(0, 1 << 64, 60, dtype=np.uint64)
+        far = np.r_[common[:111], rng.integers(0, 1 << 64, 130, dtype=np.uint64)]
+        for at, values in enumerate((np.r_[common, own[:30]], np.r_[common, own[30:]], far)):
+            rows.append((3 * i + at, 270, near_copies.sketch(near_copies.minima(np.unique(values))).tolist()))
+        pairs += [(3 * i, 3 * i + 1), (3 * i, 3 * i + 2)]
+    nodes = spark.createDataFrame(rows, "node long, size int, sketch array<long>")
+    kept = near_copies._hopeful(spark.createDataFrame(pairs, "a long, b long"), nodes, 0.8).collect()
+    assert {(r["a"], r["b"]) for r in kept} == {p for p in pairs if p[1] % 3 == 1}

@@ -159,12 +159,15 @@ def train_and_evaluate(
     trees: int = settings.FOREST_TREES,
     rounds: int = settings.BOOSTING_ROUNDS,
     replicates: int = 400,
+    max_rows: int | None = None,
 ) -> TrainingRun:
     """The whole experiment: candidates, choice, calibration, thresholds, test report.
 
-    Calibration and selection use disjoint halves of the validation rows.
+    Calibration and selection use disjoint halves of the validation rows. All training rows are fitted; only a caller that
+    passes ``max_rows`` (published: ``settings.MAX_TRAIN_ROWS``) gets a stratified subsample.
     """
-    train = splits.cap(train, "key", "label", seed=seed)
+    if max_rows is not None:
+        train = splits.cap(train, "key", "label", max_rows, seed)
     calibrate, select = splits.calibration_halves(val, "key", "label", seed)
     space = fit_features(train, dense, lexicons, max_terms)
     train, select = space.written(train), space.written(select)

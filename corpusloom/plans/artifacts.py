@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, models, risk
-from ..session import local_rows, small_rows, small_table
+from ..session import bounded_batches, local_rows, small_rows, small_table
 from ..sources import files
 from .experiments import FeatureSpace, Fitted
 
@@ -115,6 +115,7 @@ def score_texts(candidate: Fitted, df: DataFrame, text: str, low: float, high: f
     """
     from ..functions.text import clean_text
 
+    bounded_batches(df.sparkSession)
     added = {"clean": clean_text(F.col(text)), "key": F.monotonically_increasing_id()}
     inner = df.select(F.struct(*df.columns).alias("_row"), F.col(text).alias("_text")).withColumns(
         {"clean": clean_text(F.col("_text")), "key": added["key"]}

@@ -103,3 +103,10 @@ def test_rounding_never_cuts_behind_the_last_bin():
 def test_forest_keeps_the_place_of_every_row():
     forest = models.forest()
     assert forest.getCacheNodeIds() and forest.getNumTrees() == 250 and forest.getMaxDepth() == 30
+
+
+@pytest.mark.parametrize("label, value, weight", [(None, 1.0, 1.0), (2.0, 1.0, 1.0), (1.0, float("nan"), 1.0), (1.0, 1.0, -1.0)])
+def test_rows_that_cannot_be_fitted_are_an_error(label, value, weight):
+    rows = [(Vectors.dense([1.0]), 0.0, 1.0), (Vectors.dense([value]), label, weight)]
+    with pytest.raises(ValueError):
+        list(trees._packed(0, 1)(0, iter(rows)))
